@@ -48,13 +48,6 @@ def weeks_before(as_of: DateLike, weeks: int) -> Column:
     return F.date_sub(date_lit(as_of), 7 * weeks)
 
 
-def monthly_date(start: Column, months: Column, day_of_month: Column) -> Column:
-    """``months`` after ``start``, on ``day_of_month`` or the month's last day."""
-    month = month_start(F.add_months(start, months))
-    last = F.dayofmonth(F.last_day(month))
-    return F.date_add(month, F.least(day_of_month, last) - 1)
-
-
 def is_weekend(day: Column) -> Column:
     return F.dayofweek(day).isin(1, 7)
 

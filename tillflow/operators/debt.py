@@ -17,8 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.functions.dates import DateLike, date_lit, monthly_date
-from tillflow.functions.money import cents, money_sum, units, from_units
+from tillflow.functions.dates import DateLike, date_lit
+from tillflow.functions.money import cents, money_sum
 
 # The day-count convention.
 DAYS_IN_YEAR = 360
@@ -43,121 +43,128 @@ def level_payment(principal: Column, annual_rate: Column, months: Column) -> Col
             .otherwise(principal * (rate * growth) / F.nullif(growth - 1, F.lit(0.0))))
 
 
-def payment_dates(loans: DataFrame, payments: Column | int) -> DataFrame:
-    """(loan_id, payment_number, payment_date) for the first ``payments`` months."""
-    count = F.lit(payments) if isinstance(payments, int) else payments
-    numbered = loans.select("loan_id", "start_date", "payment_day",
-                            F.explode(_range(F.lit(1), count)).alias("payment_number"))
-    return numbered.select(
-        "loan_id", "payment_number",
-        monthly_date(F.col("start_date"), F.col("payment_number") - 1, F.col("payment_day"))
-        .alias("payment_date"))
+# The schedules below are SQL expressions: one call per expression into the JVM
+# instead of one per operator keeps the driver's share of the work small.
+
+def _date_after(months: str) -> str:
+    """``months`` after start_date, on payment_day or the month's last day."""
+    month = f"trunc(add_months(start_date, {months}), 'MM')"
+    return f"date_add({month}, least(payment_day, dayofmonth(last_day({month}))) - 1)"
 
 
-def _range(first: Column, last: Column) -> Column:
-    """Integers first..last, empty when last < first."""
-    return F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+def _cents(name: str) -> str:
+    """Half away from zero to two decimals; see ``functions.money.cents``."""
+    size = f"floor(abs({name}) * 100 + 0.5D) / 100.0D"
+    return f"CASE WHEN {name} < 0 THEN -({size}) ELSE {size} END + 0.0D"
 
 
-def _level_balance(k: Column) -> Column:
+def _level_balance(k: str) -> str:
     """Balance after ``k`` level payments."""
-    balance, months = F.col("current_balance"), F.col("amort_months").cast("double")
-    base = 1 + F.col("annual_rate") / 12
-    left = (F.pow(base, months) - F.pow(base, k)) / F.nullif(F.pow(base, months) - 1, F.lit(0.0))
-    flat = 1 - k / F.nullif(months, F.lit(0.0))
-    return F.when(k >= months, 0.0).otherwise(
-        balance * F.when(F.col("annual_rate") == 0, flat).otherwise(left))
+    base, months = "(1 + annual_rate / 12)", "CAST(amort_months AS DOUBLE)"
+    return f"""CASE WHEN {k} >= amort_months THEN 0.0D
+        WHEN annual_rate = 0 THEN current_balance * (1 - {k} / nullif({months}, 0.0D))
+        ELSE current_balance * ((pow({base}, {months}) - pow({base}, {k}))
+                                / nullif(pow({base}, {months}) - 1, 0.0D)) END"""
 
 
-def _fixed_balance(k: Column) -> Column:
-    """Balance after ``k`` fixed payments, before any floor at zero."""
-    balance, payment = F.col("current_balance"), F.col("fixed_payment")
-    rate = F.col("annual_rate") / 12
-    growth = F.pow(1 + rate, k)
-    paid = payment * (growth - 1) / F.nullif(rate, F.lit(0.0))
-    return F.when(rate == 0, balance - payment * k).otherwise(balance * growth - paid)
+# Balance after k fixed payments, before any floor at zero.
+FIXED_BALANCE = """CASE WHEN annual_rate = 0 THEN current_balance - fixed_payment * k
+    ELSE current_balance * pow(1 + annual_rate / 12, k)
+         - fixed_payment * (pow(1 + annual_rate / 12, k) - 1) / nullif(annual_rate / 12, 0.0D) END"""
 
+INTEREST = f"beginning * (annual_rate / {DAYS_IN_YEAR}) * {DAYS_IN_PERIOD}"
 
-def _payment_day_of(number: Column) -> Column:
-    return monthly_date(F.col("start_date"), number - 1, F.col("payment_day"))
+# Payment dates fall in consecutive months, so only the date in maturity's own
+# month needs a comparison to count those before maturity, or up to it.
+_MONTHS = ("((year(maturity_date) - year(start_date)) * 12 "
+           "+ month(maturity_date) - month(start_date))")
+DATES_BEFORE_MATURITY = f"greatest({_MONTHS} + int({_date_after(_MONTHS)} < maturity_date), 0)"
+DATES_UP_TO_MATURITY = f"greatest({_MONTHS} + int({_date_after(_MONTHS)} <= maturity_date), 0)"
 
+# True above the rounding noise of the closed form.
+STILL_OWED = "beginning > greatest(1e-9D, current_balance * 1e-11D)"
 
-def _with_payments(loans: DataFrame, last: Column) -> DataFrame:
-    """One row per payment after the interest-only phase, up to ``last`` of them.
 
-    ``k`` counts the payments already made in the phase.
-    """
-    numbered = loans.select(*LOAN_FIELDS, F.explode(_range(F.lit(0), last - 1)).alias("step"))
-    number = F.col("io_months") + F.col("step") + 1
-    return (numbered.withColumn("payment_number", number.cast("int"))
-            .withColumn("payment_date", _payment_day_of(F.col("payment_number")))
-            .withColumn("k", F.col("step").cast("double")))
+def _steps(rows: DataFrame, count: str, first: int = 0) -> DataFrame:
+    """``count`` numbered copies of every row, in ``step`` from ``first`` on."""
+    numbers = (f"CASE WHEN {count} > 0 THEN sequence({first}, {count} - 1 + {first}) "
+               "ELSE CAST(array() AS array<int>) END")
+    return rows.selectExpr("*", f"explode({numbers}) AS step")
+
+
+def payment_dates(loans: DataFrame, payments: int) -> DataFrame:
+    """(loan_id, payment_number, payment_date) for the first ``payments`` months."""
+    return _steps(loans, str(payments), 1).selectExpr(
+        "loan_id", "step AS payment_number", f"{_date_after('step - 1')} AS payment_date")
+
+
+def _payments(loans: DataFrame, count: str) -> DataFrame:
+    """The ``count`` payments after the interest-only phase; ``k`` were made before."""
+    return _steps(loans.select(*LOAN_FIELDS), count).selectExpr(
+        "*", "io_months + step + 1 AS payment_number", "CAST(step AS DOUBLE) AS k",
+        f"{_date_after('(io_months + step)')} AS payment_date")
 
 
-def _months_to_maturity() -> Column:
-    """An upper bound for the number of monthly dates up to maturity."""
-    months = F.floor(F.months_between("maturity_date", "start_date")) + 2
-    return F.greatest(months, F.lit(0)).cast("int")
+def _staged(rows: DataFrame, *stages: dict[str, str]) -> DataFrame:
+    """Add columns stage by stage, so that Catalyst computes each one once."""
+    for stage in stages:
+        rows = rows.withColumns({name: F.expr(text) for name, text in stage.items()})
+    return rows
 
 
-def _rows(payments: DataFrame, payment_type: str, payment: Column, principal: Column,
-          interest: Column, beginning: Column, ending: Column) -> DataFrame:
-    return payments.select(
+def _rows(payments: DataFrame, payment_type: str) -> DataFrame:
+    """Output columns from the working columns beginning .. ending."""
+    amounts = {"payment_amount": "payment", "principal_amount": "principal",
+               "interest_amount": "interest", "beginning_principal": "beginning",
+               "ending_principal": "ending"}
+    rounded = {name: f"{_cents(source)} AS {name}" for name, source in amounts.items()}
+    return payments.selectExpr(
         "loan_id", "loan_name", "lender", "payment_date", "payment_number",
-        cents(payment).alias("payment_amount"),
-        cents(principal).alias("principal_amount"),
-        cents(interest).alias("interest_amount"),
-        F.lit(0.0).alias("fees_amount"),
-        cents(beginning).alias("beginning_principal"),
-        cents(ending).alias("ending_principal"),
-        F.col("annual_rate").alias("interest_rate"),
-        F.lit(DAYS_IN_PERIOD).alias("days_in_period"),
-        F.lit(payment_type).alias("payment_type"))
+        rounded["payment_amount"], rounded["principal_amount"], rounded["interest_amount"],
+        "0.0D AS fees_amount", rounded["beginning_principal"], rounded["ending_principal"],
+        "annual_rate AS interest_rate", f"{DAYS_IN_PERIOD} AS days_in_period",
+        f"'{payment_type}' AS payment_type")
 
 
 def schedule_interest_only(loans: DataFrame) -> DataFrame:
     """The first ``io_months`` payments: interest on an unchanged balance."""
-    numbered = loans.select(*LOAN_FIELDS, F.explode(_range(F.lit(1), F.col("io_months")))
-                            .alias("payment_number"))
-    payments = numbered.withColumn("payment_date", _payment_day_of(F.col("payment_number")))
-    balance = F.col("current_balance")
-    interest = monthly_interest(balance, F.col("annual_rate"))
-    return _rows(payments, "Interest Only", interest, F.lit(0.0), interest, balance, balance)
+    paid = _steps(loans.select(*LOAN_FIELDS), "io_months", 1).selectExpr(
+        "*", "step AS payment_number", f"{_date_after('(step - 1)')} AS payment_date",
+        "current_balance AS beginning", "current_balance AS ending", "0.0D AS principal")
+    return _rows(_staged(paid, {"interest": INTEREST}, {"payment": "interest"}), "Interest Only")
 
 
 def schedule_amortising(loans: DataFrame) -> DataFrame:
     """``amort_months`` level payments after the interest-only phase."""
-    payments = _with_payments(loans.where("amort_months > 0"), F.col("amort_months"))
-    beginning, ending = _level_balance(F.col("k")), _level_balance(F.col("k") + 1)
-    interest = monthly_interest(beginning, F.col("annual_rate"))
-    payment = level_payment(F.col("current_balance"), F.col("annual_rate"), F.col("amort_months"))
-    principal = F.least(payment - interest, beginning)
-    return _rows(payments, "Principal & Interest", principal + interest, principal, interest,
-                 beginning, ending)
-
-
-def _still_owed(balance: Column) -> Column:
-    """True above the rounding noise of the closed form."""
-    return balance > F.greatest(F.lit(1e-9), F.col("current_balance") * 1e-11)
+    level = level_payment(F.col("current_balance"), F.col("annual_rate"), F.col("amort_months"))
+    due = loans.select(*LOAN_FIELDS, level.alias("level")).where("amort_months > 0")
+    payments = _steps(due, "amort_months").selectExpr(
+        "*", "io_months + step + 1 AS payment_number", "CAST(step AS DOUBLE) AS k",
+        f"{_date_after('(io_months + step)')} AS payment_date")
+    paid = _staged(payments,
+                   {"beginning": _level_balance("k"), "ending": _level_balance("(k + 1)")},
+                   {"interest": INTEREST},
+                   {"principal": "least(level - interest, beginning)"},
+                   {"payment": "principal + interest"})
+    return _rows(paid, "Principal & Interest")
 
 
 def schedule_fixed_payment(loans: DataFrame) -> DataFrame:
     """Fixed payments until the balance is gone or maturity has passed.
 
-    The maturity test looks at the previous payment's date, so one payment may
-    fall after maturity.  A payment below the interest makes the balance grow.
+    The maturity test looks at the previous payment's date, the start date for
+    the first one; so one payment may fall after maturity.  A payment below
+    the interest makes the balance grow.
     """
     fixed = loans.where("coalesce(amort_months, 0) = 0 AND fixed_payment IS NOT NULL "
-                        "AND balloon_amount IS NULL")
-    payments = _with_payments(fixed, _months_to_maturity() + 1)
-    previous = F.when(F.col("step") == 0, F.col("start_date")) \
-                .otherwise(_payment_day_of(F.col("payment_number") - 1))
-    beginning = _fixed_balance(F.col("k"))
-    due = payments.where(_still_owed(beginning) & (previous <= F.col("maturity_date")))
-    interest = monthly_interest(beginning, F.col("annual_rate"))
-    principal = F.least(F.col("fixed_payment") - interest, beginning)
-    return _rows(due, "Fixed Payment", principal + interest, principal, interest,
-                 beginning, F.greatest(F.lit(0.0), beginning - principal))
+                        "AND balloon_amount IS NULL AND start_date <= maturity_date")
+    count = f"(greatest({DATES_UP_TO_MATURITY} - io_months, 0) + 1)"
+    due = _staged(_payments(fixed, count), {"beginning": FIXED_BALANCE}).where(STILL_OWED)
+    paid = _staged(due, {"interest": INTEREST},
+                   {"principal": "least(fixed_payment - interest, beginning)"},
+                   {"payment": "principal + interest",
+                    "ending": "greatest(0.0D, beginning - principal)"})
+    return _rows(paid, "Fixed Payment")
 
 
 def schedule_balloon(loans: DataFrame) -> DataFrame:
@@ -167,29 +174,18 @@ def schedule_balloon(loans: DataFrame) -> DataFrame:
     there.  The balloon row pays the configured amount whatever is owed.
     """
     balloon = loans.where("coalesce(amort_months, 0) = 0 AND balloon_amount IS NOT NULL")
-    payments = _with_payments(balloon, _months_to_maturity())
-    before = payments.where((F.col("payment_date") < F.col("maturity_date"))
-                            & (F.col("start_date") < F.col("maturity_date")))
-    owed = lambda k: F.greatest(F.lit(0.0), _fixed_balance(k))
-    beginning = owed(F.col("k"))
-    interest = monthly_interest(beginning, F.col("annual_rate"))
-    principal = F.col("fixed_payment") - interest
-    regular = _rows(before, "Regular Payment", F.col("fixed_payment"), principal, interest,
-                    beginning, F.greatest(F.lit(0.0), beginning - principal))
-
-    # regular payments of a loan: the dates before maturity, counted per row
-    number = lambda step: F.col("io_months") + step + 1
-    candidates = _range(F.lit(0), _months_to_maturity() - 1)
-    made = F.size(F.filter(candidates, lambda step: (
-        (_payment_day_of(number(step)) < F.col("maturity_date"))
-        & (F.col("start_date") < F.col("maturity_date")))))
-    last = (balloon.select(*LOAN_FIELDS, made.alias("made"))
-            .withColumn("payment_number", number(F.col("made")).cast("int"))
-            .withColumn("payment_date", F.col("maturity_date")))
-    left = owed(F.col("made").cast("double"))
-    final = _rows(last, "Balloon Payment", F.col("balloon_amount"), left,
-                  monthly_interest(left, F.col("annual_rate")), left, F.lit(0.0))
-    return regular.unionByName(final)
+    made = (f"(CASE WHEN start_date < maturity_date "
+            f"THEN greatest({DATES_BEFORE_MATURITY} - io_months, 0) ELSE 0 END)")
+    owed = {"beginning": f"greatest(0.0D, {FIXED_BALANCE})"}
+    regular = _staged(_payments(balloon, made), owed, {"interest": INTEREST},
+                      {"payment": "fixed_payment", "principal": "fixed_payment - interest"},
+                      {"ending": "greatest(0.0D, beginning - principal)"})
+    last = balloon.selectExpr(*LOAN_FIELDS, f"{made} AS made").selectExpr(
+        *LOAN_FIELDS, "io_months + made + 1 AS payment_number", "CAST(made AS DOUBLE) AS k",
+        "maturity_date AS payment_date")
+    final = _staged(last, owed, {"interest": INTEREST},
+                    {"payment": "balloon_amount", "principal": "beginning", "ending": "0.0D"})
+    return _rows(regular, "Regular Payment").unionByName(_rows(final, "Balloon Payment"))
 
 
 def loan_status(schedule: DataFrame, as_of: DateLike) -> DataFrame:
@@ -280,6 +276,6 @@ def active_loan_summary(schedule: DataFrame) -> DataFrame:
     return (schedule.where(~F.col("is_paid"))
             .groupBy("loan_name", "lender")
             .agg(F.count(F.lit(1)).alias("total_payments"),
-                 from_units(F.sum(units("payment_amount"))).alias("total_payments_amount"),
+                 money_sum("payment_amount").alias("total_payments_amount"),
                  F.max("payment_date").alias("final_payment_date"))
             .orderBy("loan_name", "lender"))
