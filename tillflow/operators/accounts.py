@@ -37,14 +37,19 @@ def category_rules(category_map: DataFrame) -> DataFrame:
 
 
 def _matched(rows: DataFrame, category_map: DataFrame, number: Column, leaf: Column) -> DataFrame:
-    """``rows`` with ``in_rule`` and ``out_rule``, by number or else by leaf name."""
+    """``rows`` with ``in_rule`` and ``out_rule``, by number or else by leaf name.
+
+    Rows without a number would all meet in one partition of the first join;
+    a stand-in key that matches nothing spreads them by leaf.
+    """
     rules = category_rules(category_map)
     pick = [F.min("in_rule").alias("in_rule"), F.min("out_rule").alias("out_rule")]
     by_number = (rules.where("number IS NOT NULL").groupBy("number").agg(*pick)
                  .select("number", F.struct("in_rule", "out_rule").alias("by_number")))
     by_leaf = (rules.groupBy("leaf").agg(*pick)
                .select("leaf", F.struct("in_rule", "out_rule").alias("by_leaf")))
-    joined = (rows.withColumn("_number", number).withColumn("_leaf", leaf)
+    stand_in = F.concat(F.lit("leaf:"), leaf)
+    joined = (rows.withColumn("_number", F.coalesce(number, stand_in)).withColumn("_leaf", leaf)
               .join(by_number, F.col("_number") == by_number["number"], "left")
               .join(by_leaf, F.col("_leaf") == by_leaf["leaf"], "left")
               .withColumn("_rules", F.coalesce("by_number", "by_leaf")))

@@ -209,11 +209,16 @@ def refund_flows(refunds: DataFrame, start: DateLike | None = None,
 
 def vendor_outflows(invoices: DataFrame, vendors: DataFrame, start: DateLike | None = None,
                     end: DateLike | None = None) -> DataFrame:
-    dated = with_payment_terms(
-        invoices.where(day_between(F.col("invoice_date"), start, end)), vendors)
-    return (dated
+    """Vendor payments by date.
+
+    Invoices are summed per day and vendor before the vendor join, so a vendor
+    with a large share of the rows reaches the join as one row per day.
+    """
+    per_day = (invoices.where(day_between(F.col("invoice_date"), start, end))
+               .groupBy("invoice_date", "vendor").agg(F.sum(units("total")).alias("whole")))
+    return (with_payment_terms(per_day, vendors)
             .groupBy(F.date_add("invoice_date", F.col("payment_days")).alias("cash_date"), "vendor")
-            .agg(negated_sum("total").alias("cash_amount"))
+            .agg(from_units(-F.sum("whole")).alias("cash_amount"))
             .select("cash_date", F.col("vendor").alias("platform"),
                     F.lit("Operating Outflows").alias("cash_flow_section"),
                     F.lit("Vendor Payments").alias("cash_flow_category"), "cash_amount"))

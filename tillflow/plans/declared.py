@@ -88,25 +88,39 @@ register("gl_to_ledger",
          lambda t: accounts.gl_to_ledger(t.gl_transactions, t.category_map, ids="hash").select(
              F.col("source_id").alias("entry_id"), "cash_date", "cash_flow_section",
              "cash_flow_category", "cash_flow_subcategory", "amount", "counterparty"), GL)
+
+
+def _accounts(t: TestTables):
+    """One account per supplier, every third a credit line."""
+    key = F.col("s_suppkey")
+    return t.raw("supplier").select(
+        F.concat(F.lit("acct-"), F.col("s_name")).alias("account_id"),
+        F.when(key % 3 == 0, "LOC").otherwise("Checking").alias("account_type"),
+        F.col("s_acctbal").alias("opening_balance"),
+        F.when(key % 3 == 0, F.lit(500000.0)).alias("credit_limit"))
+
+
+def _ledger_by_account(t: TestTables):
+    return t.ledger.withColumn("bank_account_id", F.concat(F.lit("acct-"), F.col("counterparty")))
+
+
 register("daily_balances",
-         lambda t: accounts.daily_balances(t.ledger, _ledger_accounts(t)), """
-SELECT cash_date AS balance_date, bank_account_id, 'LOC' AS account_type,
-       CAST(1000 + before AS DOUBLE) AS beginning_balance, CAST(1000 + before + net AS DOUBLE) AS ending_balance,
+         lambda t: accounts.daily_balances(_ledger_by_account(t), _accounts(t)), """
+SELECT cash_date AS balance_date, flows.bank_account_id, account_type,
+       CAST(opening + before AS DOUBLE) AS beginning_balance,
+       CAST(opening + before + net AS DOUBLE) AS ending_balance,
        CAST(inflow AS DOUBLE) AS total_inflows, CAST(outflow AS DOUBLE) AS total_outflows,
-       CAST(net AS DOUBLE) AS net_change, CAST(500000 AS DOUBLE) AS credit_limit,
-       CAST(500000 - (1000 + before + net) AS DOUBLE) AS available_credit
-FROM (SELECT *, SUM(net) OVER (PARTITION BY bank_account_id ORDER BY cash_date) - net AS before
-      FROM (SELECT bank_account_id, cash_date, SUM(amount) AS net,
+       CAST(net AS DOUBLE) AS net_change,
+       CASE WHEN account_type = 'LOC' THEN CAST(500000 AS DOUBLE) END AS credit_limit,
+       CASE WHEN account_type = 'LOC' THEN CAST(500000 - (opening + before + net) AS DOUBLE) END AS available_credit
+FROM (SELECT f.*, CASE WHEN s_suppkey % 3 = 0 THEN 'LOC' WHEN s_suppkey IS NOT NULL THEN 'Checking' END AS account_type,
+             coalesce(CAST(s_acctbal AS DECIMAL(18,4)), 0) AS opening,
+             SUM(net) OVER (PARTITION BY bank_account_id ORDER BY cash_date) - net AS before
+      FROM (SELECT 'acct-' || counterparty AS bank_account_id, cash_date, SUM(amount) AS net,
                    SUM(CASE WHEN amount > 0 THEN amount ELSE 0 END) AS inflow,
                    SUM(CASE WHEN amount < 0 THEN abs(amount) ELSE 0 END) AS outflow
-            FROM actuals GROUP BY ALL))""")
-
-
-def _ledger_accounts(t: TestTables):
-    return t.spark.range(1).select(
-        F.lit("operating_checking").alias("account_id"), F.lit("LOC").alias("account_type"),
-        F.lit(1000.0).alias("opening_balance"), F.lit(500000.0).alias("credit_limit"))
-
+            FROM actuals GROUP BY ALL) f
+      LEFT JOIN supplier ON 'acct-' || s_name = f.bank_account_id) flows""")
 
 register("budget_variance", lambda t: accounts.budget_variance(t.budget, t.ledger), """
 SELECT coalesce(b.period_start_date, a.period_start_date) AS period_start_date,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tillflow.functions.money import units
 from tillflow.operators import etl, forecast, views
 from tillflow.plans.registry import AS_OF, SCENARIOS, register
@@ -102,11 +104,11 @@ register("delete_loan",
 
 
 def _forecast_runs(t: TestTables):
-    """Roll-ups of two runs with different start balances in one forecast table."""
-    lines = planned_lines(t)
-    older = forecast.cash_forecast_rollup(lines, 100000.0, AS_OF, forecast_id="run-1")
-    newer = forecast.cash_forecast_rollup(lines, 250000.0, AS_OF, forecast_id="run-2")
-    return older.unionByName(newer)
+    """A forecast table with an older and a newer run; they differ in cash."""
+    run = forecast.cash_forecast_rollup(planned_lines(t), 250000.0, AS_OF)
+    runs = run.withColumn("forecast_id", F.explode(F.array(F.lit("run-1"), F.lit("run-2"))))
+    return runs.withColumn("ending_cash", F.when(F.col("forecast_id") == "run-1", 0.0)
+                           .otherwise(F.col("ending_cash")))
 
 
 def planned_lines(t: TestTables):
