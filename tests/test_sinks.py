@@ -85,3 +85,20 @@ def test_undated_table_round_trip(spark, path):
 
     sinks.write_table(seeds.seed_scenarios(spark), "scenarios", path)
     assert sinks.read_table(spark, "scenarios", path).count() == 3
+
+
+def test_whole_warehouse(spark, tables, path):
+    from tillflow.sources import store
+    from tillflow.sources.warehouse import Warehouse
+
+    for _ in range(2):
+        store.create_tables(spark, path)
+        store.seed_tables(spark, path)
+    sinks.append_ledger(tables.actual_ledger, f"{path}/cash_transactions")
+    house = Warehouse(spark, tables=store.open_tables(spark, path, AS_OF))
+    assert house.catalog_check().where("NOT found").count() == 0
+    assert [r["row_count"] for r in house.seed_check().orderBy("table_name").collect()] == [7, 3]
+    store.register_views(spark, path, AS_OF)
+    total = spark.sql("SELECT sum(transaction_count) AS n FROM v_daily_cash_flow").first()["n"]
+    assert total == tables.actual_ledger.count()
+    assert house.table("v_cash_position").first()["total_cash"] is None
