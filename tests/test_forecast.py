@@ -76,8 +76,7 @@ def test_lookback_has_no_upper_end(frame):
 @pytest.fixture
 def lines(frame):
     history = ledger(frame, ("2026-01-01", "Operating", "A", "x", -70.0, False))
-    no_debt = frame(DEBT).where("false") if False else frame(
-        DEBT, ("2020-01-01", "L", "B", 1.0, 1.0, 0.0, False))
+    no_debt = frame(DEBT, ("2020-01-01", "L", "B", 1.0, 1.0, 0.0, False))
     return forecast.weekly_forecast(history, recurring(frame), no_debt, AS_OF, 4,
                                     ("base", "best", "worst", "odd"), weekly_revenue=1000.0)
 

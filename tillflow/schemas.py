@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.types import (ArrayType, BooleanType, DataType, DateType, DoubleType, LongType,
                                StringType, StructField, StructType, TimestampType)
 
@@ -352,12 +351,18 @@ NOW_COLUMNS = ("created_at", "updated_at", "imported_at")
 NO_CREATOR_DEFAULT = [BUDGET, SCENARIOS, FORECAST_ASSUMPTIONS]
 
 
-def _missing(field: StructField, schema: StructType) -> Column:
+def _literal(value: object) -> str:
+    if value is None:
+        return "NULL"
+    return f"'{value}'" if isinstance(value, str) else str(value)
+
+
+def _missing(field: StructField, schema: StructType) -> str:
     if field.name in NOW_COLUMNS:
-        return F.current_timestamp()
+        return "current_timestamp()"
     if field.name == "created_by" and schema in NO_CREATOR_DEFAULT:
-        return F.lit(None)
-    return F.lit(DEFAULTS.get(field.name))
+        return "NULL"
+    return _literal(DEFAULTS.get(field.name))
 
 
 def fill_missing(rows: DataFrame, schema: StructType) -> DataFrame:
@@ -369,6 +374,6 @@ def fill_missing(rows: DataFrame, schema: StructType) -> DataFrame:
     absent = [f.name for f in schema if not f.nullable and f.name not in have]
     if absent:
         raise ValueError(f"missing required columns: {', '.join(absent)}")
-    return rows.select(*[
-        (F.col(f.name) if f.name in have else _missing(f, schema))
-        .cast(f.dataType).alias(f.name) for f in schema])
+    return rows.selectExpr(*[
+        f"CAST({f.name if f.name in have else _missing(f, schema)} "
+        f"AS {f.dataType.simpleString()}) AS {f.name}" for f in schema])

@@ -29,6 +29,12 @@ def _choose(key: Column, values: list, default=None) -> Column:
     return out if default is None else out.otherwise(F.lit(default))
 
 
+def _platform(last: str) -> str:
+    """Sales channel by order priority; ``last`` names the fifth."""
+    return ("CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'Amazon' WHEN '2' THEN 'Shopify' "
+            f"WHEN '3' THEN 'TikTok' WHEN '4' THEN 'Wholesale' ELSE '{last}' END")
+
+
 def _supplier_name(key: Column) -> Column:
     return F.concat(F.lit("Supplier#"), F.lpad(key.cast("string"), 9, "0"))
 
@@ -41,9 +47,13 @@ class TestTables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """One of the given tables; its footer is read once."""
+        if name not in self._raw:
+            self._raw[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._raw[name]
 
     # ---- sales ------------------------------------------------------------
 
@@ -52,61 +62,54 @@ class TestTables:
         """Every sales line with platform, components and its return flag."""
         orders = self.raw("orders").select("o_orderkey", "o_custkey", "o_orderpriority")
         lines = self.raw("lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        priority = F.substring("o_orderpriority", 1, 1)
-        platform = (F.when(priority == "1", "Amazon").when(priority == "2", "Shopify")
-                    .when(priority == "3", "TikTok").when(priority == "4", "Wholesale")
-                    .otherwise("Whiskey"))
-        ext = F.col("l_extendedprice")
-        day = F.to_date("l_shipdate")
         money = {
-            "product_sales": ext,
-            "shipping_credits": ext * F.col("l_tax"),
-            "gift_wrap_credits": F.when(F.col("l_linenumber") == 7, 1.5).otherwise(0.0),
-            "promotional_rebates": -ext * F.col("l_discount"),
-            "selling_fees": F.when(F.col("l_linenumber") != 6, ext * -0.15),
-            "fba_fees": ext * -0.05,
-            "other_transaction_fees": F.lit(-0.3),
+            "product_sales": "l_extendedprice",
+            "shipping_credits": "l_extendedprice * l_tax",
+            "gift_wrap_credits": "CASE WHEN l_linenumber = 7 THEN 1.5D ELSE 0.0D END",
+            "promotional_rebates": "-l_extendedprice * l_discount",
+            "selling_fees": "CASE WHEN l_linenumber <> 6 THEN l_extendedprice * -0.15D END",
+            "fba_fees": "l_extendedprice * -0.05D",
+            "other_transaction_fees": "-0.3D",
         }
-        exact = {name: units(value) for name, value in money.items()}
-        total = sum((F.coalesce(v, F.lit(0)) for v in exact.values()), F.lit(0).cast("bigint"))
-        settlement = F.year(day) * 1000 + F.floor(F.dayofyear(day) / 14)
-        return lines.select(
-            platform.alias("platform"),
-            F.col("l_shipdate").alias("date_time"),
-            settlement.cast("bigint").alias("settlement_id"),
-            F.lit("Order").alias("type"),
-            F.col("l_orderkey").cast("string").alias("order_id"),
-            F.col("l_partkey").cast("string").alias("sku"),
-            F.lit("Sale").alias("description"),
-            F.col("l_quantity").cast("bigint").alias("quantity"),
-            F.lit("web").alias("marketplace"),
-            F.lit("Merchant").alias("fulfillment"),
-            *[from_units(v).alias(name) for name, v in exact.items()],
-            *[F.lit(0.0).alias(c) for c in ("product_sales_tax", "shipping_credits_tax",
-                                            "gift_wrap_credits_tax", "promotional_rebate_tax",
-                                            "marketplace_tax")],
-            from_units(total).alias("total"),
-            F.col("o_custkey").alias("customer_id"),
-            F.col("l_linenumber").cast("bigint").alias("order_line_id"),
-            F.col("l_returnflag").alias("return_flag"),
+        exact = {name: f"CAST(rint(({text}) * 10000D) AS BIGINT)" for name, text in money.items()}
+        total = " + ".join(f"coalesce({text}, 0L)" for text in exact.values())
+        taxes = ["product_sales_tax", "shipping_credits_tax", "gift_wrap_credits_tax",
+                 "promotional_rebate_tax", "marketplace_tax"]
+        return lines.selectExpr(
+            _platform("Whiskey") + " AS platform",
+            "l_shipdate AS date_time",
+            "CAST(year(l_shipdate) * 1000 + floor(dayofyear(l_shipdate) / 14) AS BIGINT) AS settlement_id",
+            "'Order' AS type",
+            "CAST(l_orderkey AS STRING) AS order_id",
+            "CAST(l_partkey AS STRING) AS sku",
+            "'Sale' AS description",
+            "CAST(l_quantity AS BIGINT) AS quantity",
+            "'web' AS marketplace",
+            "'Merchant' AS fulfillment",
+            *[f"CAST({text} AS DOUBLE) / 10000D AS {name}" for name, text in exact.items()],
+            *[f"0.0D AS {name}" for name in taxes],
+            f"CAST({total} AS DOUBLE) / 10000D AS total",
+            "o_custkey AS customer_id",
+            "CAST(l_linenumber AS BIGINT) AS order_line_id",
+            "l_returnflag AS return_flag",
         )
 
     @cached_property
     def deposits(self) -> DataFrame:
-        return self.sales_lines.where("return_flag <> 'R'").drop("return_flag")
+        return self.sales_lines.where("return_flag <> 'R'")
 
     @cached_property
     def refunds(self) -> DataFrame:
         money = ["product_sales", "shipping_credits", "gift_wrap_credits",
                  "promotional_rebates", "selling_fees", "fba_fees",
                  "other_transaction_fees", "total"]
-        lines = self.sales_lines.where("return_flag = 'R'").drop("return_flag")
+        lines = self.sales_lines.where("return_flag = 'R'")
         # 0 - x, not -x: the negative of 0.0 would be -0.0
         return lines.withColumns({c: 0.0 - F.col(c) for c in money})
 
     @cached_property
     def fees(self) -> DataFrame:
-        return self.sales_lines.drop("return_flag")
+        return self.sales_lines
 
     @cached_property
     def sales_orders(self) -> DataFrame:
@@ -378,10 +381,7 @@ class TestTables:
     @cached_property
     def budget(self) -> DataFrame:
         """Monthly budget by platform, from open orders."""
-        priority = F.substring("o_orderpriority", 1, 1)
-        platform = (F.when(priority == "1", "Amazon").when(priority == "2", "Shopify")
-                    .when(priority == "3", "TikTok").when(priority == "4", "Wholesale")
-                    .otherwise("Outlet"))
+        platform = F.expr(_platform("Outlet"))
         month = month_start(F.to_date("o_orderdate"))
         return (self.raw("orders")
                 .groupBy(month.alias("period_start_date"),
