@@ -99,6 +99,10 @@ def test_whole_warehouse(spark, tables, path):
     assert house.catalog_check().where("NOT found").count() == 0
     assert [r["row_count"] for r in house.seed_check().orderBy("table_name").collect()] == [7, 3]
     store.register_views(spark, path, AS_OF)
-    total = spark.sql("SELECT sum(transaction_count) AS n FROM v_daily_cash_flow").first()["n"]
+    try:
+        total = spark.sql("SELECT sum(transaction_count) AS n FROM v_daily_cash_flow").first()["n"]
+    finally:
+        for name in house.tables:  # other tests look at the catalog
+            spark.catalog.dropTempView(name)
     assert total == tables.actual_ledger.count()
     assert house.table("v_cash_position").first()["total_cash"] is None
