@@ -84,7 +84,8 @@ register("coa_csv_scan", lambda t: files.parse_account_list(t.coa_lines()),
          "SELECT * EXCLUDE (leaf, parent_name) FROM chart")
 register("payout_csv_scan",
          lambda t: files.parse_payout_report(t.payout_csv_lines()).select(
-             F.col("transaction_time").cast("timestamp_ntz").alias("transaction_time"),
+             F.to_utc_timestamp("transaction_time", F.current_timezone())
+              .cast("timestamp_ntz").alias("transaction_time"),
              "order", "payout_id", "payout_date", "amount", "fee", "net", "currency"),
          """SELECT date_trunc('second', transaction_time) + INTERVAL 6 HOUR AS transaction_time,
                    '#' || event_id AS "order", payout_id, payout_date,
