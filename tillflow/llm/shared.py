@@ -73,3 +73,25 @@ def slices(batches: Iterator[pa.RecordBatch], column: str,
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The column as Python strings; null becomes empty."""
     return [t or "" for t in batch.column(batch.schema.get_field_index(column)).to_pylist()]
+
+
+def words_of(text, separators: str, trim: str):
+    """Words of a text column: split at ``separators`` (a pattern), none of them empty.
+
+    ``trim`` lists the characters of the pattern.
+    """
+    bare = F.btrim(F.coalesce(text, F.lit("")), F.lit(trim))
+    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, separators))
+
+
+BLANKS = " \t\n\x0b\x0c\r"
+
+
+def word_places(words: str, least: int):
+    """One row per word position that starts ``least`` words; null for shorter texts.
+
+    The outer form keeps the optimizer from splitting texts a second time in a
+    filter below the generator.
+    """
+    last = F.size(words) - least
+    return F.explode_outer(F.when(last >= 0, F.sequence(F.lit(0), last)))

@@ -41,7 +41,7 @@ BLOCK = 512
 HEADER = "<8sBBxxxxxxqQQ"  # magic, id bytes, null ids flag, least id, documents, nulls
 MAGIC = b"TOKSEF01"
 READ_BYTES = 8 << 20
-MEMO_ENTRIES = 500_000
+MEMO_ENTRIES = 200_000
 
 MANIFEST = ("first_id long, last_id long, documents long, tokens long, ids_file string, "
             "index_file string")
@@ -104,15 +104,36 @@ class EliasFano:
 
 # ------------------------------------------------------------------ encoding
 
+class _Memo(dict):
+    """A dict that makes missing values and keeps the first MEMO_ENTRIES of them."""
+
+    def __init__(self, make) -> None:
+        self.make = make
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.make(key)
+        if len(self) < MEMO_ENTRIES:
+            self[key] = value
+        return value
+
+
+def byte_characters() -> dict[int, str]:
+    """The character by which byte-level vocabularies write each byte: itself where it
+    is printable in Latin-1, else the next free one from U+0100."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = (b for b in range(256) if b not in shown)
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 class Encoder:
-    """Whole-text ids of a byte-level BPE file of the tokenizers library.
-
-    Its pre-tokenizer never joins characters across the point before a space
-    that a non-space follows, so text is cut there and the library encodes each
-    distinct piece once; the first ``MEMO_ENTRIES`` pieces are kept.  A new piece
-    that is a word and a mark is cut between the two, which the pre-tokenizer
-    also keeps apart.  A text that holds a special token, or a
-    tokenizer of another kind, goes to the library whole.
+    """Whole-text ids of a file of the tokenizers library.
+
+    The pre-tokenizer of a byte-level BPE never joins characters across the point
+    before a space that a non-space follows, nor a run of letters with a mark or
+    with one line feed before another letter.
+    Texts are cut there, and the library's model runs once per distinct word of
+    the first ``MEMO_ENTRIES``.  Other pieces, texts that hold a special token and tokenizers
+    of another kind go to the library as they are.
     """
 
     # A space before another blank is no place to cut; such texts take the slower cut.
@@ -134,14 +155,16 @@ class Encoder:
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         pre = spec["pre_tokenizer"] or {}
-        self.local = (spec["normalizer"] is None and pre.get("type") == "ByteLevel"
-                      and pre.get("use_regex", True) and not pre.get("add_prefix_space", True))
         self.special = [t["content"] for t in spec["added_tokens"]]
-        self.local = self.local and not any(re.search(r"\s", t) for t in self.special)
+        self.local = (spec["normalizer"] is None and pre.get("type") == "ByteLevel"
+                      and pre.get("use_regex", True) and not pre.get("add_prefix_space", True)
+                      and not any(re.search(r"\s", t) for t in self.special))
         self.all_blanks = [" " + b for b in self.BLANKS]
         self.ascii_blanks = [b for b in self.all_blanks if b.isascii()]
-        self.pieces = _Memo()
-        self.words: dict[str, bytes] = {}
+        self.shown = byte_characters()
+        self.model = self.tokenizer.model
+        self.words = _Memo(self._word)
+        self.pieces = _Memo(lambda piece: self._piece(" " + piece))
 
     def _cut(self, text: str) -> list[str]:
         after = self.ascii_blanks if text.isascii() else self.all_blanks
@@ -149,57 +172,30 @@ class Encoder:
             return self.CUT.split(text)
         return text.split(" ")
 
-    def _library(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array(self.code, e.ids).tobytes() for e in found]
-
-    def _learn(self, fresh: list[str]) -> dict[str, bytes]:
-        """Ids of pieces that are not known yet."""
-        split, need = {}, {}
-        for piece in fresh:
-            match = self.WORD.match(piece)
-            split[piece] = parts = match.groups() if match else (piece, "")
-            for part in parts:
-                if part and part not in self.words:
-                    need[part] = None
-        got = dict(zip(need, self._library(list(need)))) if need else {}
-        words = self.words
-        out = {}
-        for piece, (head, tail) in split.items():
-            ids = got[head] if head in got else words[head]
-            if tail:
-                ids += got[tail] if tail in got else words[tail]
-            out[piece] = ids
-        words.update(list(got.items())[:max(0, MEMO_ENTRIES - len(words))])
-        return out
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian bytes of ``self.code``."""
-        if not self.local:
-            return self._library(texts)
-        whole = [i for i, t in enumerate(texts) if any(s in t for s in self.special)]
-        done = dict(zip(whole, self._library([texts[i] for i in whole]))) if whole else {}
-        cuts = [[] if i in done else self._cut(t) for i, t in enumerate(texts)]
-        heads = self._learn(list({c[0] for c in cuts if c and c[0]}))
-        memo = self.pieces
-        fresh = list({p for c in cuts for p in c[1:] if p not in memo})
-        if fresh:
-            ids = self._learn([" " + p for p in fresh])
-            memo.extra = {p: ids[" " + p] for p in fresh}
-        out = [heads.get(c[0], b"") + b"".join(map(memo.__getitem__, c[1:])) if c
-               else done[i] for i, c in enumerate(cuts)]
-        memo.update(list(memo.extra.items())[:max(0, MEMO_ENTRIES - len(memo))])
-        memo.extra = {}
-        return out
-
+    def whole(self, text: str) -> bytes:
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return array(self.code, ids).tobytes()
 
-class _Memo(dict):
-    """Kept pieces; those of the present batch only are looked up in ``extra``."""
+    def _word(self, word: str) -> bytes:
+        written = word.encode().decode("latin-1").translate(self.shown)
+        return array(self.code, [t.id for t in self.model.tokenize(written)]).tobytes()
 
-    extra: dict[str, bytes] = {}
+    def _piece(self, piece: str) -> bytes:
+        lines = [self.WORD.match(line) for line in piece.split("\n")]
+        if not all(lines):
+            return self.whole(piece)
+        words = self.words
+        return words["\n"].join(words[word] + words[mark] if mark else words[word]
+                                for word, mark in (m.groups() for m in lines))
 
-    def __missing__(self, piece: str) -> bytes:
-        return self.extra[piece]
+    def encode(self, text: str) -> bytes:
+        """Ids of a text as little-endian bytes of ``self.code``."""
+        if not text:
+            return b""
+        if not self.local or any(s in text for s in self.special):
+            return self.whole(text)
+        first, *rest = self._cut(text)
+        return (self._piece(first) if first else b"") + b"".join(map(self.pieces.__getitem__, rest))
 
 
 # --------------------------------------------------------------- write, read
@@ -217,8 +213,8 @@ def _shard_writer(root: str, tokenizer: str, end_id: int | None):
                 closing = b"" if end_id is None else array(encoder.code, [end_id]).tobytes()
                 width = array(encoder.code).itemsize
                 sink = files.open_output_stream(ids_file)
-            parts = encoder.encode(texts_of(batch))
-            for key, ids in zip(batch.column(0).to_pylist(), parts):
+            for key, text in zip(batch.column(0).to_pylist(), texts_of(batch)):
+                ids = encoder.encode(text)
                 sink.write(ids + closing)
                 total += (len(ids) + len(closing)) // width
                 ends.append(total)
