@@ -10,8 +10,8 @@ its k-grams on one diagonal, a notice ``COVER`` of its k-grams within a span
 not much longer than itself.
 
 Phrases are the base set; notices are added by this method.  The templates are
-a short list in this module, a few hundred k-grams, so Catalyst broadcasts them and the
-scan runs in one code-generated stage from which only matches leave.
+a short list in this module, a few hundred k-grams, which is broadcast, and the scan
+runs in one code-generated stage from which only matches leave.
 """
 
 from __future__ import annotations
@@ -88,7 +88,8 @@ def scan(docs: DataFrame) -> DataFrame:
     windows = texts.select("doc_id", "text_hash", "words",
                            word_places("words", PHRASE_K).alias("at"))
     windows = windows.withColumn("gram", F.xxhash64(word(0), word(1)))
-    found = windows.join(grams(docs.sparkSession), "gram").where(
+    # A hint, as Spark has no size for rows made on the driver: the module's list above.
+    found = windows.join(F.broadcast(grams(docs.sparkSession)), "gram").where(
         (word(0) == F.col("one")) & (word(1) == F.col("two"))
         & (F.col("three").isNull() | (word(2) == F.col("three"))))
     votes = found.groupBy("doc_id", "text_hash", "template", "label", "phrase", "grams",
