@@ -25,7 +25,7 @@ from tillflow.llm.shared import BLANK, written
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 MOST = 2.0
-BLOCK_ROWS = 20_000
+BLOCK_ROWS = 2_000
 # A prime modulus and multiplier scatter ids within a block's order.
 PRIME, STEP = 1_000_003, 7_919
 

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm import mixing, token_counts, token_store, trie_dedup
+from tillflow.llm import (decontaminate, license_scan, mixing, token_counts, token_store,
+                          toxicity, trie_dedup)
 
 
 def tokenizer_path(name: str) -> str:
@@ -20,11 +21,21 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    leaks = decontaminate.find_leaks(table(spark, folder, "documents"),
+                                     table(spark, folder, "benchmark"))
+    return leaks.select("doc_id", "item_id", "item_words", "points", "first_word")
+
+
 def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder, "documents"),
                                      tokenizer_path("piece_bpe_32k.model"))
 
 
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op7_token_store(spark: SparkSession, folder: str) -> DataFrame:
     root = token_store.write_store(table(spark, folder, "documents"),
                                    tokenizer_path("byte_bpe_50k.json"))
@@ -35,6 +46,10 @@ def op8_trie_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return trie_dedup.exact_duplicates(table(spark, folder, "documents"))
 
 
+def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan(table(spark, folder, "documents"))
+
+
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"), keep=["doc_id"])
     return mixed.select("doc_id", "size", "source_size", "target",
@@ -42,9 +57,12 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_token_counts": op2_token_counts,
+    "op6_toxicity": op6_toxicity,
     "op7_token_store": op7_token_store,
     "op8_trie_dedup": op8_trie_dedup,
+    "op9_license_scan": op9_license_scan,
     "op10_mixing": op10_mixing,
 }
 
@@ -87,7 +105,7 @@ placed AS (
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY source ORDER BY class,
-              scatter % ceil(n_rows / 20000.0)::BIGINT, size, scatter, id) AS rank
+              scatter % ceil(n_rows / 2000.0)::BIGINT, size, scatter, id) AS rank
   FROM placed)
 SELECT doc_id, size, source_size, target,
        ((floor(rank * rate + shift) - floor((rank - 1) * rate + shift))::BIGINT * size)::BIGINT AS taken
