@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm import (decontaminate, license_scan, mixing, token_counts, token_store,
+from tillflow.llm import (decontaminate, license_scan, mixing, ngram_join, token_counts, token_store,
                           toxicity, trie_dedup)
 
 
@@ -32,6 +32,10 @@ def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
                                      tokenizer_path("piece_bpe_32k.model"))
 
 
+def op4_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.similar_components(table(spark, folder, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -59,6 +63,7 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_token_counts": op2_token_counts,
+    "op4_ngram_join": op4_ngram_join,
     "op6_toxicity": op6_toxicity,
     "op7_token_store": op7_token_store,
     "op8_trie_dedup": op8_trie_dedup,
