@@ -61,14 +61,13 @@ class Shingler:
             self.known[word] = code
         return code
 
-    def __call__(self, text: str) -> np.ndarray:
-        # bytes.lower and bytes.split know ASCII letters and ASCII white space only
+    def sequence(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the words and of their n-grams, in the order of the words."""
         known = self.known
-        codes = [known[w] if w in known else self._hash(w) for w in text.encode().lower().split()]
-        h = np.array(codes, U)
+        h = np.array([known[w] if w in known else self._hash(w) for w in words], U)
         size = min(self.size, len(h))
         if not size:
-            return h
+            return h, h
         with np.errstate(over="ignore"):
             grams = np.full(len(h) - size + 1, size, U)
             for k in range(size):
@@ -76,7 +75,11 @@ class Shingler:
                 grams ^= grams >> U(29)
             grams *= self.MIX
             grams ^= grams >> U(32)
-        return np.unique(grams)
+        return h, grams
+
+    def __call__(self, text: str) -> np.ndarray:
+        # bytes.lower and bytes.split know ASCII letters and ASCII white space only
+        return np.unique(self.sequence(text.encode().lower().split())[1])
 
 
 def signature(grams: np.ndarray) -> int:
@@ -252,7 +255,7 @@ def _fragments(wanted, bits: int, shared):
     return build
 
 
-def _flags(nodes: DataFrame, column: str):
+def node_flags(nodes: DataFrame, column: str):
     """(broadcast bitmap, its bits) of the nodes' upper bits, at most 32 MB; a clash lets
     a set pass that the join then drops."""
     count = nodes.count()
@@ -270,7 +273,7 @@ def _flags(nodes: DataFrame, column: str):
 def _verified(texts: DataFrame, pairs: DataFrame, shared) -> DataFrame:
     """Those (a, b) of ``pairs`` (a, b, na, nb) with 100 * overlap >= 75 * union."""
     nodes = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
-    wanted, bits = _flags(nodes, "node")
+    wanted, bits = node_flags(nodes, "node")
     parts = (texts.mapInArrow(_fragments(wanted, bits, shared),
                               "node long, fragment int, grams array<long>")
              .repartition("node").dropDuplicates(["node", "fragment"]))

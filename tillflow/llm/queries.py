@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm import (decontaminate, license_scan, mixing, ngram_join, token_counts, token_store,
-                          toxicity, trie_dedup)
+from tillflow.llm import (decontaminate, license_scan, line_frequency, mixing, ngram_join,
+                          paragraph_dedup, token_counts, token_store, toxicity, trie_dedup)
 
 
 def tokenizer_path(name: str) -> str:
@@ -32,10 +32,21 @@ def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
                                      tokenizer_path("piece_bpe_32k.model"))
 
 
+def op3_paragraph_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return paragraph_dedup.repeated_passages(table(spark, folder, "documents"))
+
+
 def op4_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.similar_components(table(spark, folder, "documents"))
 
 
+def op5_line_frequency(spark: SparkSession, folder: str) -> DataFrame:
+    pages = line_frequency.page_lines(table(spark, folder, "pages"))
+    cleaned = line_frequency.drop_boilerplate(pages)
+    return cleaned.select("page_id", "host", "n_lines", "n_dropped",
+                          F.array_join("lines", "\n").alias("text"))
+
+
 def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -63,7 +74,9 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_token_counts": op2_token_counts,
+    "op3_paragraph_dedup": op3_paragraph_dedup,
     "op4_ngram_join": op4_ngram_join,
+    "op5_line_frequency": op5_line_frequency,
     "op6_toxicity": op6_toxicity,
     "op7_token_store": op7_token_store,
     "op8_trie_dedup": op8_trie_dedup,
@@ -75,6 +88,34 @@ LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdef
 WORDS_SQL = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
 ORACLES: dict[str, str] = {
+    "op5_line_frequency": r"""
+WITH bare AS (
+  SELECT page_id, lower(nullif(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:@]+)', 1), '')) AS host,
+         regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''),
+           '<!--.*?-->', ' ', 'gs'), '<(script|style)\b.*?</(script|style)>', ' ', 'gis'),
+           '<(/?(p|br|li|h1|h2|h3|div|nav|ul|article|footer|title|tr))\b[^>]*>', chr(10), 'gi'),
+           '<[^>]*>', '', 'g') AS body
+  FROM pages),
+cut AS (
+  SELECT row_number() OVER () AS row, page_id, host,
+         list_filter(list_transform(string_split(body, chr(10)), lambda x: trim(x, chr(32) || chr(9) || chr(13))),
+                     lambda x: x <> '') AS lines
+  FROM bare),
+totals AS (SELECT host, count(*) AS pages FROM cut GROUP BY host),
+seen AS (
+  SELECT host, line, count(*) AS n
+  FROM (SELECT DISTINCT row, host, unnest(lines) AS line FROM cut) GROUP BY host, line),
+common AS (
+  SELECT s.host, list(line) AS gone
+  FROM seen s JOIN totals t ON s.host IS NOT DISTINCT FROM t.host
+  WHERE n >= 2 AND n * 2 > pages GROUP BY s.host),
+kept AS (
+  SELECT c.page_id, c.host, c.lines,
+         list_filter(c.lines, lambda x: NOT list_contains(coalesce(gone, []), x)) AS left_over
+  FROM cut c LEFT JOIN common m ON c.host IS NOT DISTINCT FROM m.host)
+SELECT page_id, host, len(lines)::BIGINT AS n_lines, (len(lines) - len(left_over))::BIGINT AS n_dropped,
+       array_to_string(left_over, chr(10)) AS text
+FROM kept""",
     "op8_trie_dedup": f"""
 WITH normal AS (SELECT doc_id, sha256({LOWER_SQL}) AS text_sha256, {LOWER_SQL} AS body FROM documents),
 grouped AS (SELECT body, max(doc_id) AS keep_id, count(*) AS group_size FROM normal GROUP BY body)
