@@ -125,8 +125,9 @@ def mix(docs: DataFrame, keep: list[str] | None = None, share: float = SHARE,
     return ranked.select(*kept, "size", "source_size", "target", copies.alias("copies"))
 
 
-def emit(mixed: DataFrame, columns: list[str]) -> DataFrame:
-    """Each row of ``mixed`` as often as its copies say, with ``columns`` only."""
-    named = [F.col(f"`{c}`") for c in columns]
+def mixed_rows(docs: DataFrame, **settings) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them, columns as they are."""
+    rows = docs.select(F.struct("*").alias("_doc"), "doc_id", "text", "source")
+    taken = mix(rows, keep=["_doc"], **settings).where("copies > 0")
     times = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
-    return (mixed.where("copies > 0").select(*named, times.alias("_copy")).select(*named))
+    return taken.select("_doc", times.alias("_copy")).select("_doc.*")

@@ -93,9 +93,9 @@ def _signer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text"):
         sets = [make(t) for t in texts_of(batch)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
+            [batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()),
              pa.array([signature(s) for s in sets], pa.int64())],
-            names=["doc_id", "n", "sig"])
+            names=["doc_id", "text_hash", "n", "sig"])
 
 
 def _sets(batch: pa.RecordBatch, make: Shingler) -> dict[int, np.ndarray]:
@@ -304,20 +304,14 @@ def _pair(one: str, two: str) -> list:
             F.when(a < b, na).otherwise(nb).alias("na"), F.when(a < b, nb).otherwise(na).alias("nb")]
 
 
-def similar_components(docs: DataFrame, rare: int = RARE) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row.
-
-    Words are runs without white space, A-Z lowered; a text of fewer than 5 words
-    is one n-gram; a null text or one without words has 0 and is linked with nothing,
-    so its component is its own doc_id.  Equal sets are linked.  ``component_id`` is the
-    smallest doc_id of the component; rows without a doc_id belong to components
-    but never name one, unless the component has no id at all (then null).
-    Repeated rows stay rows.  Other columns are ignored.
-    """
+def _linked(docs: DataFrame, rare: int) -> DataFrame:
+    """(doc_id, text_hash, n, root) of every row; rows of one component share a root."""
     spark = docs.sparkSession
     texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
-    signs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signs = written(signs.mapInArrow(_signer, "doc_id long, n long, sig long"), "signs")
+    signs = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                        F.xxhash64("text").alias("text_hash"), "text")
+    signs = written(signs.mapInArrow(_signer, "doc_id long, text_hash long, n long, sig long"),
+                    "signs")
     total = signs.agg(F.sum("n")).first()[0] or 0
     bits = min(16, max(6, math.ceil(math.log2(total / RANGE_KEYS + 1))))
 
@@ -356,9 +350,50 @@ def similar_components(docs: DataFrame, rare: int = RARE) -> DataFrame:
     if not second.isEmpty():
         links = links.unionByName(_verified(texts, second, shared))
         roots = components(links)
-    nodes = signs.join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn(
-        "root", F.coalesce("root", "sig"))
+    nodes = signs.join(roots.withColumnRenamed("node", "sig"), "sig", "left")
+    return nodes.select("doc_id", "text_hash", "n", F.coalesce("root", "sig").alias("root"))
+
+
+def similar_components(docs: DataFrame, rare: int = RARE) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row.
+
+    Words are runs without white space, A-Z lowered; a text of fewer than 5 words
+    is one n-gram; a null text or one without words has 0 and is linked with nothing,
+    so its component is its own doc_id.  Equal sets are linked.  ``component_id`` is the
+    smallest doc_id of the component; rows without a doc_id belong to components
+    but never name one, unless the component has no id at all (then null).
+    Repeated rows stay rows.  Other columns are ignored.
+    """
+    nodes = _linked(docs, rare)
     least = nodes.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
     return nodes.join(least, "root", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, rare: int = RARE) -> DataFrame:
+    """The rows of ``docs`` with the smallest doc_id of their component, columns as they are.
+
+    Rows without words are in no component and all stay.  Rows without a doc_id stay only
+    if nothing else in their component has one.  Of rows equal in doc_id and text one
+    stays; of different texts under one doc_id the one with the smaller hash.
+    """
+    nodes = written(_linked(docs, rare), "linked")
+    rank = F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "text_hash")
+    keep = nodes.where("n > 0").groupBy("root").agg(F.min(rank).alias("r")).select(
+        "root", F.col("r.doc_id").alias("_id"), F.col("r.text_hash").alias("_hash"))
+    copies = nodes.where("n > 0").groupBy("doc_id", "text_hash", "root").agg(
+        F.count(F.lit(1)).alias("_copies"))
+    keep = copies.join(keep, "root").where(
+        F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
+    wordless = nodes.where("n = 0").select(
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.lit(1).cast("long").alias("_copies"))
+    keep = keep.select("_id", "_hash", "_copies").unionByName(wordless.distinct())
+    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_own"),
+                       F.xxhash64("text").alias("_text_hash"))
+    kept = rows.join(keep, F.col("_own").eqNullSafe(F.col("_id"))
+                     & (F.col("_text_hash") == F.col("_hash")))
+    # Rows that repeat a document are few; only those are shuffled once more.
+    once = kept.where("_copies = 1").select("_row.*")
+    repeated = kept.where("_copies > 1").dropDuplicates(["_own", "_text_hash"]).select("_row.*")
+    return once.unionByName(repeated)
