@@ -35,51 +35,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillflow.llm.components import components
-from tillflow.llm.shared import slices, texts_of, written
+from tillflow.llm.shared import slices, written
+from tillflow.llm.word_hashes import U, Words
 
 WORDS = 5
 RARE = 32
 MAP_BITS = 26
 RANGE_KEYS = 1 << 20
-MEMO_ENTRIES = 200_000
-U = np.uint64
+SLICE = 2 << 20
 
 
-class Shingler:
-    """Sorted distinct hashes of a text's word 5-grams; fewer words make one n-gram."""
-
-    BASE, MIX = U(0x9E3779B97F4A7C15), U(0xBF58476D1CE4E5B9)
-
-    def __init__(self, words: int = WORDS) -> None:
-        self.size, self.known = words, {}
-
-    def _hash(self, word: bytes) -> int:
-        import xxhash
-
-        code = xxhash.xxh3_64_intdigest(word)
-        if len(self.known) < MEMO_ENTRIES:
-            self.known[word] = code
-        return code
-
-    def sequence(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of the words and of their n-grams, in the order of the words."""
-        known = self.known
-        h = np.array([known[w] if w in known else self._hash(w) for w in words], U)
-        size = min(self.size, len(h))
-        if not size:
-            return h, h
-        with np.errstate(over="ignore"):
-            grams = np.full(len(h) - size + 1, size, U)
-            for k in range(size):
-                grams = grams * self.BASE + h[k:len(h) - size + 1 + k]
-                grams ^= grams >> U(29)
-            grams *= self.MIX
-            grams ^= grams >> U(32)
-        return h, grams
-
-    def __call__(self, text: str) -> np.ndarray:
-        # bytes.lower and bytes.split know ASCII letters and ASCII white space only
-        return np.unique(self.sequence(text.encode().lower().split())[1])
+def shingle_sets(column: pa.Array) -> list[np.ndarray]:
+    """Sorted distinct hashes of each text's word 5-grams."""
+    return [np.unique(grams) for grams in Words(column).rows(WORDS)]
 
 
 def signature(grams: np.ndarray) -> int:
@@ -89,19 +57,17 @@ def signature(grams: np.ndarray) -> int:
 
 
 def _signer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    make = Shingler()
-    for batch in slices(batches, "text"):
-        sets = [make(t) for t in texts_of(batch)]
+    for batch in slices(batches, "text", SLICE):
+        sets = shingle_sets(batch.column(2))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()),
              pa.array([signature(s) for s in sets], pa.int64())],
             names=["doc_id", "text_hash", "n", "sig"])
 
 
-def _sets(batch: pa.RecordBatch, make: Shingler) -> dict[int, np.ndarray]:
+def _sets(batch: pa.RecordBatch) -> dict[int, np.ndarray]:
     """Distinct sets of a slice by signature, empty ones left out."""
-    sets = (make(t) for t in set(texts_of(batch)))
-    return {signature(s): s for s in sets if len(s)}
+    return {signature(s): s for s in shingle_sets(batch.column(0)) if len(s)}
 
 
 def _by_range(values: np.ndarray, keys: np.ndarray, bits: int, shift: int):
@@ -115,9 +81,8 @@ def _by_range(values: np.ndarray, keys: np.ndarray, bits: int, shift: int):
 
 def _counter(bits: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make = Shingler()
         for batch in slices(batches, "text"):
-            sets = list(_sets(batch, make).values())
+            sets = list(_sets(batch).values())
             if not sets:
                 continue
             upper = (np.concatenate(sets) >> U(32)).astype(np.uint32)
@@ -174,11 +139,11 @@ def _is_hot(grams: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
 def _prefixes(bits: int, shared):
     """Packed (range, hot, grams, nodes, sizes, rests) of all prefixes of a slice."""
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make, bitmap = Shingler(), np.frombuffer(shared.value, np.uint8)
+        bitmap = np.frombuffer(shared.value, np.uint8)
         kinds = (pa.int32(), pa.bool_(), *[pa.binary()] * 4)
         for batch in slices(batches, "text"):
             parts = []
-            for sig, grams in _sets(batch, make).items():
+            for sig, grams in _sets(batch).items():
                 hot = _is_hot(grams, bitmap)
                 n = len(grams)
                 take = n - (3 * n + 3) // 4 + 1
@@ -234,11 +199,11 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _fragments(wanted, bits: int, shared):
     """Rows (node, fragment, grams) of the sets whose node may be wanted."""
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make, bitmap = Shingler(), np.frombuffer(shared.value, np.uint8)
+        bitmap = np.frombuffer(shared.value, np.uint8)
         flags = np.frombuffer(wanted.value, np.uint8)
         for batch in slices(batches, "text"):
             rows = []
-            for sig, grams in _sets(batch, make).items():
+            for sig, grams in _sets(batch).items():
                 place = (sig + (1 << 63)) >> (64 - bits)
                 if not flags[place >> 3] >> (place & 7) & 1:
                     continue
@@ -277,11 +242,10 @@ def _verified(texts: DataFrame, pairs: DataFrame, shared) -> DataFrame:
     parts = (texts.mapInArrow(_fragments(wanted, bits, shared),
                               "node long, fragment int, grams array<long>")
              .repartition("node").dropDuplicates(["node", "fragment"]))
-    left = pairs.join(parts.withColumnRenamed("node", "a"), "a").withColumnRenamed("grams", "left")
-    right = parts.select(F.col("node").alias("b"), F.col("fragment").alias("_f"), "grams")
-    both = left.join(right, "b").where("fragment = _f")
-    overlap = both.select("a", "b", "na", "nb",
-                          F.size(F.array_intersect("left", "grams")).alias("part"))
+    sides = pairs.select("*", F.explode(F.array("a", "b")).alias("node")).join(parts, "node")
+    both = sides.groupBy("a", "b", "na", "nb", "fragment").agg(F.collect_list("grams").alias("g"))
+    overlap = both.where(F.size("g") == 2).select(
+        "a", "b", "na", "nb", F.size(F.array_intersect(F.col("g")[0], F.col("g")[1])).alias("part"))
     sums = overlap.groupBy("a", "b", "na", "nb").agg(F.sum("part").alias("i"))
     return sums.where("100 * i >= 75 * (na + nb - i)").select(F.col("a").alias("u"), F.col("b").alias("v"))
 

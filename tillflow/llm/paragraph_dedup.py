@@ -9,8 +9,8 @@ Groups are sets of word 5-grams.  ``BANDS`` bands of ``ROWS`` MinHashes find a p
 at the similarity of 0.75 with probability 1 - (1 - 0.75 ** ROWS) ** BANDS, 0.984
 here, and equal groups always.  A group's signature is its node, so copies are one
 row; within a band the smallest node stands for the others, and each such pair is
-verified by exact Jaccard before the components are taken.  One occurrence stays
-per component: the first in order of doc_id and place.
+verified by exact Jaccard before the components are taken.  The document with the
+smallest id of a component keeps its passages.
 """
 
 from __future__ import annotations
@@ -23,8 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillflow.llm.components import components
-from tillflow.llm.ngram_join import Shingler, U, node_flags
-from tillflow.llm.shared import slices, texts_of, written
+from tillflow.llm.ngram_join import SLICE, WORDS, node_flags
+from tillflow.llm.shared import slices, written
+from tillflow.llm.word_hashes import BASE, MIX, U, Words, fold
 
 LEAST = 16
 BANDS, ROWS = 5, 2
@@ -32,51 +33,44 @@ RUN = 32  # a run of words without a sentence end is cut where a hash is a multi
 _SEEDS = np.random.default_rng(5).integers(1, 1 << 63, (BANDS * ROWS, 2)).astype(U) | U(1)
 
 
-class Groups:
-    """Sentence groups of a text: (first word, words, node, its 5-grams as a range)."""
-
-    def __init__(self) -> None:
-        self.shingler = Shingler()
-
-    def __call__(self, text: str):
-        words, ends = [], []
-        for line in text.encode().lower().split(b"\n"):
-            words += line.split()
-            if words and (not ends or ends[-1] != len(words)):
-                ends.append(len(words))
-        codes, grams = self.shingler.sequence(words)
-        if len(words) < LEAST:
-            return None
-        closed = np.fromiter((w[-1] in b".!?" for w in words), bool, len(words))
-        closed |= codes % U(RUN) == 0
-        closed[np.array(ends) - 1] = True
-        stops = np.flatnonzero(closed) + 1
-        starts = np.append(0, stops[:-1])
-        until = np.searchsorted(stops, starts + LEAST)
-        full = until < len(stops)
-        starts, until = starts[full], stops[until[full]]
-        if not len(starts):
-            return None
-        with np.errstate(over="ignore"):
-            sums = np.append(U(0), np.cumsum(grams * Shingler.BASE, dtype=U))
-            nodes = (sums[until - 4] - sums[starts]) * Shingler.MIX
-        rank = grams[starts]
-        later = np.append(rank[1:], U(0xFFFFFFFFFFFFFFFF))
-        earlier = np.append(U(0xFFFFFFFFFFFFFFFF), rank[:-1])
-        take = (rank <= later) | (rank < earlier)
-        return starts[take], until[take], nodes[take].view(np.int64), grams
+def groups(column: pa.Array):
+    """Per row (first words, last words + 1, nodes, 5-grams by first word) or None."""
+    words = Words(column)
+    closed = np.isin(words.data[words.ends - 1], np.frombuffer(b".!?", np.uint8))
+    closed |= words.hashes % U(RUN) == 0
+    line = np.searchsorted(np.flatnonzero(words.data == 10), words.starts)
+    closed[:-1] |= line[1:] != line[:-1]
+    closed[words.first[1:][words.first[1:] > words.first[:-1]] - 1] = True
+    every = words.grams(WORDS)
+    for begin, end in zip(words.first[:-1].tolist(), words.first[1:].tolist()):
+        yield _row_groups(closed[begin:end], every[begin:end - WORDS + 1]) if end - begin >= LEAST else None
+
+
+def _row_groups(closed: np.ndarray, grams: np.ndarray):
+    stops = np.flatnonzero(closed) + 1
+    starts = np.append(0, stops[:-1])
+    until = np.searchsorted(stops, starts + LEAST)
+    full = until < len(stops)
+    starts, until = starts[full], stops[until[full]]
+    if not len(starts):
+        return None
+    sums = np.append(U(0), np.cumsum(grams * BASE, dtype=U))
+    nodes = (sums[until - WORDS + 1] - sums[starts]) * MIX
+    rank = grams[starts]
+    later = np.append(rank[1:], U(0xFFFFFFFFFFFFFFFF))
+    earlier = np.append(U(0xFFFFFFFFFFFFFFFF), rank[:-1])
+    take = (rank <= later) | (rank < earlier)
+    return starts[take], until[take], nodes[take].view(np.int64), grams
 
 
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, place, words, node) of every group."""
-    make = Groups()
-    for batch in slices(batches, "text"):
+    for batch in slices(batches, "text", SLICE):
         ids, found = [], []
-        for doc_id, text in zip(batch.column(0).to_pylist(), texts_of(batch)):
-            groups = make(text)
-            if groups is not None:
-                ids += [doc_id] * len(groups[0])
-                found.append(groups)
+        for doc_id, own in zip(batch.column(0).to_pylist(), groups(batch.column(1))):
+            if own is not None:
+                ids += [doc_id] * len(own[0])
+                found.append(own)
         if found:
             starts, until, nodes = (np.concatenate([f[i] for f in found]) for i in range(3))
             yield pa.RecordBatch.from_arrays(
@@ -87,26 +81,19 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(band, node): a hash of the band's number and MinHashes, once per slice."""
-    make = Groups()
-    for batch in slices(batches, "text"):
+    for batch in slices(batches, "text", SLICE):
         keys, owners = [], []
-        for text in set(texts_of(batch)):
-            groups = make(text)
-            if groups is None:
+        for own in groups(batch.column(0)):
+            if own is None:
                 continue
-            starts, until, nodes, grams = groups
-            edges = np.stack([starts, until - 4], 1).ravel()
-            with np.errstate(over="ignore"):
-                for band in range(BANDS):
-                    key = np.full(len(starts), band + 1, U)
-                    for mul, add in _SEEDS[band * ROWS:(band + 1) * ROWS]:
-                        mixed = np.append(grams * mul + add, U(0))
-                        mixed ^= mixed >> U(31)
-                        low = np.minimum.reduceat(mixed * Shingler.MIX, edges)[::2]
-                        key = key * Shingler.BASE + low
-                        key ^= key >> U(29)
-                    keys.append(key * Shingler.MIX)
-                    owners.append(nodes)
+            starts, until, nodes, grams = own
+            edges = np.stack([starts, until - WORDS + 1], 1).ravel()
+            mixed = np.append(grams * _SEEDS[:, :1] + _SEEDS[:, 1:], np.zeros((len(_SEEDS), 1), U), 1)
+            mixed ^= mixed >> U(31)
+            low = np.minimum.reduceat(mixed * MIX, edges, axis=1)[:, ::2]
+            for band in range(BANDS):
+                keys.append(fold([np.full(len(nodes), band, U), *low[band * ROWS:(band + 1) * ROWS]]))
+                owners.append(nodes)
         if keys:
             pairs = np.unique(np.rec.fromarrays(
                 [np.concatenate(keys).view(np.int64), np.concatenate(owners)], names="k,n"))
@@ -118,18 +105,17 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sets(wanted, bits: int):
     """(node, grams) of the groups whose node may be wanted."""
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make, flags = Groups(), np.frombuffer(wanted.value, np.uint8)
-        for batch in slices(batches, "text"):
+        flags = np.frombuffer(wanted.value, np.uint8)
+        for batch in slices(batches, "text", SLICE):
             sets = {}
-            for text in set(texts_of(batch)):
-                groups = make(text)
-                if groups is None:
+            for own in groups(batch.column(0)):
+                if own is None:
                     continue
-                starts, until, nodes, grams = groups
+                starts, until, nodes, grams = own
                 places = ((nodes.view(U) ^ U(1 << 63)) >> U(64 - bits)).astype(np.int64)
                 hit = (flags[places >> 3] >> (places & 7).astype(np.uint8)) & 1 == 1
                 for s, e, node in zip(starts[hit], until[hit], nodes[hit].tolist()):
-                    sets[node] = np.unique(grams[s:e - 4]).view(np.int64)
+                    sets[node] = np.unique(grams[s:e - WORDS + 1]).view(np.int64)
             if sets:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(sets, pa.int64()), pa.array(list(sets.values()), pa.list_(pa.int64()))],
@@ -141,9 +127,8 @@ def _sets(wanted, bits: int):
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """doc_id, first_word, n_words, component and kept of every repeated group.
 
-    Only groups whose component reaches two rows of ``docs`` with different ids are
-    returned, the occurrence that stays (``kept``) included.  ``component`` is the
-    smallest doc_id.  Words are runs without white space, A-Z lowered, from 0.  A null
+    Only groups whose component reaches two different doc_ids are returned, those that
+    stay (``kept``) included.  ``component`` is the smallest doc_id.  Words are runs without white space, A-Z lowered, from 0.  A null
     or empty text and one of fewer than ``LEAST`` words has no groups.  Rows without a
     doc_id are passed over, as no result could name them; rows that repeat a doc_id count
     as one document.  Other columns are ignored.
@@ -171,10 +156,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     units = rows.mapInArrow(_units, "doc_id long, place int, words int, node long")
     units = units.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     units = units.select("doc_id", "place", "words", "root").repartition("root")
-    where = F.struct("doc_id", "place")
-    groups = units.groupBy("root").agg(
-        F.min(where).alias("first"), F.min("doc_id").alias("least"),
-        F.max("doc_id").alias("most")).where("least != most")
-    return units.join(groups, "root").select(
+    spread = units.groupBy("root").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+    return units.join(spread.where("least != most"), "root").select(
         "doc_id", F.col("place").alias("first_word"), F.col("words").alias("n_words"),
-        F.col("least").alias("component"), (where == F.col("first")).alias("kept")).distinct()
+        F.col("least").alias("component"), (F.col("doc_id") == F.col("least")).alias("kept")).distinct()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -46,9 +47,20 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     """
     folder = new_folder(frame.sparkSession, name)
     frame.write.parquet(folder)
+    release(frame.sparkSession)
     return frame.sparkSession.read.schema(frame.schema).parquet(folder)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs now.
+
+    Its cleaner acts when the driver's heap is collected, by default every half hour;
+    a job of many written steps would keep the files of all of them until then.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def ascii_lower(column):
     """Lower-case A-Z only."""
     return F.translate(column, UPPER, LOWER)
