@@ -168,29 +168,28 @@ def _scorer(model):
     return score
 
 
-def score(docs: DataFrame, weights: dict[int, float], keep: list[str] | None = None) -> DataFrame:
-    """Columns ``keep`` of ``docs`` (default all) and ``_score``, 0 to 1.
-
-    A null or empty text gets the score of the bias alone.  Nothing but the text
-    enters a score.
-    """
-    keep = docs.columns if keep is None else keep
-    spark = docs.sparkSession
-    model = spark.sparkContext.broadcast(weights)
+def _scored(docs: DataFrame, weights: dict[int, float], keep: list[str]) -> DataFrame:
+    """(row, _score): the columns ``keep`` as a struct, so that no name clashes."""
+    model = docs.sparkSession.sparkContext.broadcast(weights)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), "text")
     schema = StructType([*rows.schema.fields, StructField("_score", DoubleType())])
-    scored = rows.mapInArrow(_scorer(model), schema)
-    return scored.select(*[F.col("row").getField(c).alias(c) for c in keep], "_score")
+    return rows.mapInArrow(_scorer(model), schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score, predicted of every row; 1 if the score is 0.5 or more."""
-    scored = score(docs.withColumn("doc_id", F.col("doc_id").cast("long")),
-                   train(docs, labels), ["doc_id"])
+    """doc_id, held_out, score, predicted of every row; 1 if the score is 0.5 or more.
+
+    A null or empty text gets the score of the bias alone; a row without a doc_id is
+    scored and never held out.  Nothing but the text enters a score.  Repeated rows stay rows;
+    other columns are ignored.
+    """
+    scored = _scored(docs, train(docs, labels), ["doc_id"]).select(
+        F.col("row.doc_id").cast("long").alias("doc_id"), "_score")
     return scored.select("doc_id", held_out().alias("held_out"), F.col("_score").alias("score"),
                          F.when(F.col("_score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, limit: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that score below ``limit``, all columns as they are."""
-    return score(docs, train(docs, labels)).where(F.col("_score") < limit).drop("_score")
+    scored = _scored(docs, train(docs, labels), docs.columns)
+    return scored.where(F.col("_score") < limit).select("row.*")
