@@ -21,6 +21,7 @@ speculative attempt leaves unused files, never wrong ones.
 
 from __future__ import annotations
 
+import functools
 import re
 import struct
 import uuid
@@ -198,6 +199,12 @@ class Encoder:
         return (self._piece(first) if first else b"") + b"".join(map(self.pieces.__getitem__, rest))
 
 
+@functools.lru_cache(maxsize=1)
+def encoder_for(path: str) -> Encoder:
+    """One encoder per Python worker: the pieces it knows serve its later tasks."""
+    return Encoder(path)
+
+
 # --------------------------------------------------------------- write, read
 
 def _shard_writer(root: str, tokenizer: str, end_id: int | None):
@@ -209,7 +216,7 @@ def _shard_writer(root: str, tokenizer: str, end_id: int | None):
         doc_ids, ends, total, nulls, sink = array("q"), array("Q"), 0, 0, None
         for batch in slices(batches, "text"):
             if sink is None:
-                encoder = Encoder(tokenizer)
+                encoder = encoder_for(tokenizer)
                 closing = b"" if end_id is None else array(encoder.code, [end_id]).tobytes()
                 width = array(encoder.code).itemsize
                 sink = files.open_output_stream(ids_file)
