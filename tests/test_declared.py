@@ -31,17 +31,59 @@ def test_lags_and_weekends(frame):
     found = cash_dates(frame, [("payout", "2026-02-26"), ("early", "2026-02-26"),
                                ("now", "2026-02-28"), ("unknown", "2026-02-28"),
                                ("no such rule", "2026-02-28"), ("payout", "2026-02-24")])
-    assert found == ["2026-03-02", "2026-02-27", "2026-02-28", "2026-02-28", "2026-02-28",
+    assert found == ["2026-03-02", "2026-02-27", "2026-02-28", "None", "2026-02-28",
                      "2026-02-26"]
 
 
 def test_holidays_push_to_the_next_business_day(frame):
     holidays = frame("holiday date", ("2026-03-02",))
     found = cash_dates(frame, [("payout", "2026-02-26"), ("now", "2026-03-02")],
-                       holidays=holidays, holiday_span=("2026-01-01", "2026-12-31"))
+                       holidays=holidays)
     assert found == ["2026-03-03", "2026-03-02"]
 
 
+def test_holidays_have_no_span(frame):
+    # Thursday and Friday off, then a weekend, then Monday off
+    holidays = frame("holiday date", ("2026-01-08",), ("2026-01-09",), ("2026-01-12",), ("2026-01-10",),
+                     ("1999-12-31",), ("2050-06-01",))
+    found = cash_dates(frame, [("payout", "2026-01-06"), ("payout", "1999-12-29"), ("payout", "2050-05-30")],
+                       holidays=holidays)
+    assert found == ["2026-01-13", "2000-01-03", "2050-06-02"]
+
+
+def test_seeded_terms_pay_after_their_lag(spark, frame):
+    from tillflow.sources import seeds
+
+    names = ["net_15", "net_30", "net_60", "credit_card", "shopify_payout"]
+    rows = frame("term_id string, transaction_date date", *[(n, "2026-01-06") for n in names])
+    out = timing.apply_payment_timing(rows, seeds.seed_payment_terms(spark)).collect()
+    assert {r["term_id"]: (r["cash_date"] - r["transaction_date"]).days for r in out} == {
+        "net_15": 15, "net_30": 30, "net_60": 60, "credit_card": 30, "shopify_payout": 2}
+
+
+def test_calendar_rules_and_own_anchors(spark, frame):
+    from tillflow.sources.rules import timing_rules
+
+    config = {"revenue_timing": {
+        "weekly": {"payout_lag_days": 1, "payout_days": ["Friday"]},
+        "open": {"payout_lag_days": None}},
+        "expense_timing": {"payroll": {"payment_days": [15, 30]}, "monthly": {"payment_day": 1},
+                           "fees": {"payment_timing": "with_payout"}, "cash": {"payment_timing": "immediate"}}}
+    table = timing_rules(spark, config)
+    rows = frame("term_id string, transaction_date date", ("weekly", "2026-02-06"), ("open", "2026-02-06"),
+                 ("payroll", "2026-02-16"), ("payroll", "2026-02-15"), ("monthly", "2026-02-02"),
+                 ("fees", "2026-02-02"), ("cash", "2026-02-02"))
+    out = timing.apply_payment_timing(rows, table).collect()
+    found = {(r["term_id"], str(r["transaction_date"])): str(r["cash_date"]) for r in out}
+    assert found == {("weekly", "2026-02-06"): "2026-02-13", ("open", "2026-02-06"): "None",
+                     ("payroll", "2026-02-16"): "2026-02-28", ("payroll", "2026-02-15"): "2026-02-15",
+                     ("monthly", "2026-02-02"): "2026-03-01", ("fees", "2026-02-02"): "None",
+                     ("cash", "2026-02-02"): "2026-02-02"}
+    anchored = frame(RULES + ", settlement_anchor date", ("a", None, 14, 2, None, "2026-02-01"))
+    row = frame("term_id string, transaction_date date", ("a", "2026-02-10"))
+    assert str(timing.apply_payment_timing(row, anchored).first()["cash_date"]) == "2026-02-16"
+
+
 def test_seasons(frame):
     rows = frame("month date, revenue double", ("2026-01-01", 100.0), ("2026-06-01", 100.0),
                  ("2026-12-01", 100.0))
@@ -93,6 +135,27 @@ def test_gl_rows_turn_sign_and_leave_out_non_cash(frame):
                      "3": ("Debt Service", -100.0), "5": ("Unclassified", -30.0)}
 
 
+def test_rules_by_full_name_and_first_of_the_configuration(spark, frame):
+    from tillflow.sources.rules import category_map as configured
+
+    rules = configured(spark, {
+        "operating_outflows": [{"account": "Ads", "category": "OpEx - Ads"},
+                               {"account": "Office:Rent", "category": "Rent"}],
+        "cogs": [{"account": "Ads", "category": "COGS - Ads"}],
+        "clearing_accounts": [{"account": "Clearing:Clearing - A", "account_number": "1101"}]})
+    conflicts = accounts.rule_conflicts(rules).collect()
+    assert [(r["leaf"], r["used"]["category"], [u["category"] for u in r["unused"]]) for r in conflicts] == [
+        ("Ads", "OpEx - Ads", ["COGS - Ads"])]
+    gl = frame("entry_id string, transaction_date date, account_number string, account_name string, "
+               "amount double, vendor string, transaction_type string",
+               ("1", "2026-01-01", None, "Office:Rent", 10.0, None, "x"),
+               ("2", "2026-01-01", None, "Marketing:Ads", 20.0, None, "x"),
+               ("3", "2026-01-01", "1101", "Clearing:Clearing - A", 100.0, None, "x"),
+               ("4", "2026-01-01", None, "Clearing:Clearing - A", 100.0, None, "x"))
+    found = {r["source_id"]: r["cash_flow_category"] for r in accounts.gl_to_ledger(gl, rules).collect()}
+    assert found == {"1": "Rent", "2": "OpEx - Ads"}
+
+
 def test_daily_balances_chain_per_account(frame):
     ledger = frame("bank_account_id string, cash_date date, amount double, is_forecast boolean",
                    ("a", "2026-01-01", 10.0, False), ("a", "2026-01-01", -4.0, False),
@@ -103,8 +166,9 @@ def test_daily_balances_chain_per_account(frame):
     rows = sorted(accounts.daily_balances(ledger, known).collect(),
                   key=lambda r: (r["bank_account_id"], r["balance_date"]))
     assert [(r["beginning_balance"], r["ending_balance"]) for r in rows] == \
-        [(100.0, 106.0), (106.0, 105.0), (0.0, 5.0)]
-    assert [r["available_credit"] for r in rows] == [394.0, 395.0, None]
+        [(100.0, 106.0), (106.0, 106.0), (106.0, 105.0), (0.0, 5.0), (5.0, 5.0), (5.0, 5.0)]
+    assert [r["available_credit"] for r in rows] == [394.0, 394.0, 395.0, None, None, None]
+    assert [r["total_inflows"] for r in rows] == [10.0, 0.0, 0.0, 5.0, 0.0, 0.0]
 
 
 def test_budget_rows_without_a_partner_stay(frame):

@@ -12,47 +12,85 @@ from tillflow.operators.etl import DEFAULT_ACCOUNT, as_ledger, row_id
 UNMAPPED = "Unclassified"
 
 
+NON_CASH_SECTIONS = ["non_cash_items", "clearing_accounts"]
+
+
 def _section_name(section: Column) -> Column:
     return (F.when(section.startswith("operating") | (section == "cogs"), "Operating")
             .when(section.startswith("investing"), "Investing")
             .when(section.startswith("financing"), "Financing")
-            .when(section == "non_cash_items", "Non-Cash"))
+            .when(section == "non_cash_items", "Non-Cash")
+            .when(section == "clearing_accounts", "Clearing"))
 
 
-def category_rules(category_map: DataFrame) -> DataFrame:
-    """One row per account with its rule for inflows and for outflows.
+def _directed(category_map: DataFrame) -> DataFrame:
+    """The map with its rule, direction and place.
 
-    An account may be listed under an inflow and an outflow section.  Folding
-    both into one row keeps every later join free of fan-out.
+    ``position`` is the order of the configuration; a map without it is ordered by
+    section, category and subcategory.
     """
     section = F.col("section")
+    position = F.col("position") if "position" in category_map.columns else F.lit(0)
     rule = F.struct(_section_name(section).alias("section"), F.col("category"),
                     F.col("subcategory"), F.col("cash_timing"),
-                    (section != "non_cash_items").alias("is_cash"))
-    is_in = section.endswith("inflows")
-    return (category_map
-            .groupBy(F.col("account_number").alias("number"), F.col("account").alias("leaf"))
-            .agg(F.min(F.when(is_in, rule)).alias("in_rule"),
-                 F.min(F.when(~is_in, rule)).alias("out_rule")))
+                    (~section.isin(NON_CASH_SECTIONS)).alias("is_cash"))
+    return category_map.select(
+        F.col("account_number").alias("number"), F.col("account").alias("leaf"),
+        section.endswith("inflows").alias("is_in"), rule.alias("rule"),
+        F.struct(position.alias("position"), section.alias("s"), F.col("category").alias("c"),
+                 F.col("subcategory").alias("u")).alias("place"))
+
+
+def _first_rules() -> list[Column]:
+    is_in = F.col("is_in")
+    return [F.min_by(F.when(is_in, F.col("rule")), F.when(is_in, F.col("place"))).alias("in_rule"),
+            F.min_by(F.when(~is_in, F.col("rule")), F.when(~is_in, F.col("place"))).alias("out_rule")]
+
+
+def category_rules(category_map: DataFrame) -> DataFrame:
+    """One row per account with its rule for inflows and for outflows.
+
+    An account may be listed under an inflow and an outflow section.  Folding
+    both into one row keeps every later join free of fan-out.  Of several rules in one
+    direction the first of the configuration counts; ``rule_conflicts`` lists the others.
+    """
+    return _directed(category_map).groupBy("number", "leaf").agg(*_first_rules())
+
+
+def rule_conflicts(category_map: DataFrame) -> DataFrame:
+    """Accounts with several rules in one direction: the rule that counts and the others."""
+    ordered = F.array_sort(F.collect_list(F.struct("place", "rule")))
+    rules = (_directed(category_map).groupBy("number", "leaf", "is_in").agg(ordered.alias("all"))
+             .where(F.size("all") > 1))
+    return rules.select("number", "leaf", F.when(F.col("is_in"), "inflow").otherwise("outflow").alias("direction"),
+                        F.col("all")[0]["rule"].alias("used"),
+                        F.transform(F.slice("all", 2, F.size("all") - 1), lambda x: x["rule"]).alias("unused"))
 
 
-def _matched(rows: DataFrame, category_map: DataFrame, number: Column, leaf: Column) -> DataFrame:
-    """``rows`` with ``in_rule`` and ``out_rule``, by number or else by leaf name.
+def _matched(rows: DataFrame, category_map: DataFrame, number: Column, name: Column) -> DataFrame:
+    """``rows`` with ``in_rule`` and ``out_rule``, by number, else full name, else leaf.
 
-    Rows without a number would all meet in one partition of the first join;
-    a stand-in key that matches nothing spreads them by leaf.
+    The map becomes one table by a single key.  A row looks up the best key that the map
+    knows; which ones it knows is a property of few keys, so the fact rows are joined once.
     """
-    rules = category_rules(category_map)
-    pick = [F.min("in_rule").alias("in_rule"), F.min("out_rule").alias("out_rule")]
-    by_number = (rules.where("number IS NOT NULL").groupBy("number").agg(*pick)
-                 .select("number", F.struct("in_rule", "out_rule").alias("by_number")))
-    by_leaf = (rules.groupBy("leaf").agg(*pick)
-               .select("leaf", F.struct("in_rule", "out_rule").alias("by_leaf")))
-    stand_in = F.concat(F.lit("leaf:"), leaf)
-    joined = (rows.withColumn("_number", F.coalesce(number, stand_in)).withColumn("_leaf", leaf)
-              .join(by_number, F.col("_number") == by_number["number"], "left")
-              .join(by_leaf, F.col("_leaf") == by_leaf["leaf"], "left")
-              .withColumn("_rules", F.coalesce("by_number", "by_leaf")))
+    rules = _directed(category_map)
+    keyed = rules.select("*", F.explode(F.array(
+        F.when(F.col("number").isNotNull(), F.concat(F.lit("number:"), "number")),
+        F.concat(F.lit("name:"), "leaf"))).alias("_key")).where("_key IS NOT NULL")
+    by_key = keyed.groupBy("_key").agg(*_first_rules())
+    keys = F.array(F.concat(F.lit("number:"), number), F.concat(F.lit("name:"), name),
+                   F.concat(F.lit("name:"), leaf_name(name)))
+    # accounts are few beside their rows: resolve each distinct account once
+    accounts = rows.select(number.alias("_number"), name.alias("_name"), keys.alias("_keys")).distinct()
+    found = (accounts.select("_number", "_name", F.posexplode("_keys").alias("_at", "_key"))
+             .where("_key IS NOT NULL").join(by_key, "_key")
+             .groupBy("_number", "_name")
+             .agg(F.min_by(F.struct("in_rule", "out_rule"), "_at").alias("_rules")))
+    # a NULL number has a stand-in that matches itself only, spread by the name
+    plain = F.concat_ws("|", F.coalesce(F.concat(F.lit("n"), number), F.lit("-")), name)
+    found = found.select(F.concat_ws("|", F.coalesce(F.concat(F.lit("n"), "_number"), F.lit("-")), "_name")
+                         .alias("_found"), "_rules")
+    joined = rows.withColumn("_leaf", leaf_name(name)).join(found, plain == F.col("_found"), "left")
     return joined.select(*rows.columns, "_leaf", F.col("_rules.in_rule").alias("in_rule"),
                          F.col("_rules.out_rule").alias("out_rule"))
 
@@ -69,7 +107,7 @@ def map_accounts(accounts: DataFrame, category_map: DataFrame) -> DataFrame:
     """
     name = F.col("full_name")
     parts = F.split(name, ":")
-    matched = _matched(accounts, category_map, F.col("account_number"), leaf_name(name))
+    matched = _matched(accounts, category_map, F.col("account_number"), name)
     rule = F.coalesce("out_rule", "in_rule")
     return matched.select(
         "account_number", "full_name", F.col("_leaf").alias("account_name"),
@@ -93,7 +131,7 @@ def gl_to_ledger(gl: DataFrame, category_map: DataFrame, ids: str = "uuid",
     stay in the ledger as unclassified; non-cash accounts leave it.
     """
     amount = 0.0 - F.col("amount")
-    matched = _matched(gl, category_map, F.col("account_number"), leaf_name(F.col("account_name")))
+    matched = _matched(gl, category_map, F.col("account_number"), F.col("account_name"))
     rule = F.when(amount > 0, F.coalesce("in_rule", "out_rule")) \
             .otherwise(F.coalesce("out_rule", "in_rule"))
     cash = matched.withColumn("rule", rule).where("coalesce(rule.is_cash, true)")
@@ -114,22 +152,34 @@ def gl_to_ledger(gl: DataFrame, category_map: DataFrame, ids: str = "uuid",
 
 
 def daily_balances(ledger: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Opening, flows and closing per account and active day.
+    """Opening, flows and closing per account and day.
 
     ``accounts`` gives account_id, account_type, opening_balance and
-    credit_limit.  The ledger is rolled up to account-days before the window.
+    credit_limit.  Every account has a row for each day from its first movement to the
+    last day of the whole ledger; idle days carry the closing forward.  The ledger is
+    rolled up to account-days before the window, and idle days are exploded from the
+    gaps after it, so neither shuffles more than the roll-up.
     """
-    daily = (ledger.where(~F.col("is_forecast"))
-             .groupBy("bank_account_id", F.col("cash_date").alias("balance_date"))
+    actual = ledger.where(~F.col("is_forecast"))
+    daily = (actual.groupBy("bank_account_id", F.col("cash_date").alias("balance_date"))
              .agg(inflow_sum("amount").alias("total_inflows"),
                   outflow_sum("amount").alias("total_outflows"),
                   F.sum(units("amount")).alias("net")))
-    per_account = Window.partitionBy("bank_account_id").orderBy("balance_date") \
-                        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = daily.withColumn("so_far", F.sum("net").over(per_account))
+    last = actual.agg(F.max("cash_date")).scalar()
+    order = Window.partitionBy("bank_account_id").orderBy("balance_date")
+    running = daily.select(
+        "*", F.sum("net").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("so_far"),
+        F.coalesce(F.date_sub(F.lead("balance_date").over(order), 1), last).alias("until"))
+    days = F.explode(F.sequence("balance_date", F.greatest("until", "balance_date")))
+    every = running.select("*", days.alias("day"))
+    active = F.col("day") == F.col("balance_date")
+    flow = lambda name, none: F.when(active, F.col(name)).otherwise(none).alias(name)
+    every = every.select(F.col("day").alias("balance_date"), "bank_account_id", "so_far",
+                         flow("total_inflows", F.lit(0.0)), flow("total_outflows", F.lit(0.0)),
+                         flow("net", F.lit(0).cast("long")))
     known = accounts.select(F.col("account_id").alias("_id"), "account_type",
                             "opening_balance", "credit_limit")
-    rows = running.join(known, F.col("bank_account_id") == F.col("_id"), "left")
+    rows = every.join(known, F.col("bank_account_id") == F.col("_id"), "left")
     ending = units(F.coalesce("opening_balance", F.lit(0.0))) + F.col("so_far")
     return rows.select(
         "balance_date", "bank_account_id", "account_type",

@@ -81,8 +81,9 @@ _MONTHS = ("((year(maturity_date) - year(start_date)) * 12 "
 DATES_BEFORE_MATURITY = f"greatest({_MONTHS} + int({_date_after(_MONTHS)} < maturity_date), 0)"
 DATES_UP_TO_MATURITY = f"greatest({_MONTHS} + int({_date_after(_MONTHS)} <= maturity_date), 0)"
 
-# True above the rounding noise of the closed form.
-STILL_OWED = "beginning > greatest(1e-9D, current_balance * 1e-11D)"
+# Something is owed in whole cents; the noise of the closed form lies far below a
+# cent for balances up to 1e12.
+STILL_OWED = "floor(beginning * 100 + 0.5D) > 0"
 
 
 def _steps(rows: DataFrame, count: str, first: int = 0) -> DataFrame:

@@ -17,50 +17,93 @@ LOW_MONTHS, LOW_FACTOR = [1, 2, 3], 0.6
 SETTLEMENT_ANCHOR = "1970-01-01"
 
 
-def settlement_end(day: Column, period_days: Column, anchor: DateLike) -> Column:
+WEEKDAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
+
+
+def settlement_end(day: Column, period_days: Column, anchor: Column) -> Column:
     """Last day of the settlement period that contains ``day``."""
-    periods = F.floor(F.datediff(day, date_lit(anchor)) / period_days)
-    return F.date_add(date_lit(anchor), ((periods + 1) * period_days - 1).cast("int"))
+    periods = F.floor(F.datediff(day, anchor) / period_days)
+    return F.date_add(anchor, ((periods + 1) * period_days - 1).cast("int"))
 
 
-def unadjusted_cash_date(day: Column, anchor: DateLike) -> Column:
-    """Settlement rules: end of the period plus lag.  Others: the day plus lag."""
+def unadjusted_cash_date(day: Column, anchor: Column) -> Column:
+    """Settlement rules: end of the period plus lag.  Others: the day plus lag.
+
+    Stored terms put the lag of any rule in either lag column.  A rule with neither
+    and without payout days has an unknown lag: NULL.
+    """
     period = F.col("settlement_period_days")
-    lag = F.coalesce("lag_days", F.lit(0)).cast("int")
-    settlement_lag = F.coalesce("settlement_lag_days", F.lit(0)).cast("int")
+    has_days = F.col("payout_days").isNotNull() | F.col("payout_day_of_month").isNotNull()
+    lag = F.coalesce("lag_days", "settlement_lag_days", F.when(has_days, F.lit(0))).cast("int")
+    settlement_lag = F.coalesce("settlement_lag_days", "lag_days", F.lit(0)).cast("int")
     return (F.when(period.isNotNull(),
                    F.date_add(settlement_end(day, period, anchor), settlement_lag))
             .otherwise(F.date_add(day, lag)))
 
 
-def business_calendar(holidays: DataFrame, start: DateLike, end: DateLike) -> DataFrame:
-    """(day, next_business_day) from ``start`` to ``end``, skipping ``holiday`` days.
+def on_payout_day(day: Column) -> Column:
+    """The first payout day on or after ``day``.
 
-    Days that have no business day before ``end`` get NULL.
+    ``payout_days`` lists weekday names or days of the month ("15"); a day beyond the
+    month's end means its last day.  ``payout_day_of_month`` is one such day.
     """
-    days = holidays.sparkSession.range(1).select(
-        F.explode(F.sequence(date_lit(start), date_lit(end))).alias("day"))
-    off = holidays.select(F.col("holiday").alias("day")).distinct().withColumn("off", F.lit(True))
-    open_day = F.when(~is_weekend(F.col("day")) & F.col("off").isNull(), F.col("day"))
-    ahead = Window.orderBy("day").rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    return (days.join(off, "day", "left")
-            .select("day", F.min(open_day).over(ahead).alias("next_business_day")))
+    def of_month(number: Column) -> Column:
+        this = F.date_add(F.trunc(day, "MM"), F.least(number, F.dayofmonth(F.last_day(day))) - 1)
+        following = F.add_months(F.trunc(day, "MM"), 1)
+        later = F.date_add(following, F.least(number, F.dayofmonth(F.last_day(following))) - 1)
+        return F.when(number.isNotNull(), F.when(this >= day, this).otherwise(later))
+
+    def named(name: Column) -> Column:
+        place = F.array_position(F.array(*map(F.lit, WEEKDAYS)), name).cast("int")
+        return (F.when(place > 0, F.date_add(day, F.pmod(place - 1 - F.weekday(day), F.lit(7))))
+                .otherwise(of_month(name.try_cast("int"))))
+
+    return F.coalesce(F.array_min(F.transform("payout_days", named)),
+                      of_month(F.col("payout_day_of_month").cast("int")), day)
+
+
+def _business_number(day: Column) -> Column:
+    """Number of a weekday among all weekdays, from 1970-01-05, a Monday."""
+    return F.floor(F.datediff(day, date_lit("1970-01-05")) / 7) * 5 + F.weekday(day)
+
+
+def after_holidays(holidays: DataFrame) -> DataFrame:
+    """(day, next_business_day) for every holiday on a weekday.
+
+    Successive weekdays off form an island: their business-day numbers grow as their
+    row numbers do.  The window is over the holiday list alone, bounded by the calendar.
+    """
+    days = holidays.select(F.col("holiday").alias("day")).distinct().where(~is_weekend(F.col("day")))
+    number = _business_number(F.col("day"))
+    islands = days.select("day", number.alias("number"),
+                          (number - F.row_number().over(Window.orderBy("day"))).alias("island"))
+    last = F.max("number").over(Window.partitionBy("island")) + 1
+    monday = F.date_add(date_lit("1970-01-05"), (F.floor(last / 5) * 7 + F.pmod(last, F.lit(5))).cast("int"))
+    return islands.select("day", monday.alias("next_business_day"))
 
 
 def apply_payment_timing(rows: DataFrame, rules: DataFrame, rule: str = "term_id",
                          date: str = "transaction_date", anchor: DateLike = SETTLEMENT_ANCHOR,
-                         holidays: DataFrame | None = None,
-                         holiday_span: tuple[DateLike, DateLike] | None = None) -> DataFrame:
+                         holidays: DataFrame | None = None) -> DataFrame:
     """Add ``cash_date`` to rows that name a payment rule.
 
-    Rows without a rule keep their date.  ``holidays`` moves dates of
-    next-business-day rules off holidays inside ``holiday_span``.
+    Rows without a rule keep their date; a rule whose lag is unknown gives NULL.  A rule
+    may have its own ``settlement_anchor``.  ``holidays`` moves dates of next-business-day
+    rules off holidays.
     """
+    def own(name: str, kind: str) -> Column:
+        return (F.col(name) if name in rules.columns else F.lit(None)).cast(kind).alias(name)
+
     terms = rules.select(F.col("term_id").alias("_term"), "lag_days", "settlement_period_days",
-                         "settlement_lag_days", "weekend_handling")
-    plain = unadjusted_cash_date(F.col(date), anchor)
+                         "settlement_lag_days", "weekend_handling",
+                         own("payout_days", "array<string>"), own("payout_day_of_month", "int"),
+                         own("settlement_anchor", "date"))
+    start = F.coalesce("settlement_anchor", date_lit(anchor))
     handling = F.col("weekend_handling")
+    plain = (F.when(F.col("_term").isNull(), F.col(date))
+             .otherwise(on_payout_day(F.col("_plain"))))
     dated = (rows.join(terms, F.col(rule) == F.col("_term"), "left")
+             .withColumn("_plain", unadjusted_cash_date(F.col(date), start))
              .withColumn("_plain", plain)
              .withColumn("cash_date",
                          F.when(handling == "Next Business Day", next_weekday(F.col("_plain")))
@@ -68,8 +111,7 @@ def apply_payment_timing(rows: DataFrame, rules: DataFrame, rule: str = "term_id
                                previous_weekday(F.col("_plain")))
                          .otherwise(F.col("_plain"))))
     if holidays is not None:
-        calendar = business_calendar(holidays, *holiday_span)
-        dated = (dated.join(calendar, F.col("cash_date") == F.col("day"), "left")
+        dated = (dated.join(after_holidays(holidays), F.col("cash_date") == F.col("day"), "left")
                  .withColumn("cash_date",
                              F.when(handling == "Next Business Day",
                                     F.coalesce("next_business_day", "cash_date"))

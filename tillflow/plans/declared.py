@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillflow.operators import accounts, timing
+from tillflow.operators import accounts, timing, views
 from tillflow.plans.registry import register
 from tillflow.sources.adapters import TestTables
 
@@ -22,7 +22,10 @@ SELECT 'term-' || l_suppkey AS term_id, CAST(l_shipdate AS DATE) AS transaction_
        weekend_handling,
        CASE WHEN settlement_period_days IS NOT NULL
             THEN DATE '1970-01-01' + CAST((floor((CAST(l_shipdate AS DATE) - DATE '1970-01-01') / 14.0) + 1) * 14 - 1 AS INTEGER) + 2
-            ELSE CAST(l_shipdate AS DATE) + CAST(coalesce(lag_days, 0) AS INTEGER) END AS plain
+            WHEN tuesday_friday THEN CAST(l_shipdate AS DATE) + 2
+                 + CAST(least((9 - dayofweek(CAST(l_shipdate AS DATE) + 2)) % 7, (12 - dayofweek(CAST(l_shipdate AS DATE) + 2)) % 7) AS INTEGER)
+            WHEN month_end THEN last_day(CAST(l_shipdate AS DATE) + 30)
+            ELSE CAST(l_shipdate AS DATE) + CAST(coalesce(lag_days, other_lag) AS INTEGER) END AS plain
 FROM lineitem JOIN payment_rules ON term_id = 'term-' || l_suppkey"""
 ROLLED = f"""
 SELECT term_id, transaction_date, l_orderkey, l_linenumber, weekend_handling,
@@ -40,10 +43,9 @@ register("apply_payment_timing_holidays",
          lambda t: timing.apply_payment_timing(
              _termed_lines(t), t.payment_terms,
              holidays=t.spark.createDataFrame([(h,) for h in HOLIDAYS], "holiday string")
-                       .select(F.to_date("holiday").alias("holiday")),
-             holiday_span=("1994-01-01", "2003-12-31")), f"""
+                       .select(F.to_date("holiday").alias("holiday"))), f"""
 SELECT term_id, transaction_date, l_orderkey, l_linenumber,
-       CASE WHEN weekend_handling <> 'Next Business Day' THEN cash_date
+       CASE WHEN weekend_handling <> 'Next Business Day' OR cash_date IS NULL THEN cash_date
             WHEN cash_date NOT IN ({', '.join(f"DATE '{h}'" for h in HOLIDAYS)}) THEN cash_date
             WHEN dayofweek(cash_date) = 5 THEN cash_date + 3 ELSE cash_date + 1 END AS cash_date
 FROM ({ROLLED})""")
@@ -104,23 +106,42 @@ def _ledger_by_account(t: TestTables):
     return t.ledger.withColumn("bank_account_id", F.concat(F.lit("acct-"), F.col("counterparty")))
 
 
-register("daily_balances",
-         lambda t: accounts.daily_balances(_ledger_by_account(t), _accounts(t)), """
-SELECT cash_date AS balance_date, flows.bank_account_id, account_type,
-       CAST(opening + before AS DOUBLE) AS beginning_balance,
-       CAST(opening + before + net AS DOUBLE) AS ending_balance,
-       CAST(inflow AS DOUBLE) AS total_inflows, CAST(outflow AS DOUBLE) AS total_outflows,
-       CAST(net AS DOUBLE) AS net_change,
+BALANCES = """
+SELECT day AS balance_date, flows.bank_account_id, account_type,
+       CAST(opening + so_far - CASE WHEN active THEN net ELSE 0 END AS DOUBLE) AS beginning_balance,
+       CAST(opening + so_far AS DOUBLE) AS ending_balance,
+       CAST(CASE WHEN active THEN inflow ELSE 0 END AS DOUBLE) AS total_inflows,
+       CAST(CASE WHEN active THEN outflow ELSE 0 END AS DOUBLE) AS total_outflows,
+       CAST(CASE WHEN active THEN net ELSE 0 END AS DOUBLE) AS net_change,
        CASE WHEN account_type = 'LOC' THEN CAST(500000 AS DOUBLE) END AS credit_limit,
-       CASE WHEN account_type = 'LOC' THEN CAST(500000 - (opening + before + net) AS DOUBLE) END AS available_credit
-FROM (SELECT f.*, CASE WHEN s_suppkey % 3 = 0 THEN 'LOC' WHEN s_suppkey IS NOT NULL THEN 'Checking' END AS account_type,
-             coalesce(CAST(s_acctbal AS DECIMAL(18,4)), 0) AS opening,
-             SUM(net) OVER (PARTITION BY bank_account_id ORDER BY cash_date) - net AS before
-      FROM (SELECT 'acct-' || counterparty AS bank_account_id, cash_date, SUM(amount) AS net,
-                   SUM(CASE WHEN amount > 0 THEN amount ELSE 0 END) AS inflow,
-                   SUM(CASE WHEN amount < 0 THEN abs(amount) ELSE 0 END) AS outflow
-            FROM actuals GROUP BY ALL) f
-      LEFT JOIN supplier ON 'acct-' || s_name = f.bank_account_id) flows""")
+       CASE WHEN account_type = 'LOC' THEN CAST(500000 - (opening + so_far) AS DOUBLE) END AS available_credit
+FROM (SELECT f.*, d.day = f.cash_date AS active, CAST(d.day AS DATE) AS day,
+             CASE WHEN s_suppkey % 3 = 0 THEN 'LOC' WHEN s_suppkey IS NOT NULL THEN 'Checking' END AS account_type,
+             coalesce(CAST(s_acctbal AS DECIMAL(18,4)), 0) AS opening
+      FROM (SELECT CAST(unnest(generate_series((SELECT min(cash_date) FROM actuals), (SELECT max(cash_date) FROM actuals),
+                                               INTERVAL 1 DAY)) AS DATE) AS day) d
+      JOIN (SELECT *, SUM(net) OVER account AS so_far,
+                   lead(cash_date, 1, DATE '9999-12-31') OVER account AS following
+            FROM (SELECT 'acct-' || counterparty AS bank_account_id, cash_date, SUM(amount) AS net,
+                         SUM(CASE WHEN amount > 0 THEN amount ELSE 0 END) AS inflow,
+                         SUM(CASE WHEN amount < 0 THEN abs(amount) ELSE 0 END) AS outflow
+                  FROM actuals GROUP BY ALL)
+            WINDOW account AS (PARTITION BY bank_account_id ORDER BY cash_date)) f
+        ON d.day >= f.cash_date AND d.day < f.following
+      LEFT JOIN supplier ON 'acct-' || s_name = f.bank_account_id) flows"""
+register("daily_balances",
+         lambda t: accounts.daily_balances(_ledger_by_account(t), _accounts(t)), BALANCES)
+# Both operators in a chain: idle accounts still count on the last day.
+register("position_of_daily_balances",
+         lambda t: views.cash_position(accounts.daily_balances(_ledger_by_account(t), _accounts(t))
+                                       .withColumn("is_forecast", F.lit(False))), f"""
+SELECT CAST(cash AS DOUBLE) AS total_cash, CAST(drawn AS DOUBLE) AS total_loc_balance,
+       CAST(available AS DOUBLE) AS total_loc_available, CAST(cash + available AS DOUBLE) AS total_liquidity
+FROM (SELECT coalesce(SUM(CASE WHEN account_type = 'Checking' THEN e END), 0) AS cash,
+             coalesce(SUM(CASE WHEN account_type = 'LOC' THEN abs(e) END), 0) AS drawn,
+             coalesce(SUM(CASE WHEN account_type = 'LOC' THEN a END), 0) AS available
+      FROM (SELECT account_type, CAST(ending_balance AS DECIMAL(18,4)) AS e, CAST(available_credit AS DECIMAL(18,4)) AS a
+            FROM ({BALANCES}) WHERE balance_date = (SELECT max(cash_date) FROM actuals)))""")
 
 register("budget_variance", lambda t: accounts.budget_variance(t.budget, t.ledger), """
 SELECT coalesce(b.period_start_date, a.period_start_date) AS period_start_date,

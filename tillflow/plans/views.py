@@ -177,7 +177,8 @@ FROM cash_balances WHERE balance_date = (SELECT MAX(balance_date) FROM cash_bala
 SELECT 'term-' || s_suppkey AS term_id, 'Terms of ' || s_name AS term_name,
        CASE s_suppkey % 6 WHEN 0 THEN 'settlement' WHEN 1 THEN 'daily' WHEN 3 THEN 'immediate'
             WHEN 4 THEN 'credit_card' ELSE 'net_terms' END AS cycle_type,
-       CASE s_suppkey % 6 WHEN 1 THEN CAST(2 AS BIGINT) WHEN 2 THEN s_suppkey % 61 WHEN 4 THEN 30 END AS lag_days,
+       CASE s_suppkey % 6 WHEN 1 THEN CAST(2 AS BIGINT) WHEN 2 THEN s_suppkey % 61 WHEN 3 THEN 0 WHEN 4 THEN 30 END AS lag_days,
+       CASE WHEN s_suppkey % 12 = 5 THEN 15 END AS other_lag, s_suppkey % 6 = 1 AS tuesday_friday, s_suppkey % 12 = 4 AS month_end,
        CASE WHEN s_suppkey % 6 = 0 THEN 14 END AS settlement_period_days,
        CASE s_suppkey % 3 WHEN 0 THEN 'Next Business Day' WHEN 1 THEN 'Previous Business Day'
             ELSE 'No Adjustment' END AS weekend_handling
@@ -245,7 +246,7 @@ FROM (SELECT *, least(fixed_payment - interest, beginning) AS principal,
                          CASE WHEN step = 0 THEN start_date ELSE {pay_date('io_months + step - 1')} END AS previous
                   FROM (SELECT *, unnest(range(0, datediff('month', start_date, maturity_date) + 4)) AS step
                         FROM loans WHERE amort_months = 0 AND fixed_payment IS NOT NULL AND balloon_amount IS NULL))
-            WHERE beginning > greatest(1e-9, current_balance * 1e-11) AND previous <= maturity_date))""",
+            WHERE floor(beginning * 100 + 0.5) > 0 AND previous <= maturity_date))""",
     "balloon_dates": f"""
 SELECT *, CAST(io_months + step + 1 AS INTEGER) AS payment_number, {pay_date('io_months + step')} AS payment_date
 FROM (SELECT *, unnest(range(0, datediff('month', start_date, maturity_date) + 4)) AS step

@@ -238,9 +238,13 @@ class TestTables:
             _choose(key % 6, ["settlement", "daily", "net_terms", "immediate", "credit_card"],
                     "net_terms").alias("cycle_type"),
             F.when(key % 6 == 1, F.lit(2).cast("bigint")).when(key % 6 == 2, key % 61)
+             .when(key % 6 == 3, F.lit(0).cast("bigint"))
              .when(key % 6 == 4, F.lit(30).cast("bigint")).alias("lag_days"),
             F.when(key % 6 == 0, F.lit(14).cast("bigint")).alias("settlement_period_days"),
-            F.when(key % 6 == 0, F.lit(2).cast("bigint")).alias("settlement_lag_days"),
+            F.when(key % 6 == 0, F.lit(2).cast("bigint"))
+             .when(key % 12 == 5, F.lit(15).cast("bigint")).alias("settlement_lag_days"),
+            F.when(key % 6 == 1, F.array(F.lit("Tuesday"), F.lit("Friday"))).alias("payout_days"),
+            F.when(key % 12 == 4, F.lit(31).cast("bigint")).alias("payout_day_of_month"),
             _choose(key % 3, ["Next Business Day", "Previous Business Day"], "No Adjustment")
             .alias("weekend_handling"))
 
