@@ -106,3 +106,46 @@ def test_whole_warehouse(spark, tables, path):
             spark.catalog.dropTempView(name)
     assert total == tables.actual_ledger.count()
     assert house.table("v_cash_position").first()["total_cash"] is None
+
+
+@pytest.mark.parametrize("name", ["none", "best:v2", "50% a/b", "__HIVE_DEFAULT_PARTITION__"])
+def test_scenarios_of_any_name(spark, tables, path, name):
+    from pyspark.sql import functions as F
+
+    plan = tables.planned_ledger.where("scenario_id = 'base'").limit(5).withColumn("scenario_id", F.lit(name))
+    sinks.append_ledger(tables.actual_ledger.limit(7), path)
+    sinks.replace_scenario(plan, path, name)
+    stored = sinks.read_ledger(spark, path)
+    assert stored.where(F.col("scenario_id") == name).count() == 5
+    assert stored.where("scenario_id IS NULL").count() == 7
+    sinks.replace_scenario(plan.where("false"), path, name)
+    assert sinks.read_ledger(spark, path).count() == 7
+
+
+def test_rows_without_a_cash_date_are_rejected(spark, tables, path):
+    from pyspark.sql import functions as F
+
+    rows = tables.actual_ledger.limit(3).withColumn("cash_date", F.lit(None).cast("date"))
+    with pytest.raises(Exception, match="without a cash date"):
+        sinks.append_ledger(rows, path)
+
+
+def test_a_corrected_settlement_replaces_the_old_amount(spark, tables, path):
+    from pyspark.sql import functions as F
+
+    old = tables.actual_ledger.where("source_system = 'deposits'").orderBy("transaction_id").limit(40)
+    sinks.append_ledger(old, path)
+    new = old.orderBy("transaction_id").limit(3).withColumn("amount", F.col("amount") + 50.0)
+    sinks.upsert_ledger(new, path, ["source_system", "source_id", "transaction_id"])
+    stored = sinks.read_ledger(spark, path)
+    assert stored.count() == 40
+    assert facts(stored.join(new.select("transaction_id"), "transaction_id", "left_semi")) == facts(new)
+
+
+def test_tables_are_pruned_and_keep_their_columns(spark, tables, path):
+    rows = debt.as_debt_rows(tables.debt_schedule(AS_OF), ids="hash")
+    sinks.write_table(rows, "debt_schedule", path)
+    one = sinks.read_table(spark, "debt_schedule", path, key="loan-7")
+    assert "bucket" not in one.columns
+    assert one.count() == rows.where("loan_id = 'loan-7'").count() > 0
+    assert "PartitionFilters: [isnotnull(bucket" in one._jdf.queryExecution().executedPlan().toString()

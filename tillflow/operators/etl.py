@@ -187,9 +187,16 @@ def invoices_preview(invoices: DataFrame, vendors: DataFrame, start: DateLike |
     totals come from a scalar subquery: a window over everything would move
     all rows into one task.
     """
-    rows = _with_cash_date(_payable(invoices, start, end), vendors)
-    totals = rows.agg(F.struct(F.count(F.lit(1)).alias("n"),
-                               money_sum("total").alias("amount")).alias("t")).scalar()
+    payable = _payable(invoices, start, end)
+    rows = _with_cash_date(payable, vendors)
+    # A vendor listed twice shows its invoices twice: the totals weigh each vendor's
+    # sums by its rows, without joining the invoices a second time.
+    listed = vendors.groupBy(F.col("Name").alias("_vendor")).agg(F.count(F.lit(1)).alias("times"))
+    sums = payable.groupBy("vendor").agg(F.count(F.lit(1)).alias("n"), F.sum(units("total")).alias("whole"))
+    weighed = sums.join(listed, F.col("vendor") == F.col("_vendor"), "left")
+    times = F.coalesce("times", F.lit(1))
+    totals = weighed.agg(F.struct(F.coalesce(F.sum(F.col("n") * times), F.lit(0)).alias("n"),
+                                  from_units(F.sum(F.col("whole") * times)).alias("amount")).alias("t")).scalar()
     return (rows.select(F.col("invoice_date").alias("transaction_date"), "cash_date",
                         F.col("vendor").alias("counterparty"), "payment_terms", "payment_days",
                         (0.0 - F.col("total")).alias("amount"),

@@ -167,14 +167,18 @@ def purchase_commitments(po_lines: DataFrame, items: DataFrame, vendors: DataFra
     delivery = F.date_add("order_date", DELIVERY_DAYS)
     # an SKU without an item row is worth nothing
     value = F.coalesce("unit_price", F.lit(0.0)) * F.col("qty_outstanding")
-    grouped = (with_payment_terms(priced, vendors)
+    # One row per vendor and day meets the vendors, however many lines a vendor has; its
+    # distinct orders are counted before, spread over the order numbers.
+    per_day = priced.groupBy("order_date", "vendor").agg(
+        F.sum(units(value)).alias("whole"), F.sum("qty_outstanding").alias("units"),
+        F.countDistinct("po_no").alias("po_count"), F.count(F.lit(1)).alias("line_count"))
+    grouped = (with_payment_terms(per_day, vendors)
                .groupBy(delivery.alias("estimated_delivery_date"),
                         F.date_add(delivery, F.col("payment_days")).alias("cash_date"),
                         "vendor", "payment_terms")
-               .agg(negated_sum(value).alias("cash_amount"),
-                    F.sum("qty_outstanding").alias("units"),
-                    F.countDistinct("po_no").alias("po_count"),
-                    F.count(F.lit(1)).alias("line_count")))
+               .agg(from_units(-F.sum("whole")).alias("cash_amount"),
+                    F.sum("units").alias("units"), F.max("po_count").alias("po_count"),
+                    F.sum("line_count").alias("line_count")))
     return grouped.select(
         "cash_date", "vendor", "payment_terms",
         F.lit("COGS - Materials").alias("cash_flow_category"),

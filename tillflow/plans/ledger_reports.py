@@ -82,9 +82,9 @@ def _replacement(t: TestTables):
     return etl.as_ledger(rows.withColumn("amount", units("amount") * 11 / 100000.0))
 
 
-register("append_ledger", lambda t: sinks.arrange_ledger(t.ledger).select(*KEPT, "slice"), """
+register("append_ledger", lambda t: sinks.arrange_ledger(t.ledger).select(*KEPT, "scenario", "slice"), """
 SELECT transaction_id, cash_date, cash_flow_section, cash_flow_category, CAST(amount AS DOUBLE) AS amount,
-       description, is_forecast, coalesce(scenario_id, 'none') AS scenario_id,
+       description, is_forecast, scenario_id, coalesce('of ' || scenario_id, 'none') AS scenario,
        CASE WHEN is_forecast THEN 'forecast' ELSE strftime(cash_date, '%Y-%m') END AS slice FROM ledger""")
 register("replace_scenario",
          lambda t: sinks.replaced_scenario(t.ledger, _replacement(t), "base").select(*KEPT), f"""

@@ -1,9 +1,10 @@
 """Writers for the warehouse tables.
 
 Tables are Parquet folders.  Dated tables are partitioned by month.  The
-ledger has three partition columns: ``is_forecast``, ``scenario_id`` and
-``slice``, where ``slice`` is the month for actuals and the word ``forecast``
-for forecast rows.  So one scenario's forecast is exactly one partition, which
+ledger has three partition columns: ``is_forecast``, ``scenario`` and
+``slice``, where ``scenario`` is derived from ``scenario_id``, which stays a data
+column, and ``slice`` is the month for actuals and the word ``forecast`` for
+forecast rows.  So one scenario's forecast is exactly one partition, which
 dynamic overwrite swaps in the job commit: the old rows stay readable until
 then and a lost executor only repeats tasks.
 """
@@ -12,20 +13,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tillflow.functions.dates import DateLike
 from tillflow.schemas import LEDGER, TABLES, fill_missing
 
-LEDGER_PARTITIONS = ["is_forecast", "scenario_id", "slice"]
+LEDGER_PARTITIONS = ["is_forecast", "scenario", "slice"]
 FORECAST_SLICE = "forecast"
 # Hash partitions of a bucketed table.
 BUCKETS = 64
-# Partition value of rows without a scenario; a NULL directory would work too,
-# but cannot be named in a predicate on the path.
-NO_SCENARIO = "none"
+
+
+def scenario_part(scenario: Column) -> Column:
+    """Partition value of a scenario; no name can equal that of rows without one."""
+    return F.coalesce(F.concat(F.lit("of "), scenario), F.lit("none"))
 
 
 def month_text(day: Column) -> Column:
@@ -61,9 +64,15 @@ def arrange_ledger(rows: DataFrame) -> DataFrame:
     month that holds much of the data; files are sorted for row-group pruning.
     """
     forecast = F.coalesce("is_forecast", F.lit(False))
+    # A row without a cash date would be read by no date range: the write fails instead.
+    dated = F.when(F.col("cash_date").isNull(),
+                   F.raise_error(F.concat(F.lit("ledger row without a cash date: "),
+                                          F.coalesce("transaction_id", F.lit("no id")))).cast("date")) \
+             .otherwise(F.col("cash_date"))
     placed = (fill_missing(rows, LEDGER)
+              .withColumn("cash_date", dated)
               .withColumn("is_forecast", forecast)
-              .withColumn("scenario_id", F.coalesce("scenario_id", F.lit(NO_SCENARIO)))
+              .withColumn("scenario", scenario_part(F.col("scenario_id")))
               .withColumn("slice", F.when(F.col("is_forecast"), F.lit(FORECAST_SLICE))
                           .otherwise(month_text(F.col("cash_date")))))
     sort = [*LEDGER_PARTITIONS, *TABLES["cash_transactions"].sort]
@@ -78,7 +87,8 @@ def append_ledger(rows: DataFrame, path: str) -> None:
 def read_ledger(spark: SparkSession, path: str, start: DateLike | None = None,
                 end: DateLike | None = None) -> DataFrame:
     """The ledger, with month partitions pruned to ``start``..``end``."""
-    schema = StructType([*LEDGER, StructField("slice", StringType())])
+    schema = StructType([*LEDGER, StructField("scenario", StringType()),
+                         StructField("slice", StringType())])
     rows = spark.read.schema(schema).parquet(path)
     day, part = F.col("cash_date"), F.col("slice")
     if start is not None:
@@ -87,8 +97,7 @@ def read_ledger(spark: SparkSession, path: str, start: DateLike | None = None,
     if end is not None:
         rows = rows.where((day <= F.lit(str(end)).cast("date"))
                           & ((part == FORECAST_SLICE) | (part <= str(end)[:7])))
-    scenario = F.when(F.col("scenario_id") != NO_SCENARIO, F.col("scenario_id"))
-    return rows.withColumn("scenario_id", scenario).select(*LEDGER.fieldNames())
+    return rows.select(*LEDGER.fieldNames())
 
 
 def replace_scenario(rows: DataFrame, path: str, scenario: str) -> None:
@@ -97,12 +106,35 @@ def replace_scenario(rows: DataFrame, path: str, scenario: str) -> None:
     ``rows`` must be forecast rows of that scenario.  They may depend on
     actuals of the same folder; only the scenario's own partition changes.
     """
-    if rows.isEmpty():
-        _drop_folder(rows.sparkSession,
-                     f"{path}/is_forecast=true/scenario_id={scenario}/slice={FORECAST_SLICE}")
-        return
     wanted = rows.withColumn("is_forecast", F.lit(True)).withColumn("scenario_id", F.lit(scenario))
-    _overwrite_partitions(arrange_ledger(wanted), path, LEDGER_PARTITIONS)
+    written = Observation()
+    counted = arrange_ledger(wanted).observe(written, F.count(F.lit(1)).alias("n"))
+    _overwrite_partitions(counted, path, LEDGER_PARTITIONS)
+    if not written.get["n"]:  # an overwrite by no rows touches no partition
+        escape = rows.sparkSession._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils \
+            .escapePathName
+        _drop_folder(rows.sparkSession, f"{path}/is_forecast=true/scenario={escape('of ' + scenario)}"
+                                        f"/slice={FORECAST_SLICE}")
+
+
+def upsert_ledger(rows: DataFrame, path: str, key: Sequence[str]) -> None:
+    """Store ``rows`` in place of those with the same ``key`` in the months they touch.
+
+    ``key`` is a business key, such as source_system and source_id, whose rows stay in
+    their month: a corrected settlement replaces the old amount.  Rows that share a
+    key within the batch all stay.  One dynamic overwrite of the touched partitions.
+    """
+    batch = arrange_ledger(rows)
+    touched = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in LEDGER_PARTITIONS]
+    places = batch.select(*[F.col(c).alias(f"_{c}") for c in LEDGER_PARTITIONS]).distinct()
+    schema = StructType([*LEDGER, StructField("scenario", StringType()),
+                         StructField("slice", StringType())])
+    stored = rows.sparkSession.read.schema(schema).parquet(path)
+    months = [r[0] for r in batch.select("slice").distinct().collect()]  # bounded by the calendar
+    stored = stored.where(F.col("slice").isin(months)).join(places, touched, "left_semi")
+    kept = stored.join(batch.select(*key).distinct(), list(key), "left_anti")
+    both = kept.select(*batch.columns).unionByName(batch)
+    _overwrite_partitions(arrange_ledger(both.drop("scenario", "slice")), path, LEDGER_PARTITIONS)
 
 
 def _overwrite_partitions(rows: DataFrame, path: str, partitions: Sequence[str]) -> None:
@@ -137,22 +169,57 @@ def write_table(rows: DataFrame, name: str, path: str) -> None:
     (writer.partitionBy(part) if part else writer).parquet(path)
 
 
-def read_table(spark: SparkSession, name: str, path: str) -> DataFrame:
-    return spark.read.schema(TABLES[name].schema).parquet(path)
+def _partition_field(name: str) -> StructField | None:
+    layout = TABLES[name]
+    if layout.date is not None:
+        return StructField("month", StringType())
+    return StructField("bucket", IntegerType()) if layout.bucket is not None else None
+
+
+def _with_partition(spark: SparkSession, name: str, path: str) -> DataFrame:
+    field = _partition_field(name)
+    schema = StructType([*TABLES[name].schema, *([field] if field else [])])
+    return spark.read.schema(schema).parquet(path)
+
+
+def read_table(spark: SparkSession, name: str, path: str, start: DateLike | None = None,
+               end: DateLike | None = None, key: str | None = None) -> DataFrame:
+    """A declared table, without its partition column.
+
+    ``start`` and ``end`` bound the date of a dated table, ``key`` picks one value of the
+    bucket column; both prune partitions.
+    """
+    layout, rows = TABLES[name], _with_partition(spark, name, path)
+    if start is not None:
+        rows = rows.where((F.col(layout.date) >= F.lit(str(start)).cast("date"))
+                          & (F.col("month") >= str(start)[:7]))
+    if end is not None:
+        rows = rows.where((F.col(layout.date) <= F.lit(str(end)).cast("date"))
+                          & (F.col("month") <= str(end)[:7]))
+    if key is not None:
+        rows = rows.where((F.col(layout.bucket) == key) & (F.col("bucket") == bucket_of(F.lit(key))))
+    return rows.select(*layout.schema.fieldNames())
 
 
 def insert_ignoring_duplicates(rows: DataFrame, name: str, path: str,
                                key: Sequence[str]) -> None:
-    """Append the rows whose key the table does not hold yet, in one anti join."""
-    stored = read_table(rows.sparkSession, name, path)
+    """Append the rows whose key the table does not hold yet, in one anti join.
+
+    Only the partitions that the batch touches are read, so equal keys must lie in equal
+    months or buckets.
+    """
+    field = _partition_field(name)
+    arranged, part = _arranged(rows, name)
+    stored = _with_partition(rows.sparkSession, name, path)
+    if field is not None:  # months of the calendar or at most BUCKETS numbers
+        touched = [r[0] for r in arranged.select(part).distinct().collect()]
+        stored = stored.where(F.col(part).isin(touched))
     write_table(new_rows(rows, stored, key), name, path)
 
 
 def delete_loan(spark: SparkSession, path: str, loan_id: str) -> None:
     """Drop one loan's schedule by rewriting the one bucket that holds it."""
-    layout = TABLES["debt_schedule"]
-    stored = spark.read.schema(StructType([*layout.schema, StructField("bucket", IntegerType())])) \
-                  .parquet(path)
+    stored = _with_partition(spark, "debt_schedule", path)
     target = spark.range(1).select(bucket_of(F.lit(loan_id)).alias("b")).first()["b"]
     rest = without_loan(stored.where(F.col("bucket") == target), loan_id)
     if rest.isEmpty():
