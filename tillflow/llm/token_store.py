@@ -35,14 +35,14 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillflow.llm.shared import new_folder, slices, texts_of
+from tillflow.llm.shared import new_folder, ship, slices, texts_of
 
 END_ID = 2
 BLOCK = 512
 HEADER = "<8sBBxxxxxxqQQ"  # magic, id bytes, null ids flag, least id, documents, nulls
 MAGIC = b"TOKSEF01"
 READ_BYTES = 8 << 20
-MEMO_ENTRIES = 200_000
+MEMO_ENTRIES = 300_000
 
 MANIFEST = ("first_id long, last_id long, documents long, tokens long, ids_file string, "
             "index_file string")
@@ -106,15 +106,23 @@ class EliasFano:
 # ------------------------------------------------------------------ encoding
 
 class _Memo(dict):
-    """A dict that makes missing values and keeps the first MEMO_ENTRIES of them."""
+    """A dict that makes missing values and forgets what was not used lately.
+
+    It holds two generations of at most MEMO_ENTRIES: when the younger is full it
+    becomes the older, whose entries return on their next use.
+    """
 
     def __init__(self, make) -> None:
-        self.make = make
+        self.make, self.old = make, {}
 
     def __missing__(self, key: str) -> bytes:
-        value = self.make(key)
-        if len(self) < MEMO_ENTRIES:
-            self[key] = value
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= MEMO_ENTRIES:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
         return value
 
 
@@ -132,8 +140,8 @@ class Encoder:
     The pre-tokenizer of a byte-level BPE never joins characters across the point
     before a space that a non-space follows, nor a run of letters with a mark or
     with one line feed before another letter.
-    Texts are cut there, and the library's model runs once per distinct word of
-    the first ``MEMO_ENTRIES``.  Other pieces, texts that hold a special token and tokenizers
+    Texts are cut there, and the library's model runs once per word, while the
+    word is remembered.  Other pieces, texts that hold a special token and tokenizers
     of another kind go to the library as they are.
     """
 
@@ -259,6 +267,7 @@ def write_store(docs: DataFrame, tokenizer: str, end_id: int | None = END_ID,
     Arrow's file systems reach from every executor.
     """
     spark = docs.sparkSession
+    ship(spark)
     root = root or new_folder(spark, "tokens")
     files, folder = fs.FileSystem.from_uri(root)
     files.create_dir(folder, recursive=True)
@@ -329,6 +338,7 @@ def read_store(spark: SparkSession, root: str) -> DataFrame:
     it in the whole store, its ids and their CRC-32 as 32-bit integers.  An empty
     store gives no rows.  The running sum is over the manifest, one row a shard.
     """
+    ship(spark)
     shards = spark.read.schema(MANIFEST).parquet(f"{root}/manifest")
     order = Window.orderBy(F.col("first_id").asc_nulls_first(), F.col("last_id").asc_nulls_first())
     before = F.coalesce(F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, -1)),
