@@ -13,7 +13,8 @@ fragments.  The steps, each a pass of Spark jobs:
 3. Candidates.  Two sets of that similarity share an n-gram within the first
    quarter of each, and within the first seventh of the smaller one; of the
    first shared n-gram on, both must have enough n-grams left.  Owners keep the n-grams that two
-   nodes share; frequent ones are spread over all owners as plain rows.
+   nodes share; frequent ones are spread over all owners as plain rows.  All that two
+   prefixes share bounds the overlap of the sets, which leaves few pairs besides the links.
 4. Verify.  A candidate pair is joined with the fragments of both sets; overlaps are
    counted per fragment and summed per pair.
 5. Link.  The first round tries, for each shared n-gram, its most central node
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillflow.llm.components import components
-from tillflow.llm.shared import slices, written
+from tillflow.llm.shared import ship, slices, written
 from tillflow.llm.word_hashes import U, Words
 
 WORDS = 5
@@ -149,8 +150,12 @@ def _prefixes(bits: int, shared):
                 take = n - (3 * n + 3) // 4 + 1
                 grams = np.concatenate([grams[~hot][:take], grams[hot][:max(0, take - n + hot.sum())]])
                 cold = min(take, n - int(hot.sum()))
-                parts.append((grams, np.full(take, sig), np.full(take, n, np.int32),
-                              np.arange(n, n - take, -1, dtype=np.int32), np.arange(take) >= cold))
+                rests = np.arange(n, n - take, -1, dtype=np.int32)
+                parts.append((grams, np.full(take, sig), np.full(take, n, np.int32), rests,
+                              np.arange(take) >= cold))
+                # where the prefix ends, with rest 0 or, at a frequent n-gram, -1
+                parts.append((grams[-1:], np.full(1, sig), np.full(1, n, np.int32),
+                              np.full(1, -1 if take > cold else 0, np.int32), np.full(1, True)))
             if not parts:
                 continue
             grams, nodes, sizes, rests, hot = (np.concatenate(c) for c in zip(*parts))
@@ -250,6 +255,23 @@ def _verified(texts: DataFrame, pairs: DataFrame, shared) -> DataFrame:
     return sums.where("100 * i >= 75 * (na + nb - i)").select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
+def _promising(pairs: DataFrame, rows: DataFrame, ends: DataFrame) -> DataFrame:
+    """Pairs whose overlap can still reach the similarity, by all that their prefixes share.
+
+    Up to the end of the shorter-reaching prefix, all common n-grams are common to
+    both prefixes; beyond it, that set has three quarters of its n-grams left.
+    """
+    shared = (pairs.join(rows.select(F.col("node").alias("a"), "gram"), "a")
+              .join(rows.select(F.col("node").alias("b"), "gram"), ["b", "gram"])
+              .groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("k")))
+    place = F.struct(F.col("rest") == -1, F.col("gram").bitwiseXOR(F.lit(-1 << 63)))
+    end = lambda side: ends.select(F.col("node").alias(side), place.alias(f"end_{side}"))
+    left = F.when(F.col("end_a") <= F.col("end_b"), F.col("na")).otherwise(F.col("nb"))
+    most = F.col("k") + F.floor((3 * left + 3) / 4) - 1
+    return (shared.join(end("a"), "a").join(end("b"), "b").where(7 * most >= 3 * (F.col("na") + F.col("nb")))
+            .select("a", "b", "na", "nb"))
+
+
 def _in_bounds(one: str, two: str):
     """Sizes and remaining n-grams allow the similarity, with ``rest`` at a shared n-gram
     that stands in the first seventh of the smaller set."""
@@ -271,6 +293,7 @@ def _pair(one: str, two: str) -> list:
 def _linked(docs: DataFrame, rare: int) -> DataFrame:
     """(doc_id, text_hash, n, root) of every row; rows of one component share a root."""
     spark = docs.sparkSession
+    ship(spark)
     texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
     signs = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                         F.xxhash64("text").alias("text_hash"), "text")
@@ -292,15 +315,17 @@ def _linked(docs: DataFrame, rare: int) -> DataFrame:
     packed = texts.mapInArrow(_prefixes(bits, shared),
                               "range int, hot boolean, grams binary, nodes binary, sizes binary, "
                               "rests binary")
-    rows = written(owned(packed).mapInArrow(_shared, "gram long, node long, n int, rest int"),
+    kept = written(owned(packed).mapInArrow(_shared, "gram long, node long, n int, rest int"),
                    "shared-grams")
+    rows, ends = kept.where("rest > 0"), kept.where("rest <= 0").dropDuplicates(["node"])
 
     central = F.min(F.struct((F.col("n") - F.col("rest")).alias("place"), "node", "n", "rest"))
     hubs = rows.groupBy("gram").agg(central.alias("hub")).select("gram", "hub.*")
     first = (rows.alias("x").join(hubs.alias("h"), "gram")
              .where((F.col("x.node") != F.col("h.node")) & _in_bounds("x", "h"))
              .select(*_pair("x", "h")).distinct())
-    links = written(_verified(texts, written(first, "pairs"), shared), "links")
+    first = written(_promising(first, rows, ends), "pairs")
+    links = written(_verified(texts, first, shared), "links")
     roots = components(links)
     placed = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     placed = written(placed, "placed-grams")
@@ -310,7 +335,7 @@ def _linked(docs: DataFrame, rare: int) -> DataFrame:
     second = (left_over.alias("x").join(left_over.alias("y"), "gram")
               .where((F.col("x.root") < F.col("y.root")) & _in_bounds("x", "y"))
               .select(*_pair("x", "y")).distinct())
-    second = written(second, "pairs")
+    second = written(_promising(second, rows, ends), "pairs")
     if not second.isEmpty():
         links = links.unionByName(_verified(texts, second, shared))
         roots = components(links)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tillflow.llm.components import components
 from tillflow.llm.ngram_join import SLICE, WORDS, node_flags
-from tillflow.llm.shared import slices, written
+from tillflow.llm.shared import ship, slices, written
 from tillflow.llm.word_hashes import BASE, MIX, U, Words, fold
 
 LEAST = 16
@@ -135,6 +135,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     """
     rows = docs.where("doc_id is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    ship(docs.sparkSession)
     texts = rows.select("text")
     bands = texts.mapInArrow(_bands, "band long, node long")
     first = F.min("node").alias("a")

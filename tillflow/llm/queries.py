@@ -87,7 +87,105 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORDS_SQL = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
+def _license_sql() -> str:
+    rows = []
+    for number, (text, label) in enumerate(license_scan.PHRASES + license_scan.NOTICES):
+        phrase, words = number < len(license_scan.PHRASES), text.split()
+        k = license_scan.PHRASE_K if phrase else license_scan.NOTICE_K
+        count = len(words) - k + 1
+        rows += [f"({number}, '{label}', {phrase}, {count}, {i}, '{' '.join(words[i:i + k])}')"
+                 for i in range(count)]
+    return f"""
+WITH parts(template, label, phrase, grams, place, gram) AS (VALUES {", ".join(rows)}),
+cut AS (SELECT doc_id, regexp_extract_all({LOWER_SQL}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+places AS (SELECT doc_id, w, unnest(generate_series(1, len(w) - 1)) AS i FROM cut),
+windows AS (
+  SELECT doc_id, i, w[i] || ' ' || w[i + 1] AS gram FROM places UNION ALL
+  SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FROM places WHERE i + 2 <= len(w)),
+votes AS (
+  SELECT doc_id, template, label, phrase, grams, i - 1 - place AS diagonal, list(DISTINCT place) AS places
+  FROM windows JOIN parts USING (gram) GROUP BY ALL),
+marked AS (
+  SELECT *, CASE WHEN phrase OR coalesce(diagonal - lag(diagonal) OVER t > {license_scan.SLACK}, TRUE)
+                 THEN 1 ELSE 0 END AS fresh
+  FROM votes WINDOW t AS (PARTITION BY doc_id, template ORDER BY diagonal)),
+numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span FROM marked),
+spans AS (
+  SELECT doc_id, label, phrase, grams, min(diagonal) AS start, max(diagonal) AS stop,
+         len(list_distinct(flatten(list(places)))) AS n
+  FROM numbered GROUP BY doc_id, template, label, phrase, grams, span),
+kept AS (
+  SELECT *, CASE WHEN phrase THEN 1.0::DOUBLE ELSE n::DOUBLE / grams END AS share FROM spans
+  WHERE CASE WHEN phrase THEN n = grams
+             ELSE n::DOUBLE / grams >= {license_scan.COVER}::DOUBLE
+                  AND stop - start <= grams / 2 + {license_scan.SLACK} END),
+found AS (
+  SELECT doc_id, count(*) FILTER (phrase) AS n_base, min(start) FILTER (phrase) AS first_word,
+         max(start) FILTER (phrase) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (phrase) AS base_labels,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score
+  FROM kept GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+       last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       coalesce(score, 0.0)::DOUBLE AS score
+FROM cut LEFT JOIN found USING (doc_id)"""
+
+
+def _leak_sql() -> str:
+    def windows(place: str, words: str) -> str:
+        forms = []
+        for number, mask in enumerate(decontaminate.MASKS):
+            cared = " || ' ' || ".join(f"{words}[{place} + {i + 1}]" for i, c in enumerate(mask) if c == "1")
+            forms.append(f"CASE WHEN {place} + {len(mask)} <= len({words}) THEN '{number} ' || {cared} END")
+        return f"unnest([{', '.join(forms)}])"
+
+    least = min(map(len, decontaminate.MASKS))
+    return f"""
+WITH items AS (
+  SELECT min(item_id) AS item_id, iw
+  FROM (SELECT item_id, {WORDS_SQL.format(LOWER_SQL)} AS iw FROM benchmark) GROUP BY iw),
+docs AS (SELECT doc_id, {WORDS_SQL.format(LOWER_SQL)} AS dw FROM documents),
+seeds AS (
+  SELECT DISTINCT item_id, k, {windows('k', 'iw')} AS seed
+  FROM (SELECT *, unnest(generate_series(0, len(iw) - {least})) AS k FROM items)),
+looked AS (
+  SELECT doc_id, spot, {windows("spot", "dw")} AS seed
+  FROM (SELECT *, unnest(generate_series(0, len(dw) - {least})) AS spot FROM docs)),
+hits AS (SELECT DISTINCT doc_id, item_id, spot - k AS diagonal FROM looked JOIN seeds USING (seed)),
+cells AS (
+  SELECT doc_id, item_id, diagonal, len(iw) AS item_words, j, CASE WHEN dw[diagonal + j + 1] = iw[j + 1] THEN 1 ELSE -1 END AS s
+  FROM (SELECT *, unnest(generate_series(greatest(0, -diagonal), least(len(iw), len(dw) - diagonal) - 1)) AS j
+        FROM hits JOIN docs USING (doc_id) JOIN items USING (item_id))),
+sums AS (SELECT *, sum(s) OVER (PARTITION BY doc_id, item_id, diagonal ORDER BY j) AS p FROM cells),
+runs AS (
+  SELECT *, p - least(0, coalesce(min(p) OVER (PARTITION BY doc_id, item_id, diagonal ORDER BY j
+                                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS run
+  FROM sums),
+scored AS (
+  SELECT doc_id, item_id, item_words, diagonal, max(run) AS points FROM runs GROUP BY ALL)
+SELECT doc_id, item_id, item_words::INTEGER AS item_words, points::INTEGER AS points, diagonal::INTEGER AS first_word
+FROM scored WHERE points >= least({decontaminate.ENOUGH}, (item_words * 3 + 4) // 5)
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY points DESC, diagonal) = 1"""
+
+
 ORACLES: dict[str, str] = {
+    "op1_decontamination": _leak_sql(),
+    "op9_license_scan": _license_sql(),
+    "op4_ngram_join": f"""
+WITH RECURSIVE cut AS (SELECT doc_id, {WORDS_SQL.format(LOWER_SQL)} AS w FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, array_to_string(w[k:k + 4], ' ') AS gram
+  FROM (SELECT *, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS k FROM cut WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i
+           FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT x, y FROM shared JOIN sizes s ON s.doc_id = x JOIN sizes t ON t.doc_id = y
+          WHERE 100 * i >= 75 * (s.n + t.n - i)),
+reach AS (SELECT doc_id AS x, doc_id AS root FROM sizes
+          UNION SELECT y, root FROM reach JOIN links USING (x))
+SELECT cut.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(least_root, cut.doc_id) AS component_id
+FROM cut LEFT JOIN sizes USING (doc_id)
+     LEFT JOIN (SELECT x, min(root) AS least_root FROM reach GROUP BY x) ON x = cut.doc_id""",
     "op5_line_frequency": r"""
 WITH bare AS (
   SELECT page_id, lower(nullif(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:@]+)', 1), '')) AS host,

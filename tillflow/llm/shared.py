@@ -5,7 +5,9 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -51,6 +53,22 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(folder)
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per Spark context.
+
+    Executors need not have the repository on their path.
+    """
+    context, package = spark.sparkContext, Path(__file__).resolve().parent.parent
+    if getattr(context, "_llm_shipped", False) or not package.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in package.rglob("*.py"):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._llm_shipped = True
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished jobs now.
 

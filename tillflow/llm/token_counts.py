@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.llm.shared import slices, texts_of, written
+from tillflow.llm.shared import ship, slices, texts_of, written
 
 CHUNK = 32_768
 OVERLAP = 1_024
@@ -157,6 +157,7 @@ def count_tokens(docs: DataFrame, model: str, chunk: int = CHUNK, overlap: int =
     """
     if overlap < 1 or chunk < 2 * overlap:
         raise ValueError("the chunk must hold two overlaps")
+    ship(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce("text", F.lit("")).alias("text"))
     n_bytes = F.octet_length("text").cast("long").alias("n_bytes")

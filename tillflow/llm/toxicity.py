@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tillflow.llm.shared import slices, texts_of
+from tillflow.llm.shared import ship, slices, texts_of
 
 BITS = 20
 SAMPLE = 20_000
@@ -132,6 +132,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE,
     with several labels counts with the largest.  Without any label all weights
     are 0.
     """
+    ship(docs.sparkSession)
     known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"),
                            F.col("toxic").cast("int").alias("label"))
              .where("label in (0, 1)").groupBy("doc_id").agg(F.max("label").alias("label"))
@@ -170,6 +171,7 @@ def _scorer(model):
 
 def _scored(docs: DataFrame, weights: dict[int, float], keep: list[str]) -> DataFrame:
     """(row, _score): the columns ``keep`` as a struct, so that no name clashes."""
+    ship(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(weights)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), "text")
     schema = StructType([*rows.schema.fields, StructField("_score", DoubleType())])

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.llm.shared import ascii_lower, slices
+from tillflow.llm.shared import ascii_lower, ship, slices
 
 MEMORY = 48 << 20
 OWNERS = "text binary, n_rows long, n_ids long, least long, most long"
@@ -169,6 +169,7 @@ def _second_pass(memory: int):
 def owners(docs: DataFrame, memory: int = MEMORY) -> DataFrame:
     """One row per distinct normalised text: its bytes, rows, rows that have an id,
     smallest and largest id."""
+    ship(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                         ascii_lower(F.coalesce("text", F.lit(""))).cast("binary").alias("text"))
     partial = texts.mapInArrow(_first_pass(memory), OWNERS)
