@@ -132,3 +132,14 @@ def test_revolver_end_date_is_inclusive(frame):
     rows = debt.schedule_revolver(loans, AS_OF).collect()
     kinds = [r["payment_type"] for r in rows]
     assert (kinds.count("Interest Only"), kinds.count("Principal & Interest")) == (25, 60)
+
+
+def test_a_large_loan_keeps_its_small_last_payment(spark):
+    from pyspark.sql import functions as F
+
+    loan = ("big", "n", "l", 1e12, 0.0, 1, "2026-01-01", "2027-01-01", 0, 0, 499_999_999_998.0, None)
+    loans = spark.createDataFrame([loan], LOAN.replace(" date", " string"))
+    loans = loans.withColumns({c: F.to_date(c) for c in ("start_date", "maturity_date")})
+    rows = debt.schedule_fixed_payment(loans).orderBy("payment_number").collect()
+    assert [r["principal_amount"] for r in rows] == [499_999_999_998.0, 499_999_999_998.0, 4.0]
+    assert rows[-1]["ending_principal"] == 0.0
