@@ -79,27 +79,40 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["doc_id", "place", "words", "node"])
 
 
-def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(band, node): a hash of the band's number and MinHashes, once per slice."""
-    for batch in slices(batches, "text", SLICE):
-        keys, owners = [], []
-        for own in groups(batch.column(0)):
-            if own is None:
-                continue
-            starts, until, nodes, grams = own
-            edges = np.stack([starts, until - WORDS + 1], 1).ravel()
-            mixed = np.append(grams * _SEEDS[:, :1] + _SEEDS[:, 1:], np.zeros((len(_SEEDS), 1), U), 1)
-            mixed ^= mixed >> U(31)
-            low = np.minimum.reduceat(mixed * MIX, edges, axis=1)[:, ::2]
-            for band in range(BANDS):
-                keys.append(fold([np.full(len(nodes), band, U), *low[band * ROWS:(band + 1) * ROWS]]))
-                owners.append(nodes)
-        if keys:
-            pairs = np.unique(np.rec.fromarrays(
-                [np.concatenate(keys).view(np.int64), np.concatenate(owners)], names="k,n"))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.ascontiguousarray(pairs["k"])), pa.array(np.ascontiguousarray(pairs["n"]))],
-                names=["band", "node"])
+def _flagged(codes: np.ndarray, flags: np.ndarray, bits: int) -> np.ndarray:
+    """Whether the upper bits of signed codes are set in a bitmap of ``node_flags``."""
+    places = ((codes ^ U(1 << 63)) >> U(64 - bits)).astype(np.int64)
+    return (flags[places >> 3] >> (places & 7).astype(np.uint8)) & 1 == 1
+
+
+def _bands(wanted=None, bits: int = 0):
+    """(band, node): a hash of the band's number and MinHashes, once per slice; only of
+    bands that may be wanted."""
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flags = None if wanted is None else np.frombuffer(wanted.value, np.uint8)
+        for batch in slices(batches, "text", SLICE):
+            keys, owners = [], []
+            for own in groups(batch.column(0)):
+                if own is None:
+                    continue
+                starts, until, nodes, grams = own
+                edges = np.stack([starts, until - WORDS + 1], 1).ravel()
+                mixed = np.append(grams * _SEEDS[:, :1] + _SEEDS[:, 1:], np.zeros((len(_SEEDS), 1), U), 1)
+                mixed ^= mixed >> U(31)
+                low = np.minimum.reduceat(mixed * MIX, edges, axis=1)[:, ::2]
+                for band in range(BANDS):
+                    keys.append(fold([np.full(len(nodes), band, U), *low[band * ROWS:(band + 1) * ROWS]]))
+                    owners.append(nodes)
+            if keys:
+                pairs = np.unique(np.rec.fromarrays(
+                    [np.concatenate(keys).view(np.int64), np.concatenate(owners)], names="k,n"))
+                if flags is not None:
+                    pairs = pairs[_flagged(pairs["k"].view(U), flags, bits)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.ascontiguousarray(pairs["k"])), pa.array(np.ascontiguousarray(pairs["n"]))],
+                    names=["band", "node"])
+
+    return build
 
 
 def _sets(wanted, bits: int):
@@ -112,8 +125,7 @@ def _sets(wanted, bits: int):
                 if own is None:
                     continue
                 starts, until, nodes, grams = own
-                places = ((nodes.view(U) ^ U(1 << 63)) >> U(64 - bits)).astype(np.int64)
-                hit = (flags[places >> 3] >> (places & 7).astype(np.uint8)) & 1 == 1
+                hit = _flagged(nodes.view(U), flags, bits)
                 for s, e, node in zip(starts[hit], until[hit], nodes[hit].tolist()):
                     sets[node] = np.unique(grams[s:e - WORDS + 1]).view(np.int64)
             if sets:
@@ -137,11 +149,12 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     ship(docs.sparkSession)
     texts = rows.select("text")
-    bands = texts.mapInArrow(_bands, "band long, node long")
-    first = F.min("node").alias("a")
-    # Both branches read one exchange by band.
-    bands = bands.repartition("band")
-    hubs = bands.groupBy("band").agg(first, F.max("node").alias("z")).where("a != z").select("band", "a")
+    # Most bands have one node.  The first pass finds the others, combined before the
+    # shuffle; the second ships rows of those only.
+    bands = texts.mapInArrow(_bands(), "band long, node long")
+    hubs = written(bands.groupBy("band").agg(F.min("node").alias("a"), F.max("node").alias("z"))
+                   .where("a != z").select("band", "a"), "band-hubs")
+    bands = texts.mapInArrow(_bands(*node_flags(hubs, "band")), "band long, node long")
     pairs = written(bands.join(hubs, "band").where("node != a").select("a", F.col("node").alias("b"))
                     .distinct(), "band-pairs")
     nodes = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
@@ -156,7 +169,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     roots = components(links)
     units = rows.mapInArrow(_units, "doc_id long, place int, words int, node long")
     units = units.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    units = units.select("doc_id", "place", "words", "root").repartition("root")
+    units = written(units.select("doc_id", "place", "words", "root"), "units")
     spread = units.groupBy("root").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
     return units.join(spread.where("least != most"), "root").select(
         "doc_id", F.col("place").alias("first_word"), F.col("words").alias("n_words"),
