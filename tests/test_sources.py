@@ -69,7 +69,8 @@ def test_category_map_from_config(spark):
               "non_cash_items": [{"account": "Depreciation"}],
               "clearing_accounts": [{"account": "Clearing"}]}
     rows = rules.category_map(spark, config).collect()
-    assert [(r["account"], r["is_cash"]) for r in rows] == [("Web", True), ("Depreciation", False)]
+    assert [(r["account"], r["is_cash"]) for r in rows] == [
+        ("Web", True), ("Depreciation", False), ("Clearing", False)]
 
 
 def test_timing_rules_from_yaml(spark, tmp_path):
@@ -87,7 +88,7 @@ expense_timing:
     rows = {r["term_id"]: r for r in rules.timing_rules(spark, rules.load_yaml(path)).collect()}
     assert (rows["biweekly"]["settlement_period_days"], rows["biweekly"]["settlement_lag_days"]) == (14, 2)
     assert (rows["daily"]["lag_days"], rows["daily"]["weekend_handling"]) == (2, "Next Business Day")
-    assert [rows[k]["lag_days"] for k in ("open", "net_30", "card")] == [0, 32, 30]
+    assert [rows[k]["lag_days"] for k in ("open", "net_30", "card")] == [None, 32, 30]
 
 
 def test_seeds_pass_the_check(spark):

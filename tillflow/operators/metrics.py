@@ -83,7 +83,10 @@ def burn_rate(balances: DataFrame) -> DataFrame:
 
 
 def risk_flags(balances: DataFrame) -> DataFrame:
-    """One row per warning, or the single row that there is none."""
+    """One row per warning, or the single row that there is none.
+
+    Fixed values: the warning texts.
+    """
     weeks = F.col("runway_weeks")
     flags = F.filter(F.array(
         F.when(weeks < SHORT_RUNWAY_WEEKS,

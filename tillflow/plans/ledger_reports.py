@@ -48,9 +48,9 @@ register("revenue_check", lambda t: views.revenue_check(t.ledger), """
 SELECT cash_date, cash_flow_category, COUNT(*) AS count, CAST(SUM(amount) AS DOUBLE) AS total_revenue
 FROM ledger WHERE cash_flow_section = 'Operating' AND cash_flow_category LIKE 'Revenue%'
 GROUP BY 1, 2 ORDER BY cash_date DESC, cash_flow_category LIMIT 20""")
-register("vendor_outflow_check", lambda t: views.vendor_outflow_check(t.actual_ledger), """
+register("vendor_outflow_check", lambda t: views.vendor_outflow_check(t.ledger), """
 SELECT cash_date, counterparty, COUNT(*) AS count, CAST(SUM(amount) AS DOUBLE) AS total_payments
-FROM actuals WHERE cash_flow_section = 'Operating' AND amount < 0
+FROM ledger WHERE cash_flow_section = 'Operating' AND amount < 0
 GROUP BY 1, 2 ORDER BY cash_date DESC, counterparty LIMIT 20""")
 register("account_limits", lambda t: views.account_limits(t.bank_accounts), """
 SELECT c_name AS account_name,
@@ -98,9 +98,8 @@ register("insert_rows_ignore_duplicates",
          """SELECT DISTINCT transaction_id, cash_date FROM actuals
             WHERE transaction_id NOT IN (SELECT transaction_id FROM deposit_rows)""")
 register("delete_loan",
-         lambda t: sinks.without_loan(t.debt_schedule(AS_OF), "loan-7").select(
-             "loan_id", "payment_number", "payment_amount"),
-         "SELECT loan_id, payment_number, payment_amount FROM schedule WHERE loan_id <> 'loan-7'")
+         lambda t: sinks.without_loan(t.debt_schedule(AS_OF), "loan-7"),
+         "SELECT * FROM schedule WHERE loan_id <> 'loan-7'")
 
 
 def _forecast_runs(t: TestTables):

@@ -1,4 +1,4 @@
--- Net proceeds per platform and day.
+-- Order counts and units per platform and day.
 SELECT platform,
        to_date(date_time) AS date,
        count(*) AS line_count,

@@ -69,6 +69,11 @@ def read_payout_report(spark: SparkSession, path: str) -> DataFrame:
     return parse_payout_report(spark.read.text(path))
 
 
+PHASE_MONTHS = ["io_months", "amort_months"]
+# Without these no payment has a date or an amount.
+REQUIRED_FIELDS = ["loan_id", "current_balance", "annual_rate", "payment_day", "start_date"]
+
+
 def _config_value(line: Column) -> Column:
     """The value of ``key: value  # note``; quotes dropped, null and ~ empty."""
     quoted = F.regexp_extract(line, r'^\s*\w+:\s*"([^"]*)"', 1)
@@ -78,13 +83,23 @@ def _config_value(line: Column) -> Column:
 
 
 def parse_loan_configs(lines: DataFrame) -> DataFrame:
-    """One loan row per ``file`` from lines (file, value) of flat config text."""
+    """One loan row per ``file`` from lines (file, value) of flat config text.
+
+    An absent phase has 0 months; a config without one of ``REQUIRED_FIELDS`` raises.
+    """
     keyed = lines.select("file", F.regexp_extract("value", r"^(\w+):", 1).alias("key"),
                          _config_value(F.col("value")).alias("setting"))
-    fields = [F.max(F.when(F.col("key") == name, F.col("setting"))).cast(kind).alias(name)
-              for name, kind in LOAN_SCHEMA.items()]
+    def field(name: str, kind: str) -> Column:
+        value = F.max(F.when(F.col("key") == name, F.col("setting"))).cast(kind)
+        if name in PHASE_MONTHS:
+            value = F.coalesce(value, F.lit(0).cast(kind))
+        elif name in REQUIRED_FIELDS:
+            missing = F.concat(F.lit(f"loan config without {name}: "), F.col("file"))
+            value = F.coalesce(value, F.raise_error(missing).cast(kind))
+        return value.alias(name)
+
     return (keyed.where(F.col("key").isin(list(LOAN_SCHEMA)))
-            .groupBy("file").agg(*fields).drop("file"))
+            .groupBy("file").agg(*[field(n, k) for n, k in LOAN_SCHEMA.items()]).drop("file"))
 
 
 def read_loan_configs(spark: SparkSession, path: str) -> DataFrame:
