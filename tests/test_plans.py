@@ -77,6 +77,28 @@ def test_dimension_joins_have_another_way(spark, name):
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
 
 
+@pytest.mark.parametrize("name", ["purchase_commitments", "consolidated_cash_flow"])
+def test_vendors_meet_sums_per_day(spark, name):
+    """A hot vendor reaches its join as one row a day, without any skew handling."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.forceOptimizeSkewedJoin": "false"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        plan = plan_of(registry.load()[name].run(spark, FOLDER))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    join = plan.index("SortMergeJoin [vendor")
+    assert re.search(r"HashAggregate\(keys=\[\w+date#\d+, vendor#\d+\]", plan[join:])
+
+
+def test_invoice_totals_join_no_invoices_again(spark):
+    plan = registry.load()["invoices_preview"].run(spark, FOLDER)._jdf.queryExecution() \
+        .optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 2  # invoices once, vendor sums once
+
+
 def test_entry_has_rows(spark):
     import __spark_entry__
 
