@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 BLANK = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 TO_LOWER = str.maketrans(UPPER, LOWER)
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
+BATCH_ROWS = 1_000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -56,9 +58,13 @@ def written(frame: DataFrame, name: str) -> DataFrame:
 def ship(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per Spark context.
 
-    Executors need not have the repository on their path.
+    Executors need not have the repository on their path.  Where the session has Spark's
+    default of 10,000 rows per Arrow batch, which long texts turn into tens of MB on
+    both sides of the pipe, it becomes ``BATCH_ROWS``.
     """
     context, package = spark.sparkContext, Path(__file__).resolve().parent.parent
+    if spark.conf.get(_BATCH_SETTING) == "10000":
+        spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
     if getattr(context, "_llm_shipped", False) or not package.is_dir():
         return
     archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"

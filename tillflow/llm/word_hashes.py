@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 512 << 10
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _random = np.random.default_rng(20)
