@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillflow.llm.shared import written
+
 RATIO = 0.5
 LEAST = 2
 
@@ -49,14 +51,16 @@ def drop_boilerplate(pages: DataFrame, ratio: float = RATIO, least: int = LEAST)
     Other columns are ignored.
     """
     rows = pages.select("page_id", "host", F.coalesce("lines", F.array().cast("array<string>")).alias("lines"))
-    totals = rows.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    # Written tables have a known size: Catalyst broadcasts them below its limit, so
+    # a hot host's lines and pages stay where they are.
+    totals = written(rows.groupBy("host").agg(F.count(F.lit(1)).alias("pages")), "host-pages")
     seen = rows.select("host", F.explode(F.array_distinct("lines")).alias("line"))
     seen = seen.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
     totals = totals.withColumnRenamed("host", "_site")
     common = seen.join(totals, F.col("host").eqNullSafe(F.col("_site"))).where(
         F.col("n") > ratio * F.col("pages"))
-    gone = common.groupBy("host").agg(F.collect_list("line").alias("gone")).select(
-        F.col("host").alias("_host"), "gone")
+    gone = written(common.groupBy("host").agg(F.collect_list("line").alias("gone")).select(
+        F.col("host").alias("_host"), "gone"), "host-lines")
     rows = rows.join(gone, F.col("host").eqNullSafe(F.col("_host")), "left")
     stay = F.filter("lines", lambda x: ~F.array_contains(F.coalesce("gone", F.array().cast("array<string>")), x))
     rows = rows.select("page_id", "host", F.size("lines").cast("long").alias("n_lines"), stay.alias("lines"))
