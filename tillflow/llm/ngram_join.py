@@ -188,9 +188,11 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not chosen:
                 continue
             columns = unpack(chosen)
-            order = np.lexsort((columns[1], columns[0]))
-            gram, node = columns[0][order], columns[1][order]
-            fresh = np.append(True, (gram[1:] != gram[:-1]) | (node[1:] != node[:-1]))
+            ends = columns[3] <= 0  # an end is a row besides the one of its n-gram
+            order = np.lexsort((ends, columns[1], columns[0]))
+            gram, node, ends = columns[0][order], columns[1][order], ends[order]
+            fresh = np.append(True, (gram[1:] != gram[:-1]) | (node[1:] != node[:-1])
+                              | (ends[1:] != ends[:-1]))
             order, gram = order[fresh], gram[fresh]
             if not flag:
                 same = gram[1:] == gram[:-1]
