@@ -42,7 +42,7 @@ BLOCK = 512
 HEADER = "<8sBBxxxxxxqQQ"  # magic, id bytes, null ids flag, least id, documents, nulls
 MAGIC = b"TOKSEF01"
 READ_BYTES = 8 << 20
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES = 120_000
 
 MANIFEST = ("first_id long, last_id long, documents long, tokens long, ids_file string, "
             "index_file string")
