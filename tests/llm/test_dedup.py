@@ -164,6 +164,49 @@ def test_near_passages_are_verified(documents, rng):
     assert {r.doc_id for r in got} <= {1, 2, 3} and {1, 2} <= {r.doc_id for r in got}
 
 
+def pasted(rng, passage, stops):
+    """A document that holds ``passage`` at a random word."""
+    own = prose(rng, 200).split() if stops else words(rng, 200)
+    cut = rng.randrange(30, 170)
+    return own[:cut] + passage + own[cut:]
+
+
+@pytest.mark.parametrize("stops", [True, False])
+def test_no_repeated_run_of_50_words_is_lost(documents, rng, stops):
+    texts = []
+    for n in [50] * 25 + [51, 55, 60, 75, 100]:
+        passage = prose(rng, 300).split()[:n] if stops else words(rng, n)
+        texts += [pasted(rng, passage, stops), pasted(rng, passage, stops)]
+    got = paragraph_dedup.repeated_passages(
+        documents([(i, " ".join(t), "a") for i, t in enumerate(texts)])).collect()
+    found = defaultdict(list)
+    for r in got:
+        found[r.doc_id].append((r.first_word, r.first_word + r.n_words))
+    places = defaultdict(set)  # brute force: all runs of 50 words
+    for i, text in enumerate(texts):
+        for k in range(len(text) - 49):
+            places[tuple(text[k:k + 50])].add((i, k))
+    repeated = [p for p in places.values() if len({i for i, _ in p}) > 1]
+    assert len(repeated) >= 30
+    for spots in repeated:
+        for i, k in spots:
+            assert any(k <= a and b <= k + 50 for a, b in found[i]), (i, k)
+
+
+def test_runs_do_not_depend_on_their_surroundings(rng):
+    import pyarrow as pa
+
+    passage = words(rng, 120)
+    chosen = []
+    for before, after in ((0, 0), (40, 40), (7, 90)):
+        text = words(rng, before) + passage + words(rng, after)
+        starts, until, nodes, _ = next(paragraph_dedup.groups(pa.array([" ".join(text)]), runs=True))
+        inner = {(int(s) - before, int(n)) for s, u, n in zip(starts, until, nodes)
+                 if u - s == paragraph_dedup.LENGTH and before <= s and u <= before + 120}
+        chosen.append({x for x in inner if 24 <= x[0] <= 120 - 53})
+    assert chosen[0] and chosen[0] == chosen[1] == chosen[2]
+
+
 def test_passages_of_odd_rows(documents, odd_rows):
     got = paragraph_dedup.repeated_passages(documents(odd_rows)).collect()
     assert {r.doc_id for r in got} == {5, 6} and all(r.kept == (r.doc_id == 5) for r in got)

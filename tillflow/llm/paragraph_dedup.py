@@ -2,8 +2,13 @@
 
 Passages are often pasted into the middle of a line, so the paragraphs compared
 here are groups of whole sentences: from each sentence start up to the first
-sentence end at least ``LEAST`` words on.  Of any two neighbouring starts the one
-with the smaller hash is taken, so both copies of a passage choose the same groups.
+sentence end at least ``LEAST`` words on.
+
+Passages need not hold a whole group.  So ``LENGTH`` words are a run from each 5-gram
+on that has the smallest hash of ``WINDOW`` neighbours.  The choice needs no word
+outside the window, so two copies of ``WINDOW + LENGTH - 1`` = 50 words choose the same
+runs, one at least, whatever their punctuation and surroundings; the runs leave no word
+between them out.  Equal runs are repeats; only groups are compared for similarity.
 
 Groups are sets of word 5-grams.  ``BANDS`` bands of ``ROWS`` MinHashes find a pair
 at the similarity of 0.75 with probability 1 - (1 - 0.75 ** ROWS) ** BANDS, 0.984
@@ -29,12 +34,16 @@ from tillflow.llm.word_hashes import BASE, MIX, U, Words, fold
 
 LEAST = 16
 BANDS, ROWS = 5, 2
+WINDOW, LENGTH = 25, 26
 RUN = 32  # a run of words without a sentence end is cut where a hash is a multiple of it
 _SEEDS = np.random.default_rng(5).integers(1, 1 << 63, (BANDS * ROWS, 2)).astype(U) | U(1)
 
 
-def groups(column: pa.Array):
-    """Per row (first words, last words + 1, nodes, 5-grams by first word) or None."""
+def groups(column: pa.Array, runs: bool = False):
+    """Per row (first words, last words + 1, nodes, 5-grams by first word) or None.
+
+    Of groups of sentences, and of runs of ``LENGTH`` words where asked for.
+    """
     words = Words(column)
     closed = np.isin(words.data[words.ends - 1], np.frombuffer(b".!?", np.uint8))
     closed |= words.hashes % U(RUN) == 0
@@ -43,31 +52,48 @@ def groups(column: pa.Array):
     closed[words.first[1:][words.first[1:] > words.first[:-1]] - 1] = True
     every = words.grams(WORDS)
     for begin, end in zip(words.first[:-1].tolist(), words.first[1:].tolist()):
-        yield _row_groups(closed[begin:end], every[begin:end - WORDS + 1]) if end - begin >= LEAST else None
+        yield _row_groups(closed[begin:end], every[begin:end - WORDS + 1], runs) if end - begin >= LEAST else None
+
+
+def _minima(grams: np.ndarray) -> np.ndarray:
+    """Places that hold the minimum of some ``WINDOW`` successive hashes."""
+    if len(grams) < WINDOW:
+        return np.zeros(0, np.int64)
+    least = _over_windows(np.minimum, grams)
+    edge = np.zeros(WINDOW - 1, U)
+    return np.flatnonzero(_over_windows(np.maximum, np.concatenate([edge, least, edge])) == grams)
+
+
+def _over_windows(best: np.ufunc, values: np.ndarray) -> np.ndarray:
+    """``best`` of every ``WINDOW`` successive values, by windows of doubled width."""
+    width = 1
+    while 2 * width <= WINDOW:
+        values, width = best(values[:-width], values[width:]), 2 * width
+    return best(values[:len(values) - WINDOW + width], values[WINDOW - width:])
 
 
-def _row_groups(closed: np.ndarray, grams: np.ndarray):
+def _row_groups(closed: np.ndarray, grams: np.ndarray, runs: bool):
     stops = np.flatnonzero(closed) + 1
     starts = np.append(0, stops[:-1])
     until = np.searchsorted(stops, starts + LEAST)
     full = until < len(stops)
     starts, until = starts[full], stops[until[full]]
+    if runs:
+        places = _minima(grams)
+        places = places[places + LENGTH <= len(closed)]
+        starts, until = np.append(starts, places), np.append(until, places + LENGTH)
     if not len(starts):
         return None
     sums = np.append(U(0), np.cumsum(grams * BASE, dtype=U))
     nodes = (sums[until - WORDS + 1] - sums[starts]) * MIX
-    rank = grams[starts]
-    later = np.append(rank[1:], U(0xFFFFFFFFFFFFFFFF))
-    earlier = np.append(U(0xFFFFFFFFFFFFFFFF), rank[:-1])
-    take = (rank <= later) | (rank < earlier)
-    return starts[take], until[take], nodes[take].view(np.int64), grams
+    return starts, until, nodes.view(np.int64), grams
 
 
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, place, words, node) of every group."""
+    """(doc_id, place, words, node) of every group and run."""
     for batch in slices(batches, "text", SLICE):
         ids, found = [], []
-        for doc_id, own in zip(batch.column(0).to_pylist(), groups(batch.column(1))):
+        for doc_id, own in zip(batch.column(0).to_pylist(), groups(batch.column(1), runs=True)):
             if own is not None:
                 ids += [doc_id] * len(own[0])
                 found.append(own)
@@ -137,11 +163,11 @@ def _sets(wanted, bits: int):
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
-    """doc_id, first_word, n_words, component and kept of every repeated group.
+    """doc_id, first_word, n_words, component and kept of every repeated group or run.
 
-    Only groups whose component reaches two different doc_ids are returned, those that
+    Only those whose component reaches two different doc_ids are returned, those that
     stay (``kept``) included.  ``component`` is the smallest doc_id.  Words are runs without white space, A-Z lowered, from 0.  A null
-    or empty text and one of fewer than ``LEAST`` words has no groups.  Rows without a
+    or empty text and one of fewer than ``LEAST`` words has none.  Rows without a
     doc_id are passed over, as no result could name them; rows that repeat a doc_id count
     as one document.  Other columns are ignored.
     """
@@ -167,9 +193,15 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     links = both.where(100 * common >= 75 * (F.size("left") + F.size("right") - common)).select(
         F.col("a").alias("u"), F.col("b").alias("v"))
     roots = components(links)
-    units = rows.mapInArrow(_units, "doc_id long, place int, words int, node long")
-    units = units.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    units = written(units.select("doc_id", "place", "words", "root"), "units")
+    units = written(rows.mapInArrow(_units, "doc_id long, place int, words int, node long"), "units")
+    # Most nodes stand in one place; the rows of the others only are joined.
+    spot = F.xxhash64("doc_id", "place")
+    often = units.groupBy("node").agg(F.min(spot).alias("a"), F.max(spot).alias("z")).where("a != z")
+    named = (often.select("node").unionByName(roots.select("node"))
+             .unionByName(roots.select(F.col("root").alias("node"))).distinct())
+    named = written(named.join(roots, "node", "left").select(
+        "node", F.coalesce("root", "node").alias("root")), "named")
+    units = written(units.join(named, "node").select("doc_id", "place", "words", "root"), "placed")
     spread = units.groupBy("root").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
     return units.join(spread.where("least != most"), "root").select(
         "doc_id", F.col("place").alias("first_word"), F.col("words").alias("n_words"),
