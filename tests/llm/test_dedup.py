@@ -207,6 +207,23 @@ def test_runs_do_not_depend_on_their_surroundings(rng):
     assert chosen[0] and chosen[0] == chosen[1] == chosen[2]
 
 
+def test_near_copies_that_share_a_frequent_sentence(documents, rng):
+    import pyarrow as pa
+
+    from tillflow.llm.word_hashes import U, Words
+
+    pool = list(dict.fromkeys(words(rng, 2_000, 4)))
+    open_ = Words(pa.array([" ".join(pool)])).hashes % U(paragraph_dedup.RUN) != 0
+    pool = [w for w, o in zip(pool, open_) if o]
+    shared, own, rows = pool[:20], iter(pool[20:]), []
+    for k in range(80):
+        mine = shared + [next(own) for _ in range(5)]
+        rows += [(2 * k, " ".join(mine + ["xa."]), "a"), (2 * k + 1, " ".join(mine + ["xo."]), "a")]
+    got = paragraph_dedup.repeated_passages(documents(rows)).collect()
+    whole = {r.doc_id: r.component for r in got if r.first_word == 0 and r.n_words == 26}
+    assert whole == {i: i - i % 2 for i in range(160)}
+
+
 def test_passages_of_odd_rows(documents, odd_rows):
     got = paragraph_dedup.repeated_passages(documents(odd_rows)).collect()
     assert {r.doc_id for r in got} == {5, 6} and all(r.kept == (r.doc_id == 5) for r in got)

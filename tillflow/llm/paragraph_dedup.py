@@ -14,7 +14,9 @@ Groups are sets of word 5-grams.  ``BANDS`` bands of ``ROWS`` MinHashes find a p
 at the similarity of 0.75 with probability 1 - (1 - 0.75 ** ROWS) ** BANDS, 0.984
 here, and equal groups always.  A group's signature is its node, so copies are one
 row; within a band the smallest node stands for the others, and each such pair is
-verified by exact Jaccard before the components are taken.  The document with the
+verified by exact Jaccard before the components are taken.  Nodes of a band that then
+still lie in several components are joined by their n-grams, rare ones first, as in
+``ngram_join``; no link between nodes of one band is lost.  The document with the
 smallest id of a component keeps its passages.
 """
 
@@ -24,11 +26,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillflow.llm.components import components
-from tillflow.llm.ngram_join import SLICE, WORDS, node_flags
+from tillflow.llm.ngram_join import RARE, SLICE, WORDS, _in_bounds, _pair, node_flags
 from tillflow.llm.shared import ship, slices, written
 from tillflow.llm.word_hashes import BASE, MIX, U, Words, fold
 
@@ -162,6 +164,67 @@ def _sets(wanted, bits: int):
     return build
 
 
+def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(u, v) of those ``pairs`` (a, b) with a Jaccard similarity of 0.75 or more."""
+    both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("grams").alias("left")), "a")
+            .join(sets.select(F.col("node").alias("b"), F.col("grams").alias("right")), "b"))
+    common = F.size(F.array_intersect("left", "right"))
+    return both.where(100 * common >= 75 * (F.size("left") + F.size("right") - common)).select(
+        F.col("a").alias("u"), F.col("b").alias("v"))
+
+
+def _rooted(frame: DataFrame, roots: DataFrame) -> DataFrame:
+    return frame.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def _prefixes(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """(gram, node, n, rest): the first quarter of each set in one order, rare n-grams first.
+
+    ``rest`` counts the n-grams from this one on.
+    """
+    grams = sets.join(nodes, "node", "left_semi").select(
+        "node", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
+    hot = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("often")).where(F.col("often") > RARE)
+    order = Window.partitionBy("node").orderBy(F.coalesce("often", F.lit(0)), "gram")
+    placed = grams.join(hot, "gram", "left").withColumn("place", F.row_number().over(order))
+    return placed.where("place <= n - floor((3 * n + 3) / 4) + 1").select(
+        "gram", "node", "n", (F.col("n") - F.col("place") + 1).alias("rest"))
+
+
+def _all_links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, root) of the components of ``pairs`` (hub, member of its bands).
+
+    The first round tries the pairs.  What a hub has left in several components is tried
+    by shared n-grams: first the most central node of each against the others, then all
+    pairs within the bounds that are still apart.
+    """
+    links = written(_alike(pairs, sets), "links")
+    roots = components(links)
+    members = pairs.select("a", F.col("b").alias("node")).unionByName(
+        pairs.select("a", F.col("a").alias("node")).distinct())
+    members = _rooted(members, roots)
+    several = members.groupBy("a").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 != r2")
+    apart = members.join(several, "a", "left_semi").select("node").distinct()
+    rows = written(_prefixes(apart, sets), "prefixes")
+    if rows.isEmpty():
+        return roots
+    for central in (True, False):
+        placed = _rooted(rows, roots)
+        ends = placed.groupBy("gram").agg(F.min("root").alias("r1"), F.max("root").alias("r2"))
+        placed = placed.join(ends.where("r1 != r2"), "gram", "left_semi")
+        if central:
+            first = F.min(F.struct((F.col("n") - F.col("rest")).alias("place"), "node", "n", "rest", "root"))
+            other, differ = placed.groupBy("gram").agg(first.alias("f")).select("gram", "f.*"), "x.root != y.root"
+        else:
+            other, differ = placed, "x.root < y.root"
+        found = placed.alias("x").join(other.alias("y"), "gram").where(F.expr(differ) & _in_bounds("x", "y"))
+        found = written(found.select(*_pair("x", "y")[:2]).distinct(), "pairs")
+        if not found.isEmpty():
+            links = links.unionByName(written(_alike(found, sets), "links"))
+            roots = components(links)
+    return roots
+
+
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """doc_id, first_word, n_words, component and kept of every repeated group or run.
 
@@ -185,14 +248,9 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
                     .distinct(), "band-pairs")
     nodes = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
     wanted, bits = node_flags(nodes, "node")
-    sets = (texts.mapInArrow(_sets(wanted, bits), "node long, grams array<long>")
-            .repartition("node").dropDuplicates(["node"]))
-    both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("grams").alias("left")), "a")
-            .join(sets.select(F.col("node").alias("b"), F.col("grams").alias("right")), "b"))
-    common = F.size(F.array_intersect("left", "right"))
-    links = both.where(100 * common >= 75 * (F.size("left") + F.size("right") - common)).select(
-        F.col("a").alias("u"), F.col("b").alias("v"))
-    roots = components(links)
+    sets = written(texts.mapInArrow(_sets(wanted, bits), "node long, grams array<long>")
+                   .repartition("node").dropDuplicates(["node"]), "sets")
+    roots = _all_links(pairs, sets)
     units = written(rows.mapInArrow(_units, "doc_id long, place int, words int, node long"), "units")
     # Most nodes stand in one place; the rows of the others only are joined.
     spot = F.xxhash64("doc_id", "place")
