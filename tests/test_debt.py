@@ -134,6 +134,29 @@ def test_revolver_end_date_is_inclusive(frame):
     assert (kinds.count("Interest Only"), kinds.count("Principal & Interest")) == (25, 60)
 
 
+def test_revolver_without_level_months_and_up_to_maturity(frame):
+    loans = frame(LOAN + ", io_end_date date",
+                  loan("io", 1000.0, 0.12, 30, "2024-05-30", "2031-05-30") + ("2025-05-30",),
+                  loan("cut", 1000.0, 0.12, 30, "2024-05-30", "2025-08-30", amort=60) + ("2025-05-30",))
+    kinds = [(r["loan_id"], r["payment_type"])
+             for r in debt.schedule_revolver(loans, AS_OF, to_maturity=True).collect()]
+    assert kinds.count(("io", "Interest Only")) == 13 and kinds.count(("cut", "Interest Only")) == 13
+    assert kinds.count(("cut", "Principal & Interest")) == 3 and len(kinds) == 29
+
+
+def test_whole_tables_are_registered(spark):
+    from conftest import FOLDER
+    from tillflow.plans import registry
+    from tillflow.sources.adapters import TestTables
+
+    queries, tables = registry.load(), TestTables(spark, FOLDER)
+    rows = queries["schedule_revolver_all_loans"].run(spark, FOLDER)
+    assert rows.select("loan_id").distinct().count() == tables.loans.count()
+    weeks = {r.week_start: r.outflows for r in queries["cash_buffer_flags_ledger"].run(spark, FOLDER).collect()}
+    planned = {r.week_start: r.outflows for r in queries["cash_buffer_flags"].run(spark, FOLDER).collect()}
+    assert set(planned) <= set(weeks) and sum(weeks.values()) > sum(planned.values())
+
+
 def test_a_large_loan_keeps_its_small_last_payment(spark):
     from pyspark.sql import functions as F
 

@@ -135,11 +135,17 @@ def schedule_interest_only(loans: DataFrame) -> DataFrame:
     return _rows(_staged(paid, {"interest": INTEREST}, {"payment": "interest"}), "Interest Only")
 
 
-def schedule_amortising(loans: DataFrame) -> DataFrame:
-    """``amort_months`` level payments after the interest-only phase."""
+def schedule_amortising(loans: DataFrame, to_maturity: bool = False) -> DataFrame:
+    """``amort_months`` level payments after the interest-only phase.
+
+    ``to_maturity`` leaves out those whose cycle date lies after ``maturity_date``.
+    """
     level = level_payment(F.col("current_balance"), F.col("annual_rate"), F.col("amort_months"))
     due = loans.select(*LOAN_FIELDS, level.alias("level")).where("amort_months > 0")
-    payments = _steps(due, "amort_months").selectExpr(
+    steps = _steps(due, "amort_months")
+    if to_maturity:
+        steps = steps.where("coalesce(add_months(start_date, io_months + step) <= maturity_date, true)")
+    payments = steps.selectExpr(
         "*", "io_months + step + 1 AS payment_number", "CAST(step AS DOUBLE) AS k",
         f"{_date_after('(io_months + step)')} AS payment_date")
     paid = _staged(payments,
@@ -209,16 +215,17 @@ def loan_schedule(loans: DataFrame, as_of: DateLike) -> DataFrame:
     return loan_status(rows, as_of)
 
 
-def schedule_revolver(loans: DataFrame, as_of: DateLike) -> DataFrame:
+def schedule_revolver(loans: DataFrame, as_of: DateLike, to_maturity: bool = False) -> DataFrame:
     """Interest-only through ``io_end_date`` inclusive, then level payments.
 
     The cycle dates lie whole months after ``start_date``; one that falls on
-    the end date still pays interest only.
+    the end date still pays interest only.  ``to_maturity`` ends the level payments
+    with the last cycle date up to ``maturity_date``, whatever is still owed.
     """
     months = F.floor(F.months_between("io_end_date", "start_date")) + 1
     phased = loans.withColumn("io_months", F.greatest(months, F.lit(0)).cast("int"))
-    return loan_status(schedule_interest_only(phased).unionByName(schedule_amortising(phased)),
-                       as_of)
+    level = schedule_amortising(phased, to_maturity)
+    return loan_status(schedule_interest_only(phased).unionByName(level), as_of)
 
 
 def as_debt_rows(schedule: DataFrame, ids: str = "uuid") -> DataFrame:

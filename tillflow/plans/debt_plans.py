@@ -53,6 +53,29 @@ FROM (SELECT *, CASE WHEN step < 0 THEN CAST(0.0 AS DOUBLE) ELSE least(level - i
                   FROM (SELECT *, unnest(range(-io, amort_months)) AS step
                         FROM (SELECT *, datediff('month', start_date, io_end_date) + 1 AS io
                               FROM loans WHERE amort_months > 0)))))""")
+# All loans, those without level months too, and no level payment after maturity.
+register("schedule_revolver_all_loans",
+         lambda t: debt.schedule_revolver(t.loans, AS_OF, to_maturity=True), f"""
+SELECT loan_id, loan_name, lender, payment_date, payment_number, {cents('payment')} AS payment_amount,
+       {cents('principal')} AS principal_amount, {cents('interest')} AS interest_amount,
+       CAST(0.0 AS DOUBLE) AS fees_amount, {cents('beginning')} AS beginning_principal,
+       {cents('ending')} AS ending_principal, annual_rate AS interest_rate, 30 AS days_in_period, payment_type,
+       payment_date < DATE '{{AS_OF}}' AS is_paid, payment_date >= DATE '{{AS_OF}}' AS is_forecast
+FROM (SELECT *, CASE WHEN step < 0 THEN CAST(0.0 AS DOUBLE) ELSE least(level - interest, beginning) END AS principal,
+             CASE WHEN step < 0 THEN interest ELSE least(level - interest, beginning) + interest END AS payment,
+             CASE WHEN step < 0 THEN 'Interest Only' ELSE 'Principal & Interest' END AS payment_type
+      FROM (SELECT *, beginning * (annual_rate / 360) * 30 AS interest,
+                   CASE WHEN step < 0 THEN NULL
+                        WHEN annual_rate = 0 THEN current_balance / amort_months
+                        ELSE current_balance * ((annual_rate / 12) * pow(1 + annual_rate / 12, amort_months))
+                             / (pow(1 + annual_rate / 12, amort_months) - 1) END AS level
+            FROM (SELECT *, CASE WHEN step < 0 THEN current_balance ELSE {LEVEL.format(k='step')} END AS beginning,
+                         CASE WHEN step < 0 THEN current_balance ELSE {LEVEL.format(k='(step + 1)')} END AS ending,
+                         CAST(io + step + 1 AS INTEGER) AS payment_number, {pay_date('io + step')} AS payment_date
+                  FROM (SELECT *, unnest(range(-io, amort_months)) AS step
+                        FROM (SELECT *, datediff('month', start_date, io_end_date) + 1 AS io FROM loans))
+                  WHERE step < 0
+                     OR start_date + to_months(CAST(io + step AS INTEGER)) <= maturity_date)))""")
 register("loan_status", lambda t: t.debt_schedule(AS_OF), "SELECT * FROM schedule")
 register("schedule_totals", lambda t: debt.schedule_totals(t.debt_schedule(AS_OF)), """
 SELECT loan_id, CAST(SUM(CAST(principal_amount AS DECIMAL(18,4))) AS DOUBLE) AS total_principal,
