@@ -224,6 +224,21 @@ def test_near_copies_that_share_a_frequent_sentence(documents, rng):
     assert whole == {i: i - i % 2 for i in range(160)}
 
 
+def test_one_occurrence_stays_of_a_passage_repeated_within_a_document(documents, rng):
+    passage, twice = words(rng, 60), words(rng, 60)
+    own = words(rng, 120)
+    rows = [(1, passage + own[:30] + passage + own[30:60]), (2, own[60:90] + passage),
+            (3, twice + own[90:] + twice), (4, words(rng, 200))]
+    got = paragraph_dedup.repeated_passages(
+        documents([(i, " ".join(t), "a") for i, t in rows])).collect()
+    texts, kept = dict(rows), defaultdict(list)
+    for r in got:
+        kept[tuple(texts[r.doc_id][r.first_word:r.first_word + r.n_words])].append(r.kept)
+    assert all(sum(k) <= 1 for k in kept.values())
+    assert {r.kept for r in got if r.doc_id == 1} == {r.kept for r in got if r.doc_id == 3} == {True, False}
+    assert {r.doc_id for r in got} == {1, 2, 3}
+
+
 def test_passages_of_odd_rows(documents, odd_rows):
     got = paragraph_dedup.repeated_passages(documents(odd_rows)).collect()
     assert {r.doc_id for r in got} == {5, 6} and all(r.kept == (r.doc_id == 5) for r in got)

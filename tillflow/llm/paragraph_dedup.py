@@ -16,8 +16,8 @@ here, and equal groups always.  A group's signature is its node, so copies are o
 row; within a band the smallest node stands for the others, and each such pair is
 verified by exact Jaccard before the components are taken.  Nodes of a band that then
 still lie in several components are joined by their n-grams, rare ones first, as in
-``ngram_join``; no link between nodes of one band is lost.  The document with the
-smallest id of a component keeps its passages.
+``ngram_join``; no link between nodes of one band is lost.  Of a component the first
+occurrence by (doc_id, place) stays, and what overlaps it there.
 """
 
 from __future__ import annotations
@@ -228,8 +228,8 @@ def _all_links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """doc_id, first_word, n_words, component and kept of every repeated group or run.
 
-    Only those whose component reaches two different doc_ids are returned, those that
-    stay (``kept``) included.  ``component`` is the smallest doc_id.  Words are runs without white space, A-Z lowered, from 0.  A null
+    Only those whose component occurs at two places that do not overlap are returned, in
+    one document or several, those that stay (``kept``) included.  ``component`` is the smallest doc_id.  Words are runs without white space, A-Z lowered, from 0.  A null
     or empty text and one of fewer than ``LEAST`` words has none.  Rows without a
     doc_id are passed over, as no result could name them; rows that repeat a doc_id count
     as one document.  Other columns are ignored.
@@ -260,7 +260,12 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     named = written(named.join(roots, "node", "left").select(
         "node", F.coalesce("root", "node").alias("root")), "named")
     units = written(units.join(named, "node").select("doc_id", "place", "words", "root"), "placed")
-    spread = units.groupBy("root").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-    return units.join(spread.where("least != most"), "root").select(
+    first = F.min(F.struct("doc_id", "place", "words")).alias("first")
+    last = F.max(F.struct("doc_id", "place")).alias("last")
+    end = F.col("first.place") + F.col("first.words")
+    spread = units.groupBy("root").agg(first, last).withColumn("end", end)
+    apart = (F.col("last.doc_id") != F.col("first.doc_id")) | (F.col("last.place") >= F.col("end"))
+    return units.join(spread.where(apart), "root").select(
         "doc_id", F.col("place").alias("first_word"), F.col("words").alias("n_words"),
-        F.col("least").alias("component"), (F.col("doc_id") == F.col("least")).alias("kept")).distinct()
+        F.col("first.doc_id").alias("component"),
+        ((F.col("doc_id") == F.col("first.doc_id")) & (F.col("place") < F.col("end"))).alias("kept")).distinct()
