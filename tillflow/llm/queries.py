@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm import (decontaminate, license_scan, line_frequency, mixing, ngram_join,
-                          paragraph_dedup, token_counts, token_store, toxicity, trie_dedup)
+from tillflow.llm import (decontaminate, lexical_search, license_scan, line_frequency, mixing, ngram_join,
+                          paragraph_dedup, pii, target_resample, token_counts, token_store, toxicity, trie_dedup)
 
 
 def tokenizer_path(name: str) -> str:
@@ -71,6 +71,18 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
                         (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op11_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, folder, "documents"))
+
+
+def op12_target_resample(spark: SparkSession, folder: str) -> DataFrame:
+    return target_resample.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_token_counts": op2_token_counts,
@@ -82,6 +94,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_trie_dedup": op8_trie_dedup,
     "op9_license_scan": op9_license_scan,
     "op10_mixing": op10_mixing,
+    "op11_personal_data": op11_personal_data,
+    "op12_target_resample": op12_target_resample,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -168,7 +183,72 @@ FROM scored WHERE points >= least({decontaminate.ENOUGH}, (item_words * 3 + 4) /
 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY points DESC, diagonal) = 1"""
 
 
+PLAIN_WORDS_SQL = f"regexp_extract_all({LOWER_SQL}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+# Fixed value: the reflected polynomial of crc32.
+_CRC32_SQL = """
+crc_table AS (
+  SELECT list(v ORDER BY i) AS cells
+  FROM (SELECT i, list_reduce([i] || range(8), lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) AS v
+        FROM (SELECT unnest(range(256)) AS i))),
+coded AS (
+  SELECT word, xor(list_reduce([4294967295::BIGINT] || list_transform(regexp_extract_all(hex(encode(word)), '..'),
+                                                                      lambda h: ('0x' || h)::BIGINT),
+                               lambda x, y: xor(cells[(xor(x, y) & 255) + 1], x >> 8)), 4294967295) AS crc
+  FROM (SELECT DISTINCT word FROM every_word), crc_table)"""
+
+
+def _resample_sql() -> str:
+    r = target_resample
+    return f"""
+WITH cut AS (SELECT row_number() OVER () AS row, doc_id, {PLAIN_WORDS_SQL} AS words FROM documents),
+words AS (SELECT row, unnest(words) AS word FROM cut),
+aim AS (SELECT unnest({PLAIN_WORDS_SQL}) AS word FROM benchmark),
+every_word AS (SELECT word FROM words UNION SELECT word FROM aim),{_CRC32_SQL},
+s_counts AS (SELECT crc % {r.BUCKETS} AS bucket, count(*) AS n FROM words JOIN coded USING (word) GROUP BY ALL),
+t_counts AS (SELECT crc % {r.BUCKETS} AS bucket, count(*) AS n FROM aim JOIN coded USING (word) GROUP BY ALL),
+gains AS (
+  SELECT b AS bucket, floor(1000 * ln(((coalesce(t.n, 0) + 1) * ((SELECT coalesce(sum(n), 0) FROM s_counts) + {r.BUCKETS}))::DOUBLE
+           / ((coalesce(s.n, 0) + 1) * ((SELECT coalesce(sum(n), 0) FROM t_counts) + {r.BUCKETS}))::DOUBLE))::BIGINT AS gain
+  FROM range({r.BUCKETS}) g(b) LEFT JOIN s_counts s ON s.bucket = b LEFT JOIN t_counts t ON t.bucket = b),
+weights AS (
+  SELECT row, sum(gain) AS weight FROM words JOIN coded USING (word) JOIN gains ON bucket = crc % {r.BUCKETS} GROUP BY row),
+scored AS (
+  SELECT row, doc_id, len(words)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+         coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((('0x' || substr(sha256('{r.SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT::DOUBLE
+           + 0.5) / 4294967296.0::DOUBLE)))::BIGINT AS score
+  FROM cut LEFT JOIN weights USING (row)),
+ranked AS (
+  SELECT *, CASE WHEN n_features >= {r.LEAST_WORDS}
+                 THEN row_number() OVER (PARTITION BY n_features >= {r.LEAST_WORDS} ORDER BY score DESC, doc_id) END AS place,
+         {r.DRAW_PERCENT} * count(*) FILTER (n_features >= {r.LEAST_WORDS}) OVER () // 100 AS most
+  FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= most THEN place END AS rank FROM ranked"""
+
+
+def _search_sql() -> str:
+    terms = f"regexp_extract_all({LOWER_SQL}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+    return f"""
+WITH cut AS (SELECT row_number() OVER () AS row, doc_id, {terms} AS terms FROM documents),
+totals AS (SELECT count(*) AS docs, sum(len(terms))::BIGINT AS length FROM cut WHERE len(terms) > 0),
+held AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(terms) AS term FROM cut) GROUP BY ALL),
+weighed AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM held, totals GROUP BY term, docs),
+asked AS (SELECT item, item_id, term, count(*) AS times
+          FROM (SELECT row_number() OVER () AS item, item_id, unnest({terms}) AS term FROM benchmark) GROUP BY ALL),
+scored AS (
+  SELECT item, item_id, row, doc_id,
+         sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * len(terms) * docs) // length))))::BIGINT AS score
+  FROM asked JOIN weighed USING (term) JOIN held USING (term) JOIN cut USING (row), totals
+  GROUP BY item, item_id, row, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= {lexical_search.K}"""
+
+
 ORACLES: dict[str, str] = {
+    "op12_target_resample": _resample_sql(),
+    "op13_lexical_search": _search_sql(),
     "op1_decontamination": _leak_sql(),
     "op9_license_scan": _license_sql(),
     "op4_ngram_join": f"""
