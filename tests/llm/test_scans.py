@@ -158,6 +158,15 @@ def test_mixed_rows_keep_columns(documents, odd_rows):
 def test_mixing_plan_is_native(documents):
     plan = mixing.mixed_rows(documents([(1, "a b", "a")]))._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Cartesian|NestedLoop", plan)
+    assert not re.search(r"Filter [^\n]*split\(", plan)  # a filter would split every text again
+
+
+def test_mixing_tells_equal_ids_and_sizes_apart_by_text(documents):
+    rows = [(1, f"{a} {b}", "a") for a in "pqrstuvw" for b in "xyz"]
+    def taken(order):
+        return sorted((r.text, r.copies) for r in mixing.mix(documents(order), share=0.7).collect())
+
+    assert taken(rows) == taken(rows[::-1])
 
 
 # ------------------------------------------------------------ toxicity

@@ -329,8 +329,8 @@ placed AS (
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY source ORDER BY class,
-              scatter % ceil(n_rows / 2000.0)::BIGINT, size, scatter, id) AS rank
-  FROM placed)
+              scatter % ceil(class_rows / (floor(sqrt(all_rows)) + 1))::BIGINT, size, scatter, id) AS rank
+  FROM (SELECT *, count(*) OVER (PARTITION BY source, class)::DOUBLE AS class_rows, count(*) OVER () AS all_rows FROM placed))
 SELECT doc_id, size, source_size, target,
        ((floor(rank * rate + shift) - floor((rank - 1) * rate + shift))::BIGINT * size)::BIGINT AS taken
 FROM ranked""",
