@@ -191,12 +191,14 @@ def exact_duplicates(docs: DataFrame, keep: str = "largest", memory: int = MEMOR
     """
     side = {"largest": "most", "smallest": "least"}[keep]
     found = owners(docs, memory).select(
-        F.sha2("text", 256).alias("text_sha256"), F.col("n_rows").alias("group_size"),
+        F.sha2("text", 256).alias("_sha256"), F.col("n_rows").alias("group_size"),
         F.col(side).alias("keep_id"))
     normal = ascii_lower(F.coalesce("text", F.lit("")))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.sha2(normal.cast("binary"), 256).alias("text_sha256"))
-    return rows.join(found, "text_sha256").select(
+    # null-safe, though no hash is null: a plain comparison adds a filter that hashes again
+    same = F.col("text_sha256").eqNullSafe(F.col("_sha256"))
+    return rows.join(found, same).select(
         "doc_id", "keep_id", "group_size",
         F.coalesce(F.col("doc_id") == F.col("keep_id"), F.col("keep_id").isNull()).alias("kept"),
         "text_sha256")
