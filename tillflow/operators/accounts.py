@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillflow.functions.dates import month_start
+from tillflow.functions.dates import DateLike, date_lit, month_start
 from tillflow.functions.money import from_units, inflow_sum, money_sum, outflow_sum, units
 from tillflow.operators.etl import DEFAULT_ACCOUNT, as_ledger, row_id
 
@@ -151,22 +151,25 @@ def gl_to_ledger(gl: DataFrame, category_map: DataFrame, ids: str = "uuid",
         F.col("transaction_type").alias("description"), F.lit("etl_gl").alias("created_by")))
 
 
-def daily_balances(ledger: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Opening, flows and closing per account and day.
+BALANCE_COLUMNS = ["balance_date", "bank_account_id", "account_type", "beginning_balance", "ending_balance",
+                   "total_inflows", "total_outflows", "net_change", "credit_limit", "available_credit"]
 
-    ``accounts`` gives account_id, account_type, opening_balance and
-    credit_limit.  Every account has a row for each day from its first movement to the
-    last day of the whole ledger; idle days carry the closing forward.  The ledger is
-    rolled up to account-days before the window, and idle days are exploded from the
-    gaps after it, so neither shuffles more than the roll-up.
+
+def _flows(rows: DataFrame, *by: str) -> DataFrame:
+    """Ledger rows summed to (account, day), with ``by`` in front."""
+    return (rows.groupBy(*by, "bank_account_id", F.col("cash_date").alias("balance_date"))
+            .agg(inflow_sum("amount").alias("total_inflows"),
+                 outflow_sum("amount").alias("total_outflows"),
+                 F.sum(units("amount")).alias("net")))
+
+
+def _days(daily: DataFrame, last: Column, *by: str) -> DataFrame:
+    """``daily`` with a row for each day up to ``last`` and, in ``so_far``, the sum of net until then.
+
+    Idle days are exploded from the gaps after the window, so neither shuffles more
+    than the roll-up.
     """
-    actual = ledger.where(~F.col("is_forecast"))
-    daily = (actual.groupBy("bank_account_id", F.col("cash_date").alias("balance_date"))
-             .agg(inflow_sum("amount").alias("total_inflows"),
-                  outflow_sum("amount").alias("total_outflows"),
-                  F.sum(units("amount")).alias("net")))
-    last = actual.agg(F.max("cash_date")).scalar()
-    order = Window.partitionBy("bank_account_id").orderBy("balance_date")
+    order = Window.partitionBy(*by, "bank_account_id").orderBy("balance_date")
     running = daily.select(
         "*", F.sum("net").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("so_far"),
         F.coalesce(F.date_sub(F.lead("balance_date").over(order), 1), last).alias("until"))
@@ -174,33 +177,166 @@ def daily_balances(ledger: DataFrame, accounts: DataFrame) -> DataFrame:
     every = running.select("*", days.alias("day"))
     active = F.col("day") == F.col("balance_date")
     flow = lambda name, none: F.when(active, F.col(name)).otherwise(none).alias(name)
-    every = every.select(F.col("day").alias("balance_date"), "bank_account_id", "so_far",
-                         flow("total_inflows", F.lit(0.0)), flow("total_outflows", F.lit(0.0)),
-                         flow("net", F.lit(0).cast("long")))
+    return every.select(*by, F.col("day").alias("balance_date"), "bank_account_id", "so_far",
+                        flow("total_inflows", F.lit(0.0)), flow("total_outflows", F.lit(0.0)),
+                        flow("net", F.lit(0).cast("long")))
+
+
+def _balances(days: DataFrame, accounts: DataFrame, base: Column) -> DataFrame:
+    """Balance rows from ``days``; ``base`` is the balance before the first of them, in units."""
     known = accounts.select(F.col("account_id").alias("_id"), "account_type",
                             "opening_balance", "credit_limit")
-    rows = every.join(known, F.col("bank_account_id") == F.col("_id"), "left")
-    ending = units(F.coalesce("opening_balance", F.lit(0.0))) + F.col("so_far")
+    rows = days.join(known, F.col("bank_account_id") == F.col("_id"), "left")
+    ending = base + F.col("so_far")
     return rows.select(
-        "balance_date", "bank_account_id", "account_type",
-        from_units(ending - F.col("net")).alias("beginning_balance"),
-        from_units(ending).alias("ending_balance"), "total_inflows", "total_outflows",
-        from_units(F.col("net")).alias("net_change"), "credit_limit",
+        "*", from_units(ending - F.col("net")).alias("beginning_balance"),
+        from_units(ending).alias("ending_balance"), from_units(F.col("net")).alias("net_change"),
         F.when(F.col("account_type") == "LOC", from_units(units("credit_limit") - ending))
          .alias("available_credit"))
 
 
+def _opening() -> Column:
+    return units(F.coalesce("opening_balance", F.lit(0.0)))
+
+
+def daily_balances(ledger: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Opening, flows and closing per account and day, from actual rows.
+
+    ``accounts`` gives account_id, account_type, opening_balance and
+    credit_limit.  Every account has a row for each day from its first movement to the
+    last day of the whole ledger; idle days carry the closing forward.
+    """
+    actual = ledger.where(~F.col("is_forecast"))
+    last = actual.agg(F.max("cash_date")).scalar()
+    return _balances(_days(_flows(actual), last), accounts, _opening()).select(*BALANCE_COLUMNS)
+
+
+def updated_daily_balances(stored: DataFrame, ledger: DataFrame, accounts: DataFrame,
+                           since: DateLike) -> DataFrame:
+    """``stored`` daily balances with the days from ``since`` on made anew.
+
+    Equals ``daily_balances`` of the whole ledger if no row before ``since`` has changed, but
+    reads and sums only rows from ``since`` on: each account goes on from its last stored
+    closing before.  With a late row, name its day.
+    """
+    first = date_lit(since)
+    actual = ledger.where(~F.col("is_forecast") & (F.col("cash_date") >= first))
+    kept = stored.where(F.col("balance_date") < first)
+    known = kept.agg(F.max("balance_date")).scalar()
+    closing = kept.where(F.col("balance_date") == known).select(
+        F.col("bank_account_id").alias("_account"), units("ending_balance").alias("_closing"))
+    # a row without movement on the next day carries an account that stays idle
+    none = F.lit(0.0)
+    carried = closing.select(F.col("_account").alias("bank_account_id"),
+                             F.date_add(known, 1).alias("balance_date"),
+                             none.alias("total_inflows"), none.alias("total_outflows"),
+                             F.lit(0).cast("long").alias("net"))
+    daily = _merged(_flows(actual).unionByName(carried))
+    last = actual.agg(F.max("cash_date")).scalar()
+    days = _days(daily, F.greatest(last, known)).where(
+        F.col("balance_date") <= F.coalesce(F.greatest(last, known), first))
+    days = days.join(closing, F.col("bank_account_id") == F.col("_account"), "left")
+    fresh = _balances(days, accounts, F.coalesce("_closing", _opening()))
+    return kept.select(*BALANCE_COLUMNS).unionByName(fresh.select(*BALANCE_COLUMNS))
+
+
+def _merged(daily: DataFrame, *by: str) -> DataFrame:
+    """One row per account and day of partly summed flows."""
+    return daily.groupBy(*by, "bank_account_id", "balance_date").agg(
+        money_sum("total_inflows").alias("total_inflows"),
+        money_sum("total_outflows").alias("total_outflows"), F.sum("net").alias("net"))
+
+
+def scenario_balances(ledger: DataFrame, accounts: DataFrame, as_of: DateLike | None = None) -> DataFrame:
+    """Daily balances of the forecast, per scenario: the rows of ``daily_balances`` with
+    is_forecast (true) and scenario_id.
+
+    Each scenario goes on from every account's last actual closing, from the day after the
+    last actual day to the last forecast day of the ledger.  Forecast rows up to the last actual
+    day are history that the actuals replace.  With ``as_of`` only actual rows before that day
+    are known, and the forecast begins on it.  Rows without a scenario form the scenario NULL.
+    The actual side is one sum per account; its days are not made.
+    """
+    actual = ledger.where(~F.col("is_forecast"))
+    last = actual.agg(F.max("cash_date")).scalar()
+    if as_of is not None:
+        actual = actual.where(F.col("cash_date") < date_lit(as_of))
+        last = F.date_sub(date_lit(as_of), 1)
+    planned = ledger.where(F.col("is_forecast") & F.coalesce(F.col("cash_date") > last, F.lit(True)))
+    span = planned.agg(F.min("cash_date").alias("first"), F.max("cash_date").alias("end"),
+                       F.sort_array(F.collect_set(F.struct("scenario_id"))).alias("scenarios"))
+    names, end = span.select("scenarios").scalar(), span.select("end").scalar()
+    first = F.coalesce(F.date_add(last, 1), span.select("first").scalar())
+    moved = actual.groupBy("bank_account_id").agg(F.sum(units("amount")).alias("moved"))
+    none = F.lit(0.0)
+    carried = moved.select(F.inline(names), "bank_account_id").select(
+        "scenario_id", "bank_account_id", first.alias("balance_date"), none.alias("total_inflows"),
+        none.alias("total_outflows"), F.lit(0).cast("long").alias("net"))
+    daily = _merged(_flows(planned, "scenario_id").unionByName(carried), "scenario_id")
+    days = _days(daily, end, "scenario_id").join(
+        moved.withColumnRenamed("bank_account_id", "_account"),
+        F.col("bank_account_id") == F.col("_account"), "left")
+    base = _opening() + F.coalesce("moved", F.lit(0))
+    return _balances(days, accounts, base).select(
+        *BALANCE_COLUMNS, F.lit(True).alias("is_forecast"), "scenario_id")
+
+
+# Period types of budgets; here with the unit that their start is cut to.
+PERIODS = {"Monthly": "MM", "Quarterly": "QUARTER", "Annual": "YEAR"}
+
+
+def _period_start(kind: Column, day: Column) -> Column:
+    out = day
+    for name, unit in PERIODS.items():
+        out = F.when(kind == name, F.trunc(day, unit)).otherwise(out)
+    return out
+
+
+def _or(frame: DataFrame, name: str, default: Column) -> Column:
+    return F.coalesce(F.col(name), default) if name in frame.columns else default
+
+
+def current_budget(budget: DataFrame) -> DataFrame:
+    """One amount per period type, period, section and category, from the active rows.
+
+    Of each entry (those and its subcategory) the highest active version counts, rows that
+    share it add up; entries then add up to their category.  ``period_type`` defaults to Monthly,
+    ``version`` to 1.
+    """
+    kind = _or(budget, "period_type", F.lit("Monthly"))
+    rows = budget.where("is_active").select(
+        kind.alias("period_type"), _period_start(kind, F.col("period_start_date")).alias("period_start_date"),
+        "cash_flow_section", "cash_flow_category",
+        (F.col("cash_flow_subcategory") if "cash_flow_subcategory" in budget.columns else F.lit(None))
+        .cast("string").alias("_entry"),
+        _or(budget, "version", F.lit(1)).cast("bigint").alias("version"), units("budget_amount").alias("_units"))
+    keys = ["period_type", "period_start_date", "cash_flow_section", "cash_flow_category"]
+    versions = rows.groupBy(*keys, "_entry", "version").agg(F.sum("_units").alias("_units"))
+    entries = versions.groupBy(*keys, "_entry").agg(F.max_by("_units", "version").alias("_units"),
+                                                    F.max("version").alias("version"))
+    return entries.groupBy(*keys).agg(F.max("version").alias("version"),
+                                      from_units(F.sum("_units")).alias("budget_amount"))
+
+
 def budget_variance(budget: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Budget against actuals by month, section and category.
+    """Budget against actuals by period type, period, section and category.
 
-    Both sides are aggregated before the full outer join.
+    Actual rows are summed by month once; a month then counts in its month, quarter and
+    year.  Monthly rows appear for every category with budget or actuals, quarterly and annual
+    ones where the active budget has that type at all.  Both sides are aggregated before the
+    full outer join.
     """
-    keys = ["period_start_date", "cash_flow_section", "cash_flow_category"]
-    planned = (budget.where("is_active").groupBy(*keys)
-               .agg(money_sum("budget_amount").alias("budget_amount")))
-    actual = (ledger.where(~F.col("is_forecast"))
-              .groupBy(month_start(F.col("cash_date")).alias("period_start_date"), *keys[1:])
-              .agg(money_sum("amount").alias("actual_amount")))
+    planned = current_budget(budget)
+    keys = ["period_type", "period_start_date", "cash_flow_section", "cash_flow_category"]
+    months = (ledger.where(~F.col("is_forecast"))
+              .groupBy(month_start(F.col("cash_date")).alias("month"), *keys[2:])
+              .agg(F.sum(units("amount")).alias("_units")))
+    used = planned.agg(F.collect_set("period_type")).scalar()  # three names at most
+    grains = months.withColumn("period_type", F.explode(F.array(*map(F.lit, PERIODS)))).where(
+        (F.col("period_type") == "Monthly") | F.array_contains(used, F.col("period_type")))
+    actual = grains.groupBy(
+        "period_type", _period_start(F.col("period_type"), F.col("month")).alias("period_start_date"),
+        *keys[2:]).agg(from_units(F.sum("_units")).alias("actual_amount"))
     zero = F.lit(0.0)
     joined = planned.join(actual, keys, "full")
     variance = from_units(units(F.coalesce("actual_amount", zero))

@@ -16,6 +16,7 @@ from tillflow.functions.classify import financing_if_debt
 from tillflow.functions.dates import DateLike, date_lit, month_start, weeks_before
 from tillflow.functions.money import from_units, units
 from tillflow.operators.etl import DEFAULT_ACCOUNT, as_ledger
+from tillflow.operators.timing import seasonal_factor
 
 # Fixed values: (revenue factor, expense factor) by scenario.
 FACTORS = {"base": (1.0, 1.0), "best": (1.15, 0.90), "worst": (0.85, 1.10)}
@@ -80,10 +81,11 @@ def active_recurring(recurring: DataFrame, as_of: DateLike) -> DataFrame:
     today = date_lit(as_of)
     live = (F.col("is_active") & (F.col("start_date") <= today)
             & (F.col("end_date").isNull() | (F.col("end_date") >= today)))
+    optional = [c for c in ("day_of_week", "month_of_year") if c in recurring.columns]
     return (recurring.where(live)
             .select("recurring_id", F.col("transaction_name").alias("description"), "amount",
                     "cash_flow_category", "frequency", "recurrence_interval", "day_of_month",
-                    "start_date", "end_date"))
+                    "start_date", "end_date", *optional))
 
 
 def upcoming_debt(schedule: DataFrame, as_of: DateLike, weeks: int = 13) -> DataFrame:
@@ -121,16 +123,51 @@ def _factor(scenario: Column, which: int) -> Column:
     return out.otherwise(F.lit(FACTORS["base"][which]))
 
 
-def scenario_factors(requests: DataFrame, scenario: str = "scenario") -> DataFrame:
-    """Revenue and expense factor for each row's scenario name."""
-    return (requests.withColumn("revenue_factor", _factor(F.col(scenario), 0))
-            .withColumn("expense_factor", _factor(F.col(scenario), 1)))
+def stored_factors(scenarios: DataFrame) -> DataFrame:
+    """(scenario, revenue_factor, expense_factor) of the active rows of the scenarios table.
 
+    A growth or inflation rate r is the factor 1 + r; ``custom_assumptions`` may name
+    revenue_factor and expense_factor outright, as JSON.  What a row leaves open is NULL.
+    """
+    live = F.coalesce("is_active", F.lit(True)) if "is_active" in scenarios.columns else F.lit(True)
+
+    def factor(name: str, rate: str) -> Column:
+        by_rate = 1.0 + F.col(rate) if rate in scenarios.columns else F.lit(None).cast("double")
+        if "custom_assumptions" not in scenarios.columns:
+            return by_rate
+        return F.coalesce(F.get_json_object("custom_assumptions", f"$.{name}").try_cast("double"), by_rate)
+
+    return (scenarios.where(live)
+            .groupBy(F.col("scenario_id").alias("scenario"))
+            .agg(F.max(factor("revenue_factor", "revenue_growth_rate")).alias("revenue_factor"),
+                 F.max(factor("expense_factor", "expense_inflation_rate")).alias("expense_factor")))
 
-def per_scenario(rows: DataFrame, scenarios: Sequence[str]) -> DataFrame:
+
+def scenario_factors(requests: DataFrame, scenario: str = "scenario",
+                     stored: DataFrame | None = None) -> DataFrame:
+    """Revenue and expense factor for each row's scenario name.
+
+    ``stored`` is the scenarios table: its factors count where it has the scenario and
+    the rate, else the default of that name, else that of base.  The table meets the rows as a
+    dimension, one row a scenario, so nothing fans out.
+    """
+    name = F.col(scenario)
+    defaults = [_factor(name, 0), _factor(name, 1)]
+    if stored is None:
+        return requests.withColumn("revenue_factor", defaults[0]).withColumn("expense_factor", defaults[1])
+    known = stored_factors(stored).select(F.col("scenario").alias("_scenario"),
+                                          F.col("revenue_factor").alias("_revenue"),
+                                          F.col("expense_factor").alias("_expense"))
+    return (requests.join(known, name == F.col("_scenario"), "left")
+            .withColumn("revenue_factor", F.coalesce("_revenue", defaults[0]))
+            .withColumn("expense_factor", F.coalesce("_expense", defaults[1]))
+            .drop("_scenario", "_revenue", "_expense"))
+
+
+def per_scenario(rows: DataFrame, scenarios: Sequence[str], stored: DataFrame | None = None) -> DataFrame:
     """Every input row once per scenario, with its factors."""
     names = F.array(*[F.lit(s) for s in scenarios])
-    return scenario_factors(rows.withColumn("scenario", F.explode(names)))
+    return scenario_factors(rows.withColumn("scenario", F.explode(names)), stored=stored)
 
 
 # ---- lines ------------------------------------------------------------------
@@ -143,49 +180,132 @@ def _week_text(what: str) -> Column:
     return F.concat(F.lit("Week "), F.col("week_number").cast("string"), F.lit(f" - {what}"))
 
 
+def _season_of_week(week_start: Column) -> Column:
+    """Mean seasonal factor of the week's seven days; a week across a month end has both."""
+    days = F.transform(F.sequence(F.lit(0), F.lit(6)), lambda k: seasonal_factor(F.date_add(week_start, k)))
+    return F.aggregate(days, F.lit(0.0), lambda total, factor: total + factor) / 7
+
+
+def seasonal_baseline(ledger: DataFrame, as_of: DateLike, months: int = 3) -> DataFrame:
+    """One row: the weekly revenue of a month with factor 1, from the trailing ``months``.
+
+    The revenue of the actual rows from ``months`` before ``as_of`` up to the day before, over
+    the factors of those days: a peak month's sales do not raise the base of a quiet one.
+    """
+    end = date_lit(as_of)
+    begin = F.add_months(end, -months)
+    rows = ledger.where(~F.col("is_forecast") & (F.col("amount") > 0)
+                        & (F.col("cash_date") >= begin) & (F.col("cash_date") < end))
+    days = F.transform(F.sequence(begin, F.date_sub(end, 1)), seasonal_factor)
+    weight = F.aggregate(days, F.lit(0.0), lambda total, factor: total + factor)
+    revenue = from_units(F.coalesce(F.sum(units("amount")), F.lit(0)))
+    return rows.agg(revenue.alias("revenue")).select((F.col("revenue") / weight * 7).alias("weekly_revenue"))
+
+
 def forecast_revenue_lines(weekly_revenue: DataFrame, as_of: DateLike, weeks: int = 13,
-                           scenarios: Sequence[str] = ("base",)) -> DataFrame:
-    """Revenue at the end of each week for each positive ``weekly_revenue`` row."""
+                           scenarios: Sequence[str] = ("base",), seasonal: bool = False,
+                           stored: DataFrame | None = None) -> DataFrame:
+    """Revenue at the end of each week for each positive ``weekly_revenue`` row.
+
+    ``seasonal`` splits a week's revenue evenly over its days and scales each by the factor
+    of its month.  ``stored`` is the scenarios table, see ``scenario_factors``.
+    """
     rows = per_scenario(forecast_weeks(weekly_revenue.where("weekly_revenue > 0"), as_of, weeks),
-                        scenarios)
+                        scenarios, stored)
+    base = F.col("weekly_revenue") * _season_of_week(F.col("week_start")) if seasonal else F.col("weekly_revenue")
     return _lines(rows.select(
         "*", F.col("week_end").alias("transaction_date"),
         F.lit("Operating").alias("cash_flow_section"),
         F.lit("Revenue - Ecommerce").alias("cash_flow_category"),
         _week_text("Revenue (forecast)").alias("description"),
-        (F.col("weekly_revenue") * F.col("revenue_factor")).alias("amount")))
+        (base * F.col("revenue_factor")).alias("amount")))
 
 
 def forecast_opex_lines(pattern: DataFrame, as_of: DateLike, weeks: int = 13,
-                        scenarios: Sequence[str] = ("base",)) -> DataFrame:
-    """The average weekly expense as an outflow at the end of each week."""
-    rows = per_scenario(forecast_weeks(pattern.select("weekly_avg"), as_of, weeks), scenarios)
+                        scenarios: Sequence[str] = ("base",), stored: DataFrame | None = None,
+                        inflation: float = 0.0) -> DataFrame:
+    """The average weekly expense as an outflow at the end of each week.
+
+    ``inflation`` is a yearly rate; a week's expense grows with its end's share of a year.
+    """
+    rows = per_scenario(forecast_weeks(pattern.select("weekly_avg"), as_of, weeks), scenarios, stored)
+    amount = F.col("weekly_avg") * F.col("expense_factor")
+    if inflation:
+        amount = amount * F.pow(F.lit(1.0 + inflation), F.datediff("week_end", date_lit(as_of)) / 365.0)
     return _lines(rows.select(
         "*", F.col("week_end").alias("transaction_date"),
         F.lit("Operating").alias("cash_flow_section"),
         F.lit("Operating Expenses").alias("cash_flow_category"),
         _week_text("OpEx (forecast)").alias("description"),
-        (0.0 - F.col("weekly_avg") * F.col("expense_factor")).alias("amount")))
+        (0.0 - amount).alias("amount")))
 
 
-def forecast_recurring_lines(active: DataFrame, as_of: DateLike, weeks: int = 13,
-                             scenarios: Sequence[str] = ("base",)) -> DataFrame:
-    """Each active item on its day of the month within the forecast span.
+def _optional(frame: DataFrame, name: str) -> Column:
+    return (F.col(name) if name in frame.columns else F.lit(None)).cast("int")
+
 
-    A month without that day has no payment.  Every item expands to the months
-    the span touches and keeps the days inside it: a narrow operation.
+def occurrences(items: DataFrame, as_of: DateLike, weeks: int) -> DataFrame:
+    """``items`` once per ``transaction_date`` that falls in the ``weeks`` from ``as_of``.
+
+    Daily and Weekly items step by days from their start, Weekly ones from the first
+    ``day_of_week`` (1 is Monday) on or after it.  Quarterly and Annually step by months from the
+    start's month (Annually from the first ``month_of_year``), on ``day_of_month`` or the
+    start's day; a day beyond the month's end is its last day.  All step by
+    ``recurrence_interval`` and end with ``end_date``.
+
+    Monthly, also for an unknown or missing frequency, keeps the simple rule: each month that
+    has the ``day_of_month``, a month without it has no payment; an end date inside the
+    span does not cut it.  With an interval above 1 only every n-th month from the start counts.
+
+    The first step inside the span follows by division, so an item expands to its own
+    dates only: a narrow operation.
     """
-    months = 7 * weeks // 28 + 1
-    first = F.add_months(month_start(date_lit(as_of)), F.col("month_step"))
-    day = F.date_add(first, F.col("day_of_month").cast("int") - 1)
-    dated = (active.withColumn("month_step", F.explode(F.sequence(F.lit(0), F.lit(months))))
-             .withColumn("month_first", first)
-             .withColumn("transaction_date", day)
-             .where((month_start(F.col("transaction_date")) == F.col("month_first"))
-                    & (F.col("transaction_date") >= date_lit(as_of))
-                    & (F.col("transaction_date") < F.date_add(date_lit(as_of), 7 * weeks))))
-    rows = per_scenario(with_week_span(dated.withColumn("week_number", _week_of(as_of)), as_of),
-                        scenarios)
+    first, start = date_lit(as_of), F.col("start_date")
+    last = F.date_add(first, 7 * weeks - 1)
+    kind = F.col("frequency")
+    every = F.greatest(F.coalesce(F.col("recurrence_interval").cast("int"), F.lit(1)), F.lit(1))
+    month_of = lambda day: F.year(day) * 12 + F.month(day) - 1
+
+    def steps(low: Column, high: Column) -> Column:
+        return F.when(low <= high, F.sequence(low, high))
+
+    # by days
+    week_day = _optional(items, "day_of_week")
+    shift = F.when(kind == "Weekly", F.coalesce(F.pmod(week_day - 1 - F.weekday(start), F.lit(7)), F.lit(0))).otherwise(0)
+    anchor, length = F.date_add(start, shift), F.when(kind == "Weekly", every * 7).otherwise(every)
+    low = F.greatest(F.ceil(F.datediff(first, anchor) / length), F.lit(0)).cast("int")
+    high = F.floor(F.datediff(F.least(last, F.coalesce("end_date", last)), anchor) / length).cast("int")
+    by_days = F.transform(steps(low, high), lambda k: F.date_add(anchor, k * length))
+
+    # by months, counted from the year 0
+    year_month = _optional(items, "month_of_year")
+    later = F.when(kind == "Annually", F.coalesce(F.pmod(year_month - F.month(start), F.lit(12)), F.lit(0))).otherwise(0)
+    simple = ~F.coalesce(kind.isin("Quarterly", "Annually"), F.lit(False))
+    begin = F.when(simple & (every == 1), month_of(first)).otherwise(month_of(start) + later)
+    period = F.when(kind == "Quarterly", every * 3).when(kind == "Annually", every * 12).otherwise(every)
+    low = F.greatest(F.ceil((month_of(first) - begin) / period), F.lit(0)).cast("int")
+    high = F.floor((month_of(last) - begin) / period).cast("int")
+    day = F.col("day_of_month").cast("int")
+
+    def in_month(k: Column) -> Column:
+        opening = F.add_months(F.lit("0001-01-01").cast("date"), begin + k * period - 12)
+        length_of_month = F.dayofmonth(F.last_day(opening))
+        clamped = F.date_add(opening, F.least(F.coalesce(day, F.dayofmonth(start)), length_of_month) - 1)
+        plain = F.when(day <= length_of_month, F.date_add(opening, day - 1))
+        inside = (clamped >= start) & (clamped <= F.coalesce("end_date", clamped))
+        return F.when(simple, plain).when(inside, clamped)
+
+    by_months = F.transform(steps(low, high), in_month)
+    dates = F.when(kind.isin("Daily", "Weekly"), by_days).otherwise(by_months)
+    return (items.withColumn("transaction_date", F.explode(dates))
+            .where((F.col("transaction_date") >= first) & (F.col("transaction_date") <= last)))
+
+
+def forecast_recurring_lines(active: DataFrame, as_of: DateLike, weeks: int = 13,
+                             scenarios: Sequence[str] = ("base",), stored: DataFrame | None = None) -> DataFrame:
+    """Each active item on its dates within the forecast span, see ``occurrences``."""
+    dated = occurrences(active, as_of, weeks).withColumn("week_number", _week_of(as_of))
+    rows = per_scenario(with_week_span(dated, as_of), scenarios, stored)
     return _lines(rows.select(
         *[c for c in rows.columns if c != "description"],
         financing_if_debt(F.col("cash_flow_category")).alias("cash_flow_section"),
@@ -197,7 +317,7 @@ def _week_of(as_of: DateLike, day: str = "transaction_date") -> Column:
 
 
 def forecast_debt_lines(debt: DataFrame, as_of: DateLike, weeks: int = 13,
-                        scenarios: Sequence[str] = ("base",)) -> DataFrame:
+                        scenarios: Sequence[str] = ("base",), stored: DataFrame | None = None) -> DataFrame:
     """Debt payments as outflows in weeks 1..``weeks``.
 
     The input window includes the day ``weeks`` later, which is week
@@ -205,7 +325,7 @@ def forecast_debt_lines(debt: DataFrame, as_of: DateLike, weeks: int = 13,
     """
     numbered = (debt.withColumn("week_number", _week_of(as_of, "payment_date"))
                 .where(F.col("week_number").between(1, weeks)))
-    rows = per_scenario(with_week_span(numbered, as_of), scenarios)
+    rows = per_scenario(with_week_span(numbered, as_of), scenarios, stored)
     return _lines(rows.select(
         "*", F.col("payment_date").alias("transaction_date"),
         F.lit("Financing").alias("cash_flow_section"),
@@ -216,20 +336,27 @@ def forecast_debt_lines(debt: DataFrame, as_of: DateLike, weeks: int = 13,
 
 def weekly_forecast(ledger: DataFrame, recurring: DataFrame, debt: DataFrame, as_of: DateLike,
                     weeks: int = 13, scenarios: Sequence[str] = ("base",),
-                    weekly_revenue: float = 0.0, lookback_weeks: int = 12) -> DataFrame:
+                    weekly_revenue: float | DataFrame = 0.0, lookback_weeks: int = 12,
+                    stored_scenarios: DataFrame | None = None, seasonal: bool = False,
+                    inflation: float = 0.0) -> DataFrame:
     """All forecast lines of all requested scenarios.
 
     A loan that is both a recurring item and in the schedule counts twice.
+    ``weekly_revenue`` is a number or a one-row table such as ``seasonal_baseline``;
+    ``stored_scenarios`` is the scenarios table, whose factors come before the defaults.
     """
     pattern = expense_pattern(historical_actuals(ledger, as_of, lookback_weeks))
-    span = (as_of, weeks, scenarios)
-    lines = (forecast_opex_lines(pattern, *span)
-             .unionByName(forecast_recurring_lines(active_recurring(recurring, as_of), *span))
-             .unionByName(forecast_debt_lines(upcoming_debt(debt, as_of, weeks), *span)))
-    if weekly_revenue > 0:
+    span, stored = (as_of, weeks, scenarios), stored_scenarios
+    lines = (forecast_opex_lines(pattern, *span, stored, inflation)
+             .unionByName(forecast_recurring_lines(active_recurring(recurring, as_of), *span, stored))
+             .unionByName(forecast_debt_lines(upcoming_debt(debt, as_of, weeks), *span, stored)))
+    if isinstance(weekly_revenue, DataFrame):
+        planned = weekly_revenue.select("weekly_revenue")
+    elif weekly_revenue > 0:
         planned = ledger.sparkSession.range(1).select(F.lit(weekly_revenue).alias("weekly_revenue"))
-        lines = lines.unionByName(forecast_revenue_lines(planned, *span))
-    return lines
+    else:
+        return lines
+    return lines.unionByName(forecast_revenue_lines(planned, *span, seasonal, stored))
 
 
 # ---- position ---------------------------------------------------------------

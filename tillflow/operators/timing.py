@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -82,14 +84,42 @@ def after_holidays(holidays: DataFrame) -> DataFrame:
     return islands.select("day", monday.alias("next_business_day"))
 
 
+# Timings that follow an event of the channel, and the kind of event.
+WITH_EVENT = {"with_settlement": "settlement", "with_payout": "payout"}
+
+
+def next_event(rows: DataFrame, events: DataFrame, by: Sequence[str], date: str) -> DataFrame:
+    """(``by``, ``date``, next_event): the first event on or after each date of ``rows``.
+
+    An as-of join on days.  ``events`` has the columns ``by`` and ``event_date``; NULL keys
+    are equal.  Both sides are first cut to their distinct days, which the calendar bounds
+    for every key, however many rows a channel has; then one ordered window per key walks
+    from the last day back and carries the nearest event.
+    """
+    keys = [F.col(c) for c in by]
+    asked = rows.select(*keys, F.col(date).alias("_day")).distinct().withColumn("event_date", F.lit(None).cast("date"))
+    known = events.select(*keys, F.col("event_date").alias("_day"), "event_date").where("_day IS NOT NULL").distinct()
+    # on one day events come before the rows that look for them
+    back = (Window.partitionBy(*by).orderBy(F.col("_day").desc(), F.col("event_date").desc_nulls_last())
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    found = asked.unionByName(known).withColumn("next_event", F.min("event_date").over(back))
+    return found.where("event_date IS NULL").select(*keys, F.col("_day").alias(date), "next_event")
+
+
 def apply_payment_timing(rows: DataFrame, rules: DataFrame, rule: str = "term_id",
                          date: str = "transaction_date", anchor: DateLike = SETTLEMENT_ANCHOR,
-                         holidays: DataFrame | None = None) -> DataFrame:
+                         holidays: DataFrame | None = None, events: DataFrame | None = None,
+                         channel: str = "channel") -> DataFrame:
     """Add ``cash_date`` to rows that name a payment rule.
 
     Rows without a rule keep their date; a rule whose lag is unknown gives NULL.  A rule
     may have its own ``settlement_anchor``.  ``holidays`` moves dates of next-business-day
     rules off holidays.
+
+    ``events`` (channel, event_kind, event_date) holds actual settlements and payouts.  A rule
+    whose ``payment_timing`` is with_settlement or with_payout then takes the next such date of
+    the row's ``channel``, on or after the row's date and as it is, without any move off
+    weekends; where none is known yet the rule's estimate stands.
     """
     def own(name: str, kind: str) -> Column:
         return (F.col(name) if name in rules.columns else F.lit(None)).cast(kind).alias(name)
@@ -97,7 +127,7 @@ def apply_payment_timing(rows: DataFrame, rules: DataFrame, rule: str = "term_id
     terms = rules.select(F.col("term_id").alias("_term"), "lag_days", "settlement_period_days",
                          "settlement_lag_days", "weekend_handling",
                          own("payout_days", "array<string>"), own("payout_day_of_month", "int"),
-                         own("settlement_anchor", "date"))
+                         own("settlement_anchor", "date"), own("payment_timing", "string"))
     start = F.coalesce("settlement_anchor", date_lit(anchor))
     handling = F.col("weekend_handling")
     plain = (F.when(F.col("_term").isNull(), F.col(date))
@@ -117,9 +147,38 @@ def apply_payment_timing(rows: DataFrame, rules: DataFrame, rule: str = "term_id
                                     F.coalesce("next_business_day", "cash_date"))
                              .otherwise(F.col("cash_date")))
                  .drop("day", "next_business_day"))
+    if events is not None:
+        dated = _with_actual_dates(dated, events, date, channel)
     return dated.select(*rows.columns, "cash_date")
 
 
+def _with_actual_dates(dated: DataFrame, events: DataFrame, date: str, channel: str) -> DataFrame:
+    """``cash_date`` replaced by the next event of rules that pay with one."""
+    kind = F.lit(None)
+    for timing, event in WITH_EVENT.items():
+        kind = F.when(F.col("payment_timing") == timing, event).otherwise(kind)
+    dated = dated.withColumn("_kind", kind).withColumn("_channel", F.col(channel))
+    happened = events.select(F.col("channel").alias("_channel"), F.col("event_kind").alias("_kind"), "event_date")
+    found = next_event(dated.where("_kind IS NOT NULL"), happened, ["_channel", "_kind"], date)
+    found = found.select(F.col("_channel").alias("_c"), F.col("_kind").alias("_k"),
+                         F.col(date).alias("_d"), "next_event")
+    same = (F.col("_channel").eqNullSafe(F.col("_c")) & (F.col("_kind") == F.col("_k"))
+            & (F.col(date) == F.col("_d")))
+    return dated.join(found, same, "left").withColumn("cash_date", F.coalesce("next_event", "cash_date"))
+
+
+def settlement_events(settled: DataFrame) -> DataFrame:
+    """Settlements that have paid, as events of their platform."""
+    return settled.select(F.col("platform").alias("channel"), F.lit("settlement").alias("event_kind"),
+                          F.col("cash_date").alias("event_date")).distinct()
+
+
+def payout_events(payouts: DataFrame, channel: str) -> DataFrame:
+    """Payouts of ``payout_settlement`` as events of one channel."""
+    return payouts.select(F.lit(channel).alias("channel"), F.lit("payout").alias("event_kind"),
+                          F.col("payout_date").alias("event_date")).distinct()
+
+
 def seasonal_factor(day: Column) -> Column:
     month = F.month(day)
     return (F.when(month.isin(PEAK_MONTHS), PEAK_FACTOR)

@@ -65,6 +65,72 @@ register("forecast_recurring_lines",
          lambda t: forecast.forecast_recurring_lines(
              forecast.active_recurring(t.recurring_transactions, AS_OF), *SPAN),
          "SELECT * FROM recurring_lines")
+# Items of all five frequencies, intervals 1 to 3, some that end inside the span.
+register("forecast_recurring_frequencies",
+         lambda t: forecast.forecast_recurring_lines(
+             forecast.active_recurring(t.recurring_items, AS_OF), *SPAN), """
+SELECT week_number, week_start, week_end, transaction_date,
+       CASE WHEN contains(cash_flow_category, 'Debt') OR contains(cash_flow_category, 'Loan')
+            THEN 'Financing' ELSE 'Operating' END AS cash_flow_section,
+       cash_flow_category, description || ' (recurring)' AS description, amount, scenario
+FROM item_days, factors WHERE end_date IS NULL OR end_date >= DATE '{AS_OF}'""")
+
+# A week's revenue by the factors of its days, from the trailing three months.
+SEASON = "CASE WHEN month({d}) IN (10, 11, 12) THEN 2.5 WHEN month({d}) IN (1, 2, 3) THEN 0.6 ELSE 1.0 END::DOUBLE"
+SEASONAL_SQL = f"""
+SELECT weeks.week_number, week_start, week_end, week_end AS transaction_date, 'Operating' AS cash_flow_section,
+       'Revenue - Ecommerce' AS cash_flow_category, 'Week ' || weeks.week_number || ' - Revenue (forecast)' AS description,
+       base * (list_reduce(list_transform(range(7), lambda k: {SEASON.format(d='week_start + k::INTEGER')}), lambda a, b: a + b) / 7)
+         * factor AS amount, scenario
+FROM (SELECT CAST(coalesce(SUM(amount), 0) AS DOUBLE)
+             / list_reduce(list_transform(generate_series(DATE '{{AS_OF}}' - INTERVAL 3 MONTH, DATE '{{AS_OF}}' - INTERVAL 1 DAY, INTERVAL 1 DAY),
+                                          lambda d: {SEASON.format(d='d')}), lambda a, b: a + b) * 7 AS base
+      FROM actuals WHERE amount > 0 AND cash_date >= DATE '{{AS_OF}}' - INTERVAL 3 MONTH AND cash_date < DATE '{{AS_OF}}'), weeks,
+     {{factors}}"""
+
+
+def _seasonal(t: TestTables, as_of: str, scenarios, stored=None):
+    return forecast.forecast_revenue_lines(forecast.seasonal_baseline(t.actual_ledger, as_of), as_of, WEEKS,
+                                           scenarios, seasonal=True, stored=stored)
+
+
+register("seasonal_revenue_lines", lambda t: _seasonal(t, AS_OF, SCENARIOS),
+         SEASONAL_SQL.replace("{factors}", "(SELECT scenario, revenue_factor AS factor FROM factors)"))
+register("inflated_opex_lines",
+         lambda t: forecast.forecast_opex_lines(forecast.expense_pattern(_actuals(t)), *SPAN, inflation=0.03), """
+SELECT * REPLACE (0.0 - weekly_avg * expense_factor * pow(1.03::DOUBLE, (week_end - DATE '{AS_OF}')::DOUBLE / 365.0::DOUBLE) AS amount)
+FROM (SELECT week_number, week_start, week_end, week_end AS transaction_date, 'Operating' AS cash_flow_section,
+             'Operating Expenses' AS cash_flow_category, 'Week ' || week_number || ' - OpEx (forecast)' AS description,
+             0.0::DOUBLE AS amount, scenario, weekly_avg, expense_factor FROM expense_row, weeks, factors)
+""".replace("SELECT * REPLACE", "SELECT * EXCLUDE (weekly_avg, expense_factor) REPLACE"))
+
+# Factors of the stored scenarios: custom plans, one that is not active, one without inflation.
+PLANS = ("base", "plan-4", "plan-5", "plan-6", "plan-9")
+CHOSEN = """(SELECT n.scenario, coalesce(revenue, 1.0::DOUBLE) AS revenue_factor, coalesce(expense, 1.0::DOUBLE) AS expense_factor
+      FROM (VALUES ('base'), ('plan-4'), ('plan-5'), ('plan-6'), ('plan-9')) n(scenario) LEFT JOIN stored_factors s ON s.scenario = n.scenario)"""
+register("scenario_factors_stored",
+         lambda t: forecast.scenario_factors(t.scenario_requests_stored, stored=t.scenarios), """
+SELECT request_id, r.scenario, coalesce(revenue, revenue_factor, 1.0::DOUBLE) AS revenue_factor,
+       coalesce(expense, expense_factor, 1.0::DOUBLE) AS expense_factor
+FROM (SELECT 'req-' || c_custkey AS request_id,
+             CASE c_custkey % 10 WHEN 0 THEN 'best' WHEN 1 THEN NULL ELSE 'plan-' || c_custkey % 500 END AS scenario FROM customer) r
+LEFT JOIN stored_factors s ON s.scenario = r.scenario LEFT JOIN factors f ON f.scenario = r.scenario""")
+register("weekly_forecast_stored_scenarios",
+         lambda t: forecast.weekly_forecast(
+             t.actual_ledger, t.recurring_items, t.debt_schedule(AS_OF), AS_OF, WEEKS, PLANS,
+             forecast.seasonal_baseline(t.actual_ledger, AS_OF), stored_scenarios=t.scenarios, seasonal=True), f"""
+SELECT week_number, week_start, week_end, week_end AS transaction_date, 'Operating' AS cash_flow_section,
+       'Operating Expenses' AS cash_flow_category, 'Week ' || week_number || ' - OpEx (forecast)' AS description,
+       0.0 - weekly_avg * expense_factor AS amount, scenario
+FROM expense_row, weeks, {CHOSEN} UNION ALL
+SELECT week_number, week_start, week_end, transaction_date,
+       CASE WHEN contains(cash_flow_category, 'Debt') THEN 'Financing' ELSE 'Operating' END,
+       cash_flow_category, description || ' (recurring)', amount, scenario
+FROM item_days, {CHOSEN} WHERE end_date IS NULL OR end_date >= DATE '{{AS_OF}}' UNION ALL
+SELECT week_number, week_start, week_end, payment_date, 'Financing', 'Debt Service', loan_name || ' - ' || lender,
+       0.0 - payment_amount, scenario
+FROM due_debt JOIN weeks ON payment_date BETWEEN week_start AND week_end, {CHOSEN} UNION ALL
+""" + SEASONAL_SQL.replace("{factors}", f"(SELECT scenario, revenue_factor AS factor FROM {CHOSEN})"))
 register("forecast_debt_lines",
          lambda t: forecast.forecast_debt_lines(
              forecast.upcoming_debt(t.debt_schedule(AS_OF), AS_OF), *SPAN),

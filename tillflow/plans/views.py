@@ -179,10 +179,18 @@ SELECT 'term-' || s_suppkey AS term_id, 'Terms of ' || s_name AS term_name,
             WHEN 4 THEN 'credit_card' ELSE 'net_terms' END AS cycle_type,
        CASE s_suppkey % 6 WHEN 1 THEN CAST(2 AS BIGINT) WHEN 2 THEN s_suppkey % 61 WHEN 3 THEN 0 WHEN 4 THEN 30 END AS lag_days,
        CASE WHEN s_suppkey % 12 = 5 THEN 15 END AS other_lag, s_suppkey % 6 = 1 AS tuesday_friday, s_suppkey % 12 = 4 AS month_end,
+       CASE s_suppkey % 24 WHEN 11 THEN 'with_settlement' WHEN 6 THEN 'with_settlement' WHEN 23 THEN 'with_payout' ELSE 'own' END
+         AS payment_timing,
        CASE WHEN s_suppkey % 6 = 0 THEN 14 END AS settlement_period_days,
        CASE s_suppkey % 3 WHEN 0 THEN 'Next Business Day' WHEN 1 THEN 'Previous Business Day'
             ELSE 'No Adjustment' END AS weekend_handling
 FROM supplier""",
+    "channel_events": """
+SELECT l_returnflag AS channel, 'settlement' AS event_kind, MAX(CAST(l_shipdate AS DATE)) + 2 AS event_date
+FROM lineitem GROUP BY l_returnflag, year(l_shipdate), dayofyear(l_shipdate) // 14 UNION ALL
+SELECT channel, 'payout', CASE dayofweek(day) WHEN 6 THEN day + 2 WHEN 0 THEN day + 1 ELSE day END
+FROM (SELECT l_returnflag AS channel, CAST(l_shipdate AS DATE) + 2 AS day FROM lineitem
+      WHERE l_returnflag <> 'N' AND day(l_shipdate) % 5 = 0 AND month(l_shipdate) NOT IN (7, 8))""",
     "recurring": """
 SELECT 'rec-' || s_suppkey AS recurring_id, 'Charge of ' || s_name AS transaction_name,
        CASE s_suppkey % 5 WHEN 0 THEN 'OpEx - Rent' WHEN 1 THEN 'OpEx - Software'
@@ -193,6 +201,36 @@ SELECT 'rec-' || s_suppkey AS recurring_id, 'Charge of ' || s_name AS transactio
        CASE WHEN s_suppkey % 4 = 0 THEN DATE '1998-01-01' + CAST(s_suppkey % 365 AS INTEGER) END AS end_date,
        s_suppkey % 11 <> 0 AS is_active
 FROM supplier""",
+    "stored_factors": """
+SELECT 'plan-' || s_suppkey AS scenario, CASE WHEN s_suppkey % 5 = 0 THEN 1.25 ELSE 1.0 + s_acctbal / 100000.0 END AS revenue,
+       CASE WHEN s_suppkey % 6 <> 0 THEN 1.0 + (s_suppkey % 7)::DOUBLE / 100.0::DOUBLE END AS expense
+FROM supplier WHERE s_suppkey % 9 <> 0""",
+    "items": """
+SELECT *, CASE WHEN kind = 'Weekly' AND week_day IS NOT NULL
+               THEN start_date + CAST((week_day - isodow(start_date) + 7) % 7 AS INTEGER) ELSE start_date END AS day_anchor,
+       CASE WHEN kind = 'Annually' AND year_month IS NOT NULL
+            THEN date_trunc('month', start_date) + to_months(CAST((year_month - month(start_date) + 12) % 12 AS INTEGER))
+            ELSE date_trunc('month', start_date) END AS month_anchor
+FROM (SELECT 'Charge to ' || c_name AS description, 0.0 - abs(c_acctbal) AS amount,
+             CASE c_custkey % 3 WHEN 0 THEN 'OpEx - Rent' WHEN 1 THEN 'Debt Service' ELSE 'OpEx - Insurance' END AS cash_flow_category,
+             CASE c_custkey % 6 WHEN 0 THEN 'Daily' WHEN 1 THEN 'Weekly' WHEN 3 THEN 'Quarterly' WHEN 4 THEN 'Annually' ELSE 'Monthly' END AS kind,
+             CAST(1 + c_custkey // 6 % 3 AS INTEGER) AS every, CASE WHEN c_custkey % 4 <> 0 THEN 1 + c_custkey % 7 END AS week_day,
+             CASE WHEN c_custkey % 7 <> 0 OR c_custkey % 6 IN (2, 5) THEN 1 + c_custkey % 31 END AS month_day,
+             CASE WHEN c_custkey % 5 <> 0 THEN 1 + c_custkey % 12 END AS year_month,
+             DATE '1996-01-01' + CAST(c_custkey % 900 AS INTEGER) AS start_date,
+             CASE WHEN c_custkey % 8 = 0 THEN DATE '1998-07-10' + CAST(c_custkey % 60 AS INTEGER) END AS end_date
+      FROM customer WHERE c_custkey % 11 <> 0)
+WHERE start_date <= DATE '{AS_OF}'""",
+    "item_days": """
+SELECT week_number, week_start, week_end, d AS transaction_date, i.*
+FROM (SELECT *, week_start + CAST(n AS INTEGER) AS d FROM weeks, range(0, 7) r(n)) calendar, items i
+WHERE CASE WHEN kind IN ('Daily', 'Weekly')
+           THEN d >= day_anchor AND d <= coalesce(end_date, d)
+                AND (d - CAST(day_anchor AS DATE)) % (every * CASE kind WHEN 'Weekly' THEN 7 ELSE 1 END) = 0
+           WHEN kind = 'Monthly' THEN day(d) = month_day AND datediff('month', start_date, d) % every = 0
+           ELSE d >= start_date AND d <= coalesce(end_date, d) AND date_trunc('month', d) >= month_anchor
+                AND datediff('month', month_anchor, d) % (every * CASE kind WHEN 'Quarterly' THEN 3 ELSE 12 END) = 0
+                AND day(d) = least(coalesce(month_day, day(start_date)), day(last_day(d))) END""",
     "live_recurring": """
 SELECT recurring_id, transaction_name AS description, amount, cash_flow_category, frequency,
        recurrence_interval, day_of_month, start_date, end_date
@@ -306,11 +344,20 @@ SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey) AS entry_id,
        {SUPPLIER} AS vendor
 FROM lineitem LEFT JOIN part ON l_partkey = p_partkey""",
     "budget_rows": f"""
-SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS period_start_date,
-       'Operating' AS cash_flow_section,
-       'Revenue - ' || {PLATFORM.format(other='Outlet')} AS cash_flow_category,
-       SUM(CAST(o_totalprice AS DECIMAL(18,4))) AS budget_amount
-FROM orders GROUP BY ALL""",
+SELECT period_type, period_start_date, 'Operating' AS cash_flow_section, cash_flow_category,
+       CASE WHEN month(period_start_date) % 2 = 1 THEN 2 ELSE 1 END AS version,
+       CASE WHEN month(period_start_date) % 2 = 1 THEN amount * 1.1 ELSE amount END AS budget_amount
+FROM (SELECT unit AS period_type, CAST(CASE unit WHEN 'Monthly' THEN date_trunc('month', o_orderdate)
+                  WHEN 'Quarterly' THEN date_trunc('quarter', o_orderdate) ELSE date_trunc('year', o_orderdate) END AS DATE)
+               AS period_start_date,
+             'Revenue - ' || {PLATFORM.format(other='Outlet')} AS cash_flow_category,
+             SUM(CAST(o_totalprice AS DECIMAL(18,4))) AS amount
+      FROM orders, (VALUES ('Monthly'), ('Quarterly'), ('Annual')) u(unit) GROUP BY ALL)""",
+    "actual_periods": """
+SELECT unit AS period_type, CAST(CASE unit WHEN 'Monthly' THEN date_trunc('month', cash_date)
+            WHEN 'Quarterly' THEN date_trunc('quarter', cash_date) ELSE date_trunc('year', cash_date) END AS DATE)
+         AS period_start_date, cash_flow_section, cash_flow_category, SUM(amount) AS actual
+FROM actuals, (VALUES ('Monthly'), ('Quarterly'), ('Annual')) u(unit) GROUP BY ALL""",
     "payouts": """
 SELECT *, 'payout-' || payout_date AS payout_id, value_amount - fee_amount AS net_amount
 FROM (SELECT ts AS transaction_time, event_id,

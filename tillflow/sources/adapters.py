@@ -245,6 +245,8 @@ class TestTables:
              .when(key % 12 == 5, F.lit(15).cast("bigint")).alias("settlement_lag_days"),
             F.when(key % 6 == 1, F.array(F.lit("Tuesday"), F.lit("Friday"))).alias("payout_days"),
             F.when(key % 12 == 4, F.lit(31).cast("bigint")).alias("payout_day_of_month"),
+            F.when(key % 24 == 11, "with_settlement").when(key % 24 == 23, "with_payout")
+             .when(key % 24 == 6, "with_settlement").otherwise("own").alias("payment_timing"),
             _choose(key % 3, ["Next Business Day", "Previous Business Day"], "No Adjustment")
             .alias("weekend_handling"))
 
@@ -256,7 +258,38 @@ class TestTables:
             F.concat(F.lit("plan-"), key.cast("string")).alias("scenario_id"),
             F.concat(F.lit("Plan "), F.col("s_name")).alias("scenario_name"),
             _choose(key % 4, ["Base", "Best", "Worst"], "Custom").alias("scenario_type"),
-            (F.col("s_acctbal") / 100000.0).alias("revenue_growth_rate"))
+            (F.col("s_acctbal") / 100000.0).alias("revenue_growth_rate"),
+            F.when(key % 6 != 0, (key % 7) / 100.0).alias("expense_inflation_rate"),
+            F.when(key % 5 == 0, F.lit('{"revenue_factor": 1.25, "note": "campaign"}')).alias("custom_assumptions"),
+            (key % 9 != 0).alias("is_active"))
+
+    @cached_property
+    def scenario_requests_stored(self) -> DataFrame:
+        """One requested scenario per customer, most of them stored plans."""
+        key = F.col("c_custkey")
+        return self.raw("customer").select(
+            F.concat(F.lit("req-"), key.cast("string")).alias("request_id"),
+            F.when(key % 10 == 0, "best").when(key % 10 != 1, F.concat(F.lit("plan-"), (key % 500).cast("string")))
+             .alias("scenario"))
+
+    @cached_property
+    def recurring_items(self) -> DataFrame:
+        """One recurring item per customer, over all frequencies and intervals."""
+        key = F.col("c_custkey")
+        frequency = _choose(key % 6, ["Daily", "Weekly", "Monthly", "Quarterly", "Annually"])
+        start = F.date_add(F.lit("1996-01-01").cast("date"), (key % 900).cast("int"))
+        return self.raw("customer").select(
+            F.concat(F.lit("item-"), key.cast("string")).alias("recurring_id"),
+            F.concat(F.lit("Charge to "), F.col("c_name")).alias("transaction_name"),
+            _choose(key % 3, ["OpEx - Rent", "Debt Service"], "OpEx - Insurance").alias("cash_flow_category"),
+            (0.0 - F.abs("c_acctbal")).alias("amount"), frequency.alias("frequency"),
+            (1 + F.floor(key / 6) % 3).cast("bigint").alias("recurrence_interval"),
+            F.when(key % 4 != 0, 1 + key % 7).alias("day_of_week"),
+            F.when((key % 7 != 0) | (key % 6).isin(2, 5), 1 + key % 31).alias("day_of_month"),
+            F.when(key % 5 != 0, 1 + key % 12).alias("month_of_year"),
+            start.alias("start_date"),
+            F.when(key % 8 == 0, F.date_add(F.lit("1998-07-10").cast("date"), (key % 60).cast("int"))).alias("end_date"),
+            (key % 11 != 0).alias("is_active"))
 
     @cached_property
     def scenario_requests(self) -> DataFrame:
@@ -384,15 +417,35 @@ class TestTables:
 
     @cached_property
     def budget(self) -> DataFrame:
-        """Monthly budget by platform, from open orders."""
-        platform = F.expr(_platform("Outlet"))
-        month = month_start(F.to_date("o_orderdate"))
-        return (self.raw("orders")
-                .groupBy(month.alias("period_start_date"),
-                         F.concat(F.lit("Revenue - "), platform).alias("cash_flow_category"))
-                .agg(from_units(F.sum(units("o_totalprice"))).alias("budget_amount"))
-                .select("period_start_date", F.lit("Operating").alias("cash_flow_section"),
-                        "cash_flow_category", "budget_amount", F.lit(True).alias("is_active")))
+        """Budgets by platform, from all orders: monthly, quarterly and annual rows.
+
+        Odd start months have a second version, raised by a tenth; every third start month
+        has a third one that is not active.
+        """
+        platform = F.concat(F.lit("Revenue - "), F.expr(_platform("Outlet")))
+        day = F.to_date("o_orderdate")
+        grains = F.inline(F.array(*[
+            F.struct(F.lit(kind).alias("period_type"), F.trunc(day, unit).alias("period_start_date"))
+            for kind, unit in (("Monthly", "MM"), ("Quarterly", "QUARTER"), ("Annual", "YEAR"))]))
+        sums = (self.raw("orders").select(grains, platform.alias("cash_flow_category"), "o_totalprice")
+                .groupBy("period_type", "period_start_date", "cash_flow_category")
+                .agg(F.sum(units("o_totalprice")).alias("whole")))
+        month = F.month("period_start_date")
+
+        def version(number: int, whole: Column, active: bool) -> Column:
+            return F.struct(F.lit(number).cast("bigint").alias("version"), from_units(whole).alias("budget_amount"),
+                            F.lit(active).alias("is_active"))
+
+        none = F.lit(None)
+        versions = F.array_compact(F.array(
+            version(1, F.col("whole"), True),
+            F.when(month % 2 == 1, version(2, F.expr("whole * 11 div 10"), True)).otherwise(none),
+            F.when(month % 3 == 0, version(3, F.lit(10_000), False)).otherwise(none)))
+        return sums.select(
+            F.concat_ws("-", F.lit("budget"), "period_type", F.col("period_start_date").cast("string"),
+                        "cash_flow_category").alias("budget_id"),
+            F.year("period_start_date").cast("bigint").alias("fiscal_year"), "period_type", "period_start_date",
+            F.lit("Operating").alias("cash_flow_section"), "cash_flow_category", F.inline(versions))
 
     @cached_property
     def payout_lines(self) -> DataFrame:
@@ -411,6 +464,18 @@ class TestTables:
             from_units(fee).alias("fee"),
             from_units(units("value") - fee).alias("net"))
 
+    @cached_property
+    def channel_events(self) -> DataFrame:
+        """Settlements by return flag, and payouts of two of the three flags, with gaps."""
+        lines = self.raw("lineitem").select(F.col("l_returnflag").alias("channel"), F.to_date("l_shipdate").alias("day"))
+        settled = (lines.groupBy("channel", F.year("day").alias("y"), F.floor(F.dayofyear("day") / 14).alias("p"))
+                   .agg(F.max("day").alias("last")))
+        settled = settled.select("channel", F.lit("settlement").alias("event_kind"),
+                                 F.date_add("last", 2).alias("event_date"))
+        paid = lines.where("channel <> 'N' AND dayofmonth(day) % 5 = 0 AND month(day) NOT IN (7, 8)").select(
+            "channel", F.lit("payout").alias("event_kind"), next_weekday(F.date_add("day", 2)).alias("event_date"))
+        return settled.unionByName(paid)
+
     # ---- ledger -----------------------------------------------------------
 
     @cached_property
