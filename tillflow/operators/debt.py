@@ -14,11 +14,11 @@ output only.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillflow.functions.dates import DateLike, date_lit
-from tillflow.functions.money import cents, money_sum
+from tillflow.functions.money import cents, from_units, money_sum, units
 
 # The day-count convention.
 DAYS_IN_YEAR = 360
@@ -228,6 +228,143 @@ def schedule_revolver(loans: DataFrame, as_of: DateLike, to_maturity: bool = Fal
     return loan_status(schedule_interest_only(phased).unionByName(level), as_of)
 
 
+# ---- variable-rate revolver -------------------------------------------------
+
+def monthly_rates(rates: DataFrame, first: DateLike, last: DateLike) -> DataFrame:
+    """(rate_month, base_rate) for the months ``first`` to ``last``.
+
+    ``rates`` gives effective_date and base_rate (yearly).  A month has the rate in force on
+    its first day, which is when variable loans adjust; months before the first rate have the
+    earliest one.  Of several rates of one day the highest counts.  The list is bounded by
+    the calendar.
+    """
+    daily = rates.groupBy("effective_date").agg(F.max("base_rate").alias("base_rate"))
+    in_order = Window.orderBy("effective_date")  # one row a rate change
+    ends = F.trunc(F.date_sub(F.coalesce(F.lead("effective_date").over(in_order), F.add_months(date_lit(last), 1)), 1), "MM")
+    # the first month whose opening day the rate covers
+    begins = F.when(F.row_number().over(in_order) == 1, F.trunc(F.least("effective_date", date_lit(first)), "MM")) \
+              .otherwise(F.trunc(F.add_months(F.date_sub("effective_date", 1), 1), "MM"))
+    spans = daily.select("base_rate", begins.alias("begins"), ends.alias("ends")).where("begins <= ends")
+    months = F.explode(F.sequence("begins", "ends", F.expr("interval 1 month")))
+    return spans.select(months.alias("rate_month"), "base_rate")
+
+
+def balance_spans(loans: DataFrame, movements: DataFrame) -> DataFrame:
+    """(loan_id, span_start, span_end, units): the balance of each revolver over time.
+
+    A span holds from its start up to the day before its end; the last one ends with the
+    phase in which the loan revolves, ``io_end_date``.  ``movements`` are draws (positive) and
+    repayments (negative) with loan_id, movement_date and amount; those of a day add up, those
+    before the start, on the end date or later, or without a loan are left out.
+    """
+    phase = loans.select("loan_id", "start_date", "io_end_date", units("current_balance").alias("opening"))
+    moved = (movements.groupBy(F.col("loan_id").alias("_loan"), "movement_date")
+             .agg(F.sum(units("amount")).alias("net")))
+    inside = (F.col("_loan") == F.col("loan_id")) & (F.col("movement_date") >= F.col("start_date")) \
+        & (F.col("movement_date") < F.col("io_end_date"))
+    changes = moved.join(phase, inside).select("loan_id", F.col("movement_date").alias("span_start"), "io_end_date", "net")
+    opened = phase.where("start_date < io_end_date").select(
+        "loan_id", F.col("start_date").alias("span_start"), "io_end_date", F.col("opening").alias("net"))
+    daily = (changes.unionByName(opened).groupBy("loan_id", "span_start", "io_end_date")
+             .agg(F.sum("net").alias("net")))
+    order = Window.partitionBy("loan_id").orderBy("span_start")  # at most one row a day
+    so_far = F.sum("net").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return daily.select("loan_id", "span_start",
+                        F.coalesce(F.lead("span_start").over(order), F.col("io_end_date")).alias("span_end"),
+                        so_far.alias("units"))
+
+
+def revolver_interest(loans: DataFrame, movements: DataFrame, rates: DataFrame,
+                      first: DateLike, last: DateLike) -> DataFrame:
+    """Interest on daily balances, one row per loan and payment date of the revolving phase.
+
+    A balance span is cut at month ends, where the rate may change, and at the payment day of
+    each month, where a payment covers the days before it.  Within such a piece balance and
+    rate are constant, so a payment's interest is the sum of at most two terms, days times
+    balance in each of its two months, times that month's base rate plus the loan's ``spread``
+    over 360.  The day sums are whole numbers and exact.  A credit balance bears none.
+    ``first`` and ``last`` bound the months of the rate list; days outside them bear no
+    interest, so choose them around all loans.  The rate shown is that of the payment's last
+    month with a balance.
+    """
+    month = F.col("month")
+    pay = F.date_add(month, F.least(F.col("payment_day"), F.dayofmonth(F.last_day(month))) - 1)
+    spans = balance_spans(loans, movements)
+    known = loans.select(F.col("loan_id").alias("_loan"), "payment_day", "spread", "io_end_date")
+    months = F.explode(F.sequence(F.trunc("span_start", "MM"), F.trunc(F.date_sub("span_end", 1), "MM"),
+                                  F.expr("interval 1 month")))
+    pieces = (spans.where("span_start < span_end").join(known, F.col("loan_id") == F.col("_loan"))
+              .withColumn("month", months).withColumn("pay", pay))
+    # days of the span in the month, before the payment day and from it on
+    opens, closes = F.greatest("span_start", "month"), F.least("span_end", F.add_months(month, 1))
+    days = lambda low, high: F.greatest(F.datediff(high, low), F.lit(0))
+    owed = F.greatest("units", F.lit(0).cast("bigint"))
+    pieces = pieces.select(
+        "loan_id", "month", "pay", "payment_day", "spread", "io_end_date",
+        (owed * days(opens, F.least(closes, F.col("pay")))).alias("early"),
+        (owed * days(F.greatest(opens, F.col("pay")), closes)).alias("late"))
+    sums = pieces.groupBy("loan_id", "month", "pay", "payment_day", "spread", "io_end_date").agg(
+        F.sum("early").alias("early"), F.sum("late").alias("late"))
+    rated = sums.join(monthly_rates(rates, first, last), month == F.col("rate_month"), "left")
+    yearly = F.coalesce(F.col("base_rate") + F.col("spread"), F.lit(0.0))
+    following = F.add_months(month, 1)
+    next_pay = F.date_add(following, F.least(F.col("payment_day"), F.dayofmonth(F.last_day(following))) - 1)
+
+    def part(name: str, date: Column) -> Column:
+        interest = from_units(F.col(name)) * (yearly / DAYS_IN_YEAR)
+        return F.struct(F.least(date, F.col("io_end_date")).alias("payment_date"), F.col("month").alias("of_month"),
+                        interest.alias("interest"), yearly.alias("rate"), F.col(name).alias("unit_days"))
+
+    parts = rated.select("loan_id", "io_end_date", F.inline(F.array(part("early", F.col("pay")), part("late", next_pay))))
+    # a late term of the month before and an early one of its own: added in a fixed order
+    ordered = F.array_sort(F.collect_list(F.struct("rate", "interest")))
+    return (parts.where("unit_days > 0").groupBy("loan_id", "payment_date")
+            .agg(ordered.alias("terms"), F.max_by("rate", "of_month").alias("interest_rate"))
+            .select("loan_id", "payment_date", "interest_rate",
+                    F.aggregate("terms", F.lit(0.0), lambda total, term: total + term["interest"]).alias("interest")))
+
+
+def schedule_variable_revolver(loans: DataFrame, movements: DataFrame, rates: DataFrame, as_of: DateLike,
+                               first: DateLike, last: DateLike) -> DataFrame:
+    """A credit line with draws, repayments and a monthly base rate plus ``spread``.
+
+    Until ``io_end_date`` interest on daily balances falls due on each payment day; what is
+    open on the end date is due on it.  The balance of that day then amortises over
+    ``amort_months`` level payments at the rate of its month.
+    """
+    spans = balance_spans(loans, movements)
+    interest = revolver_interest(loans, movements, rates, first, last)
+    names = loans.select(F.col("loan_id").alias("_loan"), "loan_name", "lender")
+    held = spans.select(F.col("loan_id").alias("_held"), "span_start", "span_end", F.col("units").alias("held"))
+    # the span of the day before the payment: a loan's spans are few and meet its payments by key
+    day = F.date_sub("payment_date", 1)
+    paid = (interest.join(held, (F.col("loan_id") == F.col("_held")) & (day >= F.col("span_start"))
+                          & (day < F.col("span_end")))
+            .join(names, F.col("loan_id") == F.col("_loan"))
+            .withColumn("payment_number", F.row_number().over(Window.partitionBy("loan_id").orderBy("payment_date"))))
+    balance = from_units(F.col("held"))
+    rows = paid.select(
+        "loan_id", "loan_name", "lender", "payment_date", "payment_number", F.col("interest").alias("payment"),
+        F.lit(0.0).alias("principal"), "interest", balance.alias("beginning"), balance.alias("ending"),
+        F.col("interest_rate").alias("annual_rate"))
+    revolving = _rows(rows, "Interest Only")
+    # what is owed when the phase ends, at the rate of that month
+    closing = spans.groupBy(F.col("loan_id").alias("_closed")).agg(F.max_by("units", "span_start").alias("owed"))
+    counts = paid.groupBy(F.col("loan_id").alias("_counted")).agg(F.count(F.lit(1)).cast("int").alias("paid"))
+    rated = loans.withColumn("_month", F.trunc("io_end_date", "MM")).join(
+        monthly_rates(rates, first, last), F.col("_month") == F.col("rate_month"), "left")
+    level = (rated.join(closing, F.col("loan_id") == F.col("_closed"))
+             .join(counts, F.col("loan_id") == F.col("_counted"), "left")
+             .withColumn("current_balance", from_units(F.greatest("owed", F.lit(0).cast("bigint"))))
+             .withColumn("annual_rate", F.coalesce(F.col("base_rate") + F.col("spread"), F.lit(0.0)))
+             .withColumn("start_date", F.add_months("io_end_date", 1)).withColumn("io_months", F.lit(0))
+             .where("current_balance > 0"))
+    numbers = level.select(F.col("loan_id").alias("_numbered"), F.coalesce("paid", F.lit(0)).alias("paid"))
+    amortised = schedule_amortising(level).join(numbers, F.col("loan_id") == F.col("_numbered")) \
+        .withColumn("payment_number", F.col("payment_number") + F.col("paid")).select(*revolving.columns)
+    return loan_status(revolving.unionByName(amortised), as_of)
+
+
 def as_debt_rows(schedule: DataFrame, ids: str = "uuid") -> DataFrame:
     """Schedule rows with the id a stored row needs."""
     key = F.concat_ws("|", "loan_id", F.col("payment_number").cast("string"))

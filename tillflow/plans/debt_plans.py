@@ -76,6 +76,35 @@ FROM (SELECT *, CASE WHEN step < 0 THEN CAST(0.0 AS DOUBLE) ELSE least(level - i
                         FROM (SELECT *, datediff('month', start_date, io_end_date) + 1 AS io FROM loans))
                   WHERE step < 0
                      OR start_date + to_months(CAST(io + step AS INTEGER)) <= maturity_date)))""")
+# Draws and repayments from the orders, a base rate that changes often, a spread per line.
+register("schedule_variable_revolver",
+         lambda t: debt.schedule_variable_revolver(t.credit_lines, t.credit_movements, t.base_rates, AS_OF,
+                                                   "1990-01-01", "2010-12-31"), f"""
+SELECT loan_id, loan_name, lender, payment_date,
+       CAST(row_number() OVER (PARTITION BY loan_id ORDER BY payment_date) AS INTEGER) AS payment_number,
+       {cents('interest')} AS payment_amount, CAST(0.0 AS DOUBLE) AS principal_amount, {cents('interest')} AS interest_amount,
+       CAST(0.0 AS DOUBLE) AS fees_amount, {cents('CAST(held AS DOUBLE)')} AS beginning_principal,
+       {cents('CAST(held AS DOUBLE)')} AS ending_principal, rate AS interest_rate, 30 AS days_in_period,
+       'Interest Only' AS payment_type, payment_date < DATE '{{AS_OF}}' AS is_paid, payment_date >= DATE '{{AS_OF}}' AS is_forecast
+FROM line_payments UNION ALL
+SELECT loan_id, loan_name, lender, payment_date, CAST(paid + step + 1 AS INTEGER), {cents('payment')}, {cents('principal')},
+       {cents('interest')}, 0.0, {cents('beginning')}, {cents('ending')}, annual_rate, 30, 'Principal & Interest',
+       payment_date < DATE '{{AS_OF}}', payment_date >= DATE '{{AS_OF}}'
+FROM (SELECT *, least(level - interest, beginning) AS principal, least(level - interest, beginning) + interest AS payment
+      FROM (SELECT *, beginning * (annual_rate / 360) * 30 AS interest,
+                   CASE WHEN annual_rate = 0 THEN current_balance / amort_months
+                        ELSE current_balance * ((annual_rate / 12) * pow(1 + annual_rate / 12, amort_months))
+                             / (pow(1 + annual_rate / 12, amort_months) - 1) END AS level
+            FROM (SELECT *, {LEVEL.format(k='step')} AS beginning, {LEVEL.format(k='(step + 1)')} AS ending,
+                         {pay_date('step')} AS payment_date
+                  FROM (SELECT *, unnest(range(0, amort_months)) AS step
+                        FROM (SELECT l.loan_id, l.loan_name, l.lender, l.payment_day, l.amort_months, coalesce(p.paid, 0) AS paid,
+                                     CAST(l.io_end_date + INTERVAL 1 MONTH AS DATE) AS start_date,
+                                     r.base_rate + l.spread AS annual_rate, CAST(b.owed AS DOUBLE) AS current_balance
+                              FROM credit_lines l JOIN rate_months r ON r.month = CAST(date_trunc('month', l.io_end_date) AS DATE)
+                              JOIN (SELECT loan_id, arg_max(owed, day) AS owed FROM line_balances GROUP BY loan_id) b ON b.loan_id = l.loan_id
+                              LEFT JOIN (SELECT loan_id, count(*) AS paid FROM line_payments GROUP BY loan_id) p ON p.loan_id = l.loan_id
+                              WHERE b.owed > 0 AND l.amort_months > 0)))))""")
 register("loan_status", lambda t: t.debt_schedule(AS_OF), "SELECT * FROM schedule")
 register("schedule_totals", lambda t: debt.schedule_totals(t.debt_schedule(AS_OF)), """
 SELECT loan_id, CAST(SUM(CAST(principal_amount AS DECIMAL(18,4))) AS DOUBLE) AS total_principal,

@@ -312,6 +312,41 @@ SELECT *, payment_date < DATE '{AS_OF}' AS is_paid, payment_date >= DATE '{AS_OF
 FROM (SELECT * FROM interest_only UNION ALL SELECT * FROM amortising
       UNION ALL SELECT * FROM fixed_payment_rows UNION ALL SELECT * FROM balloon_regular
       UNION ALL SELECT * FROM balloon_final)""",
+    "credit_lines": "SELECT *, (CAST(regexp_extract(loan_id, '[0-9]+') AS BIGINT) % 4)::DOUBLE / 100.0::DOUBLE AS spread FROM loans",
+    "line_days": """
+SELECT l.*, CAST(unnest(generate_series(start_date, CAST(io_end_date - 1 AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS day
+FROM credit_lines l WHERE start_date < io_end_date""",
+    "line_moves": """
+SELECT 'loan-' || o_custkey AS loan_id, CAST(o_orderdate AS DATE) AS moved,
+       SUM(CASE WHEN o_orderkey % 3 = 0 THEN -1 ELSE 1 END * CAST(floor(o_totalprice * 5 + 0.5) / 100 AS DECIMAL(18,4))) AS net
+FROM orders GROUP BY ALL""",
+    "rate_changes": """
+SELECT CASE WHEN m % 2 = 0 THEN d ELSE d + 14 END AS effective, 0.05::DOUBLE + (m % 9)::DOUBLE / 400.0::DOUBLE AS base_rate
+FROM (SELECT year(o_orderdate) * 12 + month(o_orderdate) AS m, MIN(CAST(o_orderdate AS DATE)) AS d FROM orders GROUP BY ALL)
+WHERE m % 5 = 0""",
+    "rate_months": """
+SELECT CAST(month AS DATE) AS month, coalesce(
+         (SELECT arg_max(base_rate, effective) FROM rate_changes WHERE effective <= month),
+         (SELECT arg_min(base_rate, effective) FROM rate_changes)) AS base_rate
+FROM (SELECT unnest(generate_series(DATE '1990-01-01', DATE '2010-12-01', INTERVAL 1 MONTH)) AS month)""",
+    "line_balances": f"""
+SELECT d.*, month(day) AS month_of, CAST(date_trunc('month', day) AS DATE) AS month,
+       CAST(current_balance AS DECIMAL(18,4)) + SUM(coalesce(net, 0)) OVER (PARTITION BY d.loan_id ORDER BY day) AS owed,
+       CASE WHEN day(day) < least(payment_day, day(last_day(day)))
+            THEN CAST(date_trunc('month', day) AS DATE) + CAST(least(payment_day, day(last_day(day))) - 1 AS INTEGER)
+            ELSE CAST(date_trunc('month', day + INTERVAL 1 MONTH) AS DATE)
+                 + CAST(least(payment_day, day(last_day(CAST(date_trunc('month', day) AS DATE) + INTERVAL 1 MONTH))) - 1 AS INTEGER) END AS due
+FROM line_days d LEFT JOIN line_moves m ON m.loan_id = d.loan_id AND m.moved = day""",
+    "line_terms": """
+SELECT loan_id, loan_name, lender, least(due, io_end_date) AS payment_date, b.month, base_rate + spread AS rate, due,
+       SUM(greatest(owed, 0)) AS owed_days, arg_max(owed, day) AS held, MAX(day) AS last_day
+FROM line_balances b JOIN rate_months r ON r.month = b.month GROUP BY ALL""",
+    "line_payments": """
+SELECT loan_id, loan_name, lender, payment_date, arg_max(held, last_day) AS held,
+       arg_max(rate, last_day) FILTER (owed_days > 0) AS rate,
+       list_reduce([0.0::DOUBLE] || list(CAST(owed_days AS DOUBLE) * (rate / 360) ORDER BY rate, CAST(owed_days AS DOUBLE) * (rate / 360))
+                                    FILTER (owed_days > 0), lambda a, b: a + b) AS interest
+FROM line_terms GROUP BY loan_id, loan_name, lender, payment_date HAVING SUM(owed_days) > 0""",
     "due_debt": """
 SELECT payment_date, loan_name, lender, payment_amount, principal_amount, interest_amount
 FROM schedule WHERE payment_date BETWEEN DATE '{AS_OF}' AND DATE '{AS_OF}' + 91 AND NOT is_paid""",

@@ -355,6 +355,30 @@ class TestTables:
             F.when(kind == 3, F.floor(balance * 90).cast("double") / 100.0).alias("balloon_amount"),
             F.add_months(start, 24).alias("io_end_date"))
 
+    @cached_property
+    def credit_lines(self) -> DataFrame:
+        """The loans as revolving lines with a spread over the base rate."""
+        key = F.regexp_extract("loan_id", "[0-9]+", 0).cast("bigint")
+        return self.loans.withColumn("spread", (key % 4) / 100.0)
+
+    @cached_property
+    def credit_movements(self) -> DataFrame:
+        """Draws and repayments on the lines: one per order of the customer."""
+        amount = F.expr("floor(o_totalprice * 5 + 0.5D) / 100.0D")
+        return self.raw("orders").select(
+            F.concat(F.lit("loan-"), F.col("o_custkey").cast("string")).alias("loan_id"),
+            F.to_date("o_orderdate").alias("movement_date"),
+            F.when(F.col("o_orderkey") % 3 == 0, 0.0 - amount).otherwise(amount).alias("amount"))
+
+    @cached_property
+    def base_rates(self) -> DataFrame:
+        """A base rate that changes on the first order day of every fifth month, and in mid-month."""
+        day = F.to_date("o_orderdate")
+        months = F.year(day) * 12 + F.month(day)
+        change = self.raw("orders").where(months % 5 == 0).groupBy(months.alias("m")).agg(F.min(day).alias("d"))
+        return change.select(F.when(F.col("m") % 2 == 0, F.col("d")).otherwise(F.date_add("d", 14)).alias("effective_date"),
+                             (0.05 + (F.col("m") % 9) / 400.0).alias("base_rate"))
+
     def debt_schedule(self, as_of: DateLike) -> DataFrame:
         return loan_schedule(self.loans, as_of)
 
