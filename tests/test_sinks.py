@@ -1,8 +1,10 @@
 """Stored tables: append, scenario swap, duplicate-free insert, loan removal."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from tillflow.operators import debt, forecast
+from tillflow.schemas import TABLES
 from tillflow.sources import sinks
 
 AS_OF = "1998-07-01"
@@ -149,3 +151,84 @@ def test_tables_are_pruned_and_keep_their_columns(spark, tables, path):
     assert "bucket" not in one.columns
     assert one.count() == rows.where("loan_id = 'loan-7'").count() > 0
     assert "PartitionFilters: [isnotnull(bucket" in one._jdf.queryExecution().executedPlan().toString()
+
+
+def amounts(spark, path):
+    rows = sinks.read_ledger(spark, path).where("is_forecast")
+    return {(r["scenario_id"], r["amount"]): r["n"] for r in
+            rows.groupBy("scenario_id", "amount").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def scenario_rows(frame, scenario, *values):
+    return frame("transaction_id string, cash_date date, transaction_date date, cash_flow_section string, "
+                 "cash_flow_category string, amount double, is_forecast boolean, scenario_id string, source_system string",
+                 *[(f"{scenario}-{v}", "2026-03-01", "2026-03-01", "Operating", "A", v, True, scenario, "test") for v in values])
+
+
+def test_a_replacement_that_dies_before_its_pointer_changes_nothing(spark, frame, path, monkeypatch):
+    sinks.append_ledger(scenario_rows(frame, "base", 1.0, 2.0).unionByName(scenario_rows(frame, "best/1", 5.0)), path)
+    before = sinks.read_ledger(spark, path)  # opened before, read after
+    with monkeypatch.context() as patch:
+        patch.setattr(sinks, "_commit_pointer", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            sinks.replace_scenario(scenario_rows(frame, "base", 7.0), path, "base")
+    assert amounts(spark, path) == {("base", 1.0): 1, ("base", 2.0): 1, ("best/1", 5.0): 1}
+    sinks.replace_scenario(scenario_rows(frame, "base", 8.0), path, "base")
+    sinks.replace_scenario(scenario_rows(frame, "best/1", 6.0), path, "best/1")
+    assert amounts(spark, path) == {("base", 8.0): 1, ("best/1", 6.0): 1}
+    assert before.where("is_forecast").agg(F.sum("amount")).first()[0] == 8.0  # the old 1 + 2 + 5
+    sinks.append_ledger(scenario_rows(frame, "base", 9.0), path)
+    assert amounts(spark, path) == {("base", 8.0): 1, ("base", 9.0): 1, ("best/1", 6.0): 1}
+    assert sinks.drop_old_slices(spark, path) == 3  # the first two slices and the lost one
+    assert amounts(spark, path) == {("base", 8.0): 1, ("base", 9.0): 1, ("best/1", 6.0): 1}
+    sinks.replace_scenario(scenario_rows(frame, "base").limit(0), path, "base")
+    assert amounts(spark, path) == {("best/1", 6.0): 1}
+
+
+def test_an_unfinished_pointer_is_no_commit_and_a_second_writer_fails(spark, frame, path):
+    sinks.append_ledger(scenario_rows(frame, "base", 1.0), path)
+    sinks.replace_scenario(scenario_rows(frame, "base", 2.0), path, "base")
+    target, system = sinks._file_system(spark, f"{path}/_pointers/{sinks._escaped(spark, 'of base')}/{2:012d}")
+    stream = system.create(target, False)
+    stream.write(bytearray(b"of base\nforecast-x"))
+    stream.close()
+    assert amounts(spark, path) == {("base", 2.0): 1}
+    with pytest.raises(Exception, match="exist"):
+        sinks._commit_pointer(spark, path, "of base", 1, "forecast-y")
+
+
+def test_keys_are_found_in_other_months_and_the_first_row_stays(spark, frame, path):
+    name, key = "gl_transactions", [TABLES["gl_transactions"].schema.fieldNames()[0]]
+    day = TABLES[name].date
+    made = lambda *rows: frame(f"{key[0]} string, {day} date, account_name string, amount double", *rows)
+    sinks.write_table(made(("a", "2026-01-05", "x", 1.0)), name, path)
+    batch = made(("a", "2026-02-07", "x", 9.0), ("b", "2026-02-01", "x", 2.0), ("b", "2026-03-01", "x", 3.0),
+                 (None, "2026-03-01", "x", 4.0), (None, "2026-04-01", "x", 5.0)).coalesce(1)
+    for _ in range(2):
+        sinks.insert_ignoring_duplicates(batch, name, path, key)
+        stored = sinks.read_table(spark, name, path)
+        assert sorted((str(r[key[0]]), str(r[day]), r["amount"]) for r in stored.collect()) == [
+            ("None", "2026-03-01", 4.0), ("a", "2026-01-05", 1.0), ("b", "2026-02-01", 2.0)]
+    sinks.write_table(made(("c", "2026-05-05", "x", 6.0)), name, path)  # past the index
+    sinks.insert_ignoring_duplicates(made(("c", "2026-06-05", "x", 7.0), ("d", "2026-06-05", "x", 8.0)), name, path, key)
+    assert sorted(r["amount"] for r in sinks.read_table(spark, name, path).collect()) == [1.0, 2.0, 4.0, 6.0, 8.0]
+
+
+def test_an_insert_that_dies_before_the_index_is_not_repeated(spark, frame, path, monkeypatch):
+    name, day = "gl_transactions", TABLES["gl_transactions"].date
+    key = [TABLES[name].schema.fieldNames()[0]]
+    made = lambda *rows: frame(f"{key[0]} string, {day} date, account_name string, amount double", *rows)
+    sinks.write_table(made(("a", "2026-01-05", "x", 1.0)), name, path)
+    real = sinks._write_keys
+    with monkeypatch.context() as patch:
+        patch.setattr(sinks, "_write_keys", lambda rows, folder, key, mode: real(rows, folder, key, mode)
+                      if mode == "overwrite" else (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            sinks.insert_ignoring_duplicates(made(("b", "2026-02-05", "x", 2.0)), name, path, key)
+    sinks.insert_ignoring_duplicates(made(("b", "2026-03-05", "x", 3.0), ("c", "2026-03-05", "x", 4.0)), name, path, key)
+    assert sorted(r["amount"] for r in sinks.read_table(spark, name, path).collect()) == [1.0, 2.0, 4.0]
+
+
+def test_rows_without_a_loan_survive_a_deletion(frame):
+    rows = frame("loan_id string, n int", ("loan-7", 1), (None, 2), ("loan-8", 3))
+    assert sorted(r["n"] for r in sinks.without_loan(rows, "loan-7").collect()) == [2, 3]
