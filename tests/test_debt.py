@@ -166,3 +166,39 @@ def test_a_large_loan_keeps_its_small_last_payment(spark):
     rows = debt.schedule_fixed_payment(loans).orderBy("payment_number").collect()
     assert [r["principal_amount"] for r in rows] == [499_999_999_998.0, 499_999_999_998.0, 4.0]
     assert rows[-1]["ending_principal"] == 0.0
+
+
+def test_variable_revolver_follows_draws_and_rates(frame):
+    import datetime as dt
+
+    lines = frame("loan_id string, loan_name string, lender string, current_balance double, annual_rate double, payment_day int, "
+                  "start_date date, maturity_date date, io_end_date date, io_months int, amort_months int, fixed_payment double, "
+                  "balloon_amount double, spread double",
+                  ("r", "R", "B", 1000.0, 0.0, 30, "2026-01-10", "2031-01-01", "2026-04-20", 0, 12, None, None, 0.02),
+                  ("idle", "I", "B", 0.0, 0.0, 1, "2026-01-10", "2031-01-01", "2026-03-01", 0, 12, None, None, 0.02))
+    moves = frame("loan_id string, movement_date date, amount double", ("r", "2026-01-20", 500.0), ("r", "2026-02-28", -300.0),
+                  ("r", "2026-02-28", 100.0), ("r", "2026-03-31", 250.5), ("r", "2025-12-01", 9999.0), ("r", "2026-04-20", 9999.0),
+                  ("other", "2026-02-01", 9.0))
+    rates = frame("effective_date date, base_rate double", ("2025-06-01", 0.05), ("2026-01-15", 0.06), ("2026-03-01", 0.07),
+                  ("2026-04-02", 0.5))
+    rows = debt.schedule_variable_revolver(lines, moves, rates, "2026-03-15", "2025-01-01", "2027-12-31").collect()
+    assert {r["loan_id"] for r in rows} == {"r"}
+    paid = sorted((r for r in rows if r["payment_type"] == "Interest Only"), key=lambda r: r["payment_number"])
+
+    net = {dt.date(2026, 1, 20): 500.0, dt.date(2026, 2, 28): -200.0, dt.date(2026, 3, 31): 250.5}
+    rate = {1: 0.05, 2: 0.06, 3: 0.07, 4: 0.07}  # of the first day of the month
+    due = [dt.date(2026, 1, 30), dt.date(2026, 2, 28), dt.date(2026, 3, 30), dt.date(2026, 4, 20)]
+    balance, day, want, sums = 1000.0, dt.date(2026, 1, 10), [], 0.0
+    while day <= due[-1]:
+        if day in due:
+            want.append(round(sums, 2))
+            sums = 0.0
+        balance += net.get(day, 0.0)
+        sums += balance * (rate[day.month] + 0.02) / 360
+        day += dt.timedelta(1)
+    assert [r["payment_date"] for r in paid] == due and [r["interest_amount"] for r in paid] == want
+    assert [r["beginning_principal"] for r in paid] == [1500.0, 1500.0, 1300.0, 1550.5]
+    level = sorted((r for r in rows if r["payment_type"] != "Interest Only"), key=lambda r: r["payment_number"])
+    assert len(level) == 12 and level[0]["beginning_principal"] == 1550.5 and level[-1]["ending_principal"] == 0.0
+    assert level[0]["payment_number"] == 5 and abs(level[0]["interest_rate"] - 0.09) < 1e-12
+    assert [r["is_paid"] for r in paid] == [True, True, False, False]

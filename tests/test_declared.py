@@ -1,5 +1,7 @@
 """Timing rules, account mapping, budgets and payouts."""
 
+import pytest
+
 from tillflow.operators import accounts, timing
 
 RULES = ("term_id string, lag_days bigint, settlement_period_days bigint, "
@@ -185,3 +187,89 @@ def test_budget_rows_without_a_partner_stay(frame):
              for r in accounts.budget_variance(budget, ledger).collect()}
     assert found == {("2026-01-01", "A"): (-20.0, -20.0), ("2026-02-01", "A"): (-100.0, -100.0),
                      ("2026-01-01", "B"): (5.0, None)}
+
+
+def test_budgets_of_all_types_and_their_latest_version(frame):
+    budget = frame("period_type string, period_start_date date, cash_flow_section string, cash_flow_category string, "
+                   "cash_flow_subcategory string, budget_amount double, version bigint, is_active boolean",
+                   ("Monthly", "2026-02-01", "Operating", "A", "x", 100.0, 1, True),
+                   ("Monthly", "2026-02-01", "Operating", "A", "x", 120.0, 2, True),
+                   ("Monthly", "2026-02-01", "Operating", "A", "x", 900.0, 3, False),
+                   ("Monthly", "2026-02-01", "Operating", "A", "y", 5.0, 1, True),
+                   ("Quarterly", "2026-01-01", "Operating", "A", None, 400.0, 1, True),
+                   ("Annual", "2026-01-01", "Operating", "A", None, 1000.0, None, True))
+    ledger = frame("cash_date date, cash_flow_section string, cash_flow_category string, amount double, is_forecast boolean",
+                   ("2026-01-15", "Operating", "A", 80.0, False), ("2026-02-15", "Operating", "A", 130.0, False),
+                   ("2026-05-15", "Operating", "A", 10.0, False), ("2026-03-01", "Operating", "B", 7.0, False))
+    found = {(r["period_type"], str(r["period_start_date"]), r["cash_flow_category"]):
+             (r["budget_amount"], r["actual_amount"], r["version"])
+             for r in accounts.budget_variance(budget, ledger).collect()}
+    assert found[("Monthly", "2026-02-01", "A")] == (125.0, 130.0, 2)
+    assert found[("Quarterly", "2026-01-01", "A")] == (400.0, 210.0, 1)
+    assert found[("Quarterly", "2026-04-01", "A")] == (None, 10.0, None)
+    assert found[("Annual", "2026-01-01", "A")] == (1000.0, 220.0, 1)
+    assert found[("Annual", "2026-01-01", "B")] == (None, 7.0, None)
+    # a budget without quarters shows none
+    months = accounts.budget_variance(budget.where("period_type = 'Monthly'"), ledger)
+    assert {r["period_type"] for r in months.collect()} == {"Monthly"}
+
+
+BALANCE_ROWS = ("bank_account_id string, cash_date date, amount double, is_forecast boolean, scenario_id string",
+                ("a", "2026-01-01", 10.0, False, None), ("a", "2026-01-04", -3.0, False, None),
+                ("b", "2026-01-02", 5.0, False, None), ("b", "2026-01-09", 1.0, False, None),
+                ("a", "2026-01-03", 50.0, True, "base"), ("a", "2026-01-11", -2.0, True, "base"),
+                ("c", "2026-01-12", 4.0, True, "best"))
+KNOWN = ("account_id string, account_type string, opening_balance double, credit_limit double", ("a", "LOC", 100.0, 500.0))
+
+
+@pytest.mark.parametrize("since", ["2026-01-03", "2026-01-04", "2026-01-07", "2026-01-10"])
+def test_updated_balances_equal_the_recompute(frame, since):
+    from pyspark.sql import functions as F
+
+    ledger, known = frame(*BALANCE_ROWS), frame(*KNOWN)
+    whole = accounts.daily_balances(ledger, known)
+    stored = accounts.daily_balances(ledger.where(F.col("cash_date") < since), known)
+    again = accounts.updated_daily_balances(stored, ledger, known, since)
+    assert sorted(map(str, again.collect())) == sorted(map(str, whole.select(*again.columns).collect()))
+
+
+def test_scenarios_go_on_from_the_last_closing(frame):
+    rows = accounts.scenario_balances(frame(*BALANCE_ROWS), frame(*KNOWN)).collect()
+    found = {(r["scenario_id"], r["bank_account_id"], str(r["balance_date"])[-2:]): r["ending_balance"] for r in rows}
+    assert len(rows) == len(found) == 2 * 2 * 3 + 1  # a and b on 10 to 12 in both, c once
+    assert found[("base", "a", "10")] == 107.0 and found[("base", "a", "12")] == 105.0
+    assert found[("best", "a", "12")] == 107.0 and found[("best", "b", "12")] == 6.0
+    assert found[("best", "c", "12")] == 4.0 and all(r["is_forecast"] for r in rows)
+    early = accounts.scenario_balances(frame(*BALANCE_ROWS), frame(*KNOWN), "2026-01-03").collect()
+    first = {(r["scenario_id"], r["bank_account_id"], str(r["balance_date"])): r["ending_balance"] for r in early}
+    assert first[("base", "a", "2026-01-03")] == 160.0 and first[("best", "a", "2026-01-04")] == 110.0
+
+
+def test_actual_events_win_over_estimates(frame):
+    from tillflow.operators import timing
+
+    rows = frame("term_id string, transaction_date date, channel string",
+                 ("s", "2026-01-05", "web"), ("s", "2026-01-10", "web"), ("s", "2026-01-11", "web"),
+                 ("p", "2026-01-05", "web"), ("s", "2026-01-05", "shop"), ("s", "2026-01-05", None), ("o", "2026-01-05", "web"))
+    terms = frame("term_id string, lag_days bigint, settlement_period_days bigint, settlement_lag_days bigint, "
+                  "weekend_handling string, payment_timing string",
+                  ("s", 1, None, None, None, "with_settlement"), ("p", None, None, None, None, "with_payout"),
+                  ("o", 2, None, None, None, None))
+    events = frame("channel string, event_kind string, event_date date",
+                   ("web", "settlement", "2026-01-10"), ("web", "settlement", "2026-01-04"),
+                   ("web", "payout", "2026-01-08"), (None, "settlement", "2026-01-09"))
+    found = [(r["term_id"], r["channel"], str(r["transaction_date"])[-2:], str(r["cash_date"])[-2:])
+             for r in timing.apply_payment_timing(rows, terms, events=events).collect()]
+    assert sorted(map(str, found)) == sorted(map(str, [
+        ("s", "web", "05", "10"), ("s", "web", "10", "10"), ("s", "web", "11", "12"), ("p", "web", "05", "08"),
+        ("s", "shop", "05", "06"), ("s", None, "05", "09"), ("o", "web", "05", "07")]))
+
+
+def test_a_hot_channel_reaches_the_window_as_days(tables):
+    from tillflow.operators import timing
+
+    rows = tables.raw("lineitem").selectExpr("'all' AS channel", "to_date(l_shipdate) AS day")
+    plan = timing.next_event(rows, tables.channel_events.selectExpr("'all' AS channel", "event_date"), ["channel"], "day")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.index("Window") < text.index("HashAggregate")  # summed to days below the window
+    assert "NestedLoop" not in text and "Cartesian" not in text

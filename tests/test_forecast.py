@@ -125,3 +125,63 @@ def test_forecast_rows_are_ledger_rows(lines):
     row = forecast.forecast_to_ledger(lines).where("scenario_id = 'best'").first()
     assert row["is_forecast"] and row["currency"] == "USD" and row["tags"] is None
     assert row["cash_date"] == row["value_date"] == row["transaction_date"]
+
+
+def test_every_frequency(frame):
+    items = frame("recurring_id string, frequency string, recurrence_interval bigint, day_of_week bigint, day_of_month bigint, "
+                  "month_of_year bigint, start_date date, end_date date",
+                  ("daily", "Daily", 10, None, None, None, "2026-01-01", None),
+                  ("daily-end", "Daily", 1, None, None, None, "2025-12-01", "2026-01-07"),
+                  ("weekly", "Weekly", 2, 5, None, None, "2026-01-01", None),     # Fridays from 2 January
+                  ("weekly-own", "Weekly", 1, None, None, None, "2025-12-31", None),
+                  ("monthly", "Monthly", 1, None, 31, None, "2025-01-31", None),  # months without a 31st have none
+                  ("second", "Monthly", 2, None, 15, None, "2025-12-15", None),
+                  ("quarter", "Quarterly", 1, None, 31, None, "2025-11-30", None),  # clamped to 28 February
+                  ("quarter-end", "Quarterly", 1, None, 10, None, "2025-11-10", "2026-02-09"),
+                  ("annual", "Annually", 1, None, 30, 2, "2020-05-01", None),
+                  ("annual-own", "Annually", 1, None, None, None, "2024-02-29", None),
+                  ("annual-second", "Annually", 2, None, 1, None, "2025-03-01", None),
+                  ("unknown", None, None, None, 20, None, "2025-01-01", None))
+    found = {}
+    for r in forecast.occurrences(items, "2026-01-05", 9).collect():  # to 8 March
+        found.setdefault(r["recurring_id"], []).append(str(r["transaction_date"])[5:])
+    assert {k: sorted(v) for k, v in found.items()} == {
+        "daily": ["01-11", "01-21", "01-31", "02-10", "02-20", "03-02"], "daily-end": ["01-05", "01-06", "01-07"],
+        "weekly": ["01-16", "01-30", "02-13", "02-27"],
+        "weekly-own": ["01-07", "01-14", "01-21", "01-28", "02-04", "02-11", "02-18", "02-25", "03-04"],
+        "monthly": ["01-31"], "second": ["02-15"], "quarter": ["02-28"], "annual": ["02-28"],
+        "annual-own": ["02-28"], "unknown": ["01-20", "02-20"]}
+
+
+def test_a_week_across_a_month_end_has_both_factors(frame):
+    base = frame("weekly_revenue double", (700.0,))
+    rows = forecast.forecast_revenue_lines(base, "2026-03-28", 2, seasonal=True).collect()
+    # 28 to 31 March at 0.6, 1 to 3 April at 1; then April alone
+    assert [round(r["amount"], 6) for r in sorted(rows, key=lambda r: r["week_number"])] == [540.0, 700.0]
+
+
+def test_the_baseline_is_free_of_the_season(frame):
+    ledger = frame("cash_date date, amount double, is_forecast boolean",
+                   ("2026-01-10", 31 * 0.6 * 10, False), ("2026-02-10", 28 * 0.6 * 10, False), ("2026-03-10", 31 * 0.6 * 10, False),
+                   ("2025-12-31", 999.0, False), ("2026-04-01", 999.0, False), ("2026-02-11", -5.0, False), ("2026-02-12", 9.0, True))
+    assert round(forecast.seasonal_baseline(ledger, "2026-04-01").first()[0], 6) == 70.0
+    assert forecast.seasonal_baseline(ledger.limit(0), "2026-04-01").first()[0] == 0.0
+
+
+def test_stored_scenarios_come_before_the_defaults(frame):
+    stored = frame("scenario_id string, revenue_growth_rate double, expense_inflation_rate double, custom_assumptions string, "
+                   "is_active boolean", ("best", 0.2, None, None, True), ("mine", 0.5, 0.1, '{"expense_factor": 2}', None),
+                   ("worst", 9.0, 9.0, None, False), ("odd", None, None, "no json", True))
+    asked = frame("scenario string", ("best",), ("mine",), ("worst",), ("odd",), ("none",), (None,))
+    found = {r["scenario"]: (r["revenue_factor"], r["expense_factor"])
+             for r in forecast.scenario_factors(asked, stored=stored).collect()}
+    assert found == {"best": (1.2, 0.9), "mine": (1.5, 2.0), "worst": (0.85, 1.1), "odd": (1.0, 1.0),
+                     "none": (1.0, 1.0), None: (1.0, 1.0)}
+    lines = forecast.forecast_opex_lines(frame("weekly_avg double", (100.0,)), "2026-01-05", 1, ("base", "mine"), stored)
+    assert {r["scenario"]: r["amount"] for r in lines.collect()} == {"base": -100.0, "mine": -200.0}
+
+
+def test_expenses_grow_with_inflation(frame):
+    rows = forecast.forecast_opex_lines(frame("weekly_avg double", (100.0,)), "2026-01-01", 53, inflation=0.03).collect()
+    last = max(rows, key=lambda r: r["week_number"])
+    assert abs(last["amount"] + 100.0 * 1.03 ** (370 / 365)) < 1e-9
