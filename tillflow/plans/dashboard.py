@@ -83,18 +83,12 @@ SELECT CAST(total_cash AS DOUBLE) AS total_cash, CAST(total_liquidity AS DOUBLE)
        CAST(total_loc_available AS DOUBLE) AS total_loc_available FROM position""")
 register("cash_buffer_flags",
          lambda t: metrics.cash_buffer_flags(metrics.weekly_balance(
-             metrics.weekly_in_out(t.planned_ledger, AS_OF), _position(t), "-9000000")), """
+             metrics.weekly_in_out(t.ledger, AS_OF), _position(t), "-9000000")), f"""
 SELECT *, CASE WHEN cash_balance < 50000 THEN 'below_minimum' WHEN cash_balance < 100000 THEN 'below_target'
                ELSE 'on_target' END AS buffer_status
-FROM (SELECT week_start, week_start + 6 AS week_end, CAST(net AS DOUBLE) AS net_cash_flow,
-             CAST(inflows AS DOUBLE) AS inflows, CAST(outflows AS DOUBLE) AS outflows,
-             CAST(-9000000 + SUM(net) OVER (ORDER BY week_start) AS DOUBLE) AS cash_balance,
-             CAST(row_number() OVER (ORDER BY week_start) AS INTEGER) AS week_index
-      FROM (SELECT CAST(date_trunc('week', cash_date) AS DATE) AS week_start, SUM(amount) AS net,
-                   SUM(CASE WHEN amount > 0 THEN amount ELSE 0 END) AS inflows,
-                   SUM(CASE WHEN amount < 0 THEN abs(amount) ELSE 0 END) AS outflows
-            FROM planned WHERE cash_date >= DATE '{AS_OF}' - 91 AND scenario_id = 'base' GROUP BY ALL))""")
-# Actual and planned rows; cash_buffer_flags reads the planned ones only.
+FROM (SELECT {WEEK_OUT}, CAST(-9000000 + SUM(net) OVER (ORDER BY week_start) AS DOUBLE) AS cash_balance,
+             CAST(row_number() OVER (ORDER BY week_start) AS INTEGER) AS week_index FROM weeks_in_out)""")
+# The name it had while cash_buffer_flags read planned rows only.
 register("cash_buffer_flags_ledger",
          lambda t: metrics.cash_buffer_flags(metrics.weekly_balance(
              metrics.weekly_in_out(t.ledger, AS_OF), _position(t), "-9000000")), f"""

@@ -34,7 +34,7 @@ register("schedule_fixed_payment", lambda t: debt.schedule_fixed_payment(t.loans
 register("schedule_balloon", lambda t: debt.schedule_balloon(t.loans),
          "SELECT * FROM balloon_regular UNION ALL SELECT * FROM balloon_final")
 register("schedule_revolver",
-         lambda t: debt.schedule_revolver(t.loans.where("amort_months > 0"), AS_OF), f"""
+         lambda t: debt.schedule_revolver(t.loans, AS_OF), f"""
 SELECT loan_id, loan_name, lender, payment_date, payment_number, {cents('payment')} AS payment_amount,
        {cents('principal')} AS principal_amount, {cents('interest')} AS interest_amount,
        CAST(0.0 AS DOUBLE) AS fees_amount, {cents('beginning')} AS beginning_principal,
@@ -51,9 +51,8 @@ FROM (SELECT *, CASE WHEN step < 0 THEN CAST(0.0 AS DOUBLE) ELSE least(level - i
                          CASE WHEN step < 0 THEN current_balance ELSE {LEVEL.format(k='(step + 1)')} END AS ending,
                          CAST(io + step + 1 AS INTEGER) AS payment_number, {pay_date('io + step')} AS payment_date
                   FROM (SELECT *, unnest(range(-io, amort_months)) AS step
-                        FROM (SELECT *, datediff('month', start_date, io_end_date) + 1 AS io
-                              FROM loans WHERE amort_months > 0)))))""")
-# All loans, those without level months too, and no level payment after maturity.
+                        FROM (SELECT *, datediff('month', start_date, io_end_date) + 1 AS io FROM loans)))))""")
+# No level payment after maturity.
 register("schedule_revolver_all_loans",
          lambda t: debt.schedule_revolver(t.loans, AS_OF, to_maturity=True), f"""
 SELECT loan_id, loan_name, lender, payment_date, payment_number, {cents('payment')} AS payment_amount,

@@ -84,12 +84,12 @@ ASOF LEFT JOIN (SELECT DISTINCT platform, cash_date FROM settled_deposits) e
 
 # A rule row as the accounts see it: the outflow rule wins unless only the
 # inflow rule exists.
+RULE_FIELDS = ["section", "category", "subcategory", "cash_timing", "is_cash"]
 register("category_map", lambda t: accounts.category_rules(t.category_map).select(
-    "leaf", "number", F.col("in_rule.category").alias("in_category"),
-    F.col("out_rule.category").alias("out_category"),
-    F.coalesce("out_rule.is_cash", "in_rule.is_cash").alias("is_cash")), """
-SELECT leaf, number, CASE WHEN has_in THEN category END AS in_category,
-       CASE WHEN has_out THEN out_category END AS out_category, is_cash FROM rule_rows""")
+    "leaf", "number", *[F.col(f"{side}_rule.{c}").alias(f"{side}_{c}") for side in ("in", "out") for c in RULE_FIELDS]), """
+SELECT leaf, number, {}, {}
+FROM rule_rows""".format(*[", ".join(f"CASE WHEN has_{side} THEN {'out_category' if (side, c) == ('out', 'category') else c} END AS {side}_{c}"
+                                     for c in RULE_FIELDS) for side in ("in", "out")]))
 register("map_accounts", lambda t: accounts.map_accounts(t.chart_of_accounts, t.category_map), """
 SELECT account_number, full_name, chart.leaf AS account_name,
        CAST(len(string_split(full_name, ':')) AS BIGINT) AS account_level, parent_name, account_type,
@@ -98,15 +98,20 @@ SELECT account_number, full_name, chart.leaf AS account_name,
        CASE WHEN has_in THEN category END AS inflow_category, coalesce(is_cash, TRUE) AS is_cash_account
 FROM chart LEFT JOIN rule_rows ON rule_rows.leaf = chart.leaf""")
 GL = """
-SELECT entry_id, transaction_date AS cash_date, coalesce(section, 'Unclassified') AS cash_flow_section,
+SELECT sha256(concat_ws('|', 'gl', entry_id, CAST(transaction_date AS VARCHAR), account_name,
+                        CAST(CAST(amount * 10000 AS BIGINT) AS VARCHAR))) AS transaction_id,
+       transaction_date, transaction_date AS cash_date, transaction_date AS value_date, 'gl' AS source_system,
+       entry_id AS source_id, 'gl_transactions' AS source_table, 'operating_checking' AS bank_account_id,
+       'Operating Checking' AS bank_account_name, coalesce(section, 'Unclassified') AS cash_flow_section,
        coalesce(CASE WHEN amount < 0 AND has_in THEN category WHEN amount < 0 THEN out_category
                      WHEN has_out THEN out_category ELSE category END, 'Unclassified') AS cash_flow_category,
-       subcategory AS cash_flow_subcategory, CAST(-amount AS DOUBLE) AS amount, vendor AS counterparty
+       subcategory AS cash_flow_subcategory, CAST(-amount AS DOUBLE) AS amount, 'USD' AS currency, vendor AS counterparty,
+       CASE WHEN vendor IS NOT NULL THEN 'Vendor' END AS counterparty_type, 'Journal Entry' AS description,
+       CAST(NULL AS VARCHAR) AS notes, FALSE AS is_forecast, FALSE AS is_recurring, CAST(NULL AS VARCHAR) AS recurring_id,
+       CAST(NULL AS VARCHAR) AS scenario_id, CAST(NULL AS VARCHAR[]) AS tags, 'etl_gl' AS created_by
 FROM gl LEFT JOIN rule_rows ON leaf = account_name WHERE coalesce(is_cash, TRUE)"""
 register("gl_to_ledger",
-         lambda t: accounts.gl_to_ledger(t.gl_transactions, t.category_map, ids="hash").select(
-             F.col("source_id").alias("entry_id"), "cash_date", "cash_flow_section",
-             "cash_flow_category", "cash_flow_subcategory", "amount", "counterparty"), GL)
+         lambda t: accounts.gl_to_ledger(t.gl_transactions, t.category_map, ids="hash").drop("created_at", "updated_at"), GL)
 
 
 def _accounts(t: TestTables):

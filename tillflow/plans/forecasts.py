@@ -148,16 +148,16 @@ register("runway_by_scenario",
          """SELECT scenario, MIN(CASE WHEN balance < 0 THEN week_number END) AS runway_weeks
             FROM week_balances GROUP BY scenario""")
 register("forecast_to_ledger",
-         lambda t: forecast.forecast_to_ledger(planned_lines(t)).select(
-             "transaction_date", "cash_date", "value_date", "source_system", "source_id",
-             "source_table", "bank_account_id", "bank_account_name", "cash_flow_section",
-             "cash_flow_category", "amount", "currency", "description", "is_forecast",
-             "scenario_id", "created_by"), """
-SELECT transaction_date, transaction_date AS cash_date, transaction_date AS value_date,
+         lambda t: forecast.forecast_to_ledger(planned_lines(t), ids="hash").drop("created_at", "updated_at"), """
+SELECT sha256(concat_ws('|', scenario, CAST(transaction_date AS VARCHAR), cash_flow_category, description,
+                        CAST(CAST(round_even(amount * 10000, 0) AS BIGINT) AS VARCHAR))) AS transaction_id,
+       transaction_date, transaction_date AS cash_date, transaction_date AS value_date,
        'forecast' AS source_system, CAST(NULL AS VARCHAR) AS source_id, 'forecast_engine' AS source_table,
        'operating_checking' AS bank_account_id, 'Operating Checking' AS bank_account_name,
-       cash_flow_section, cash_flow_category, amount, 'USD' AS currency, description, TRUE AS is_forecast,
-       scenario AS scenario_id, 'forecast_engine' AS created_by FROM lines""")
+       cash_flow_section, cash_flow_category, CAST(NULL AS VARCHAR) AS cash_flow_subcategory, amount, 'USD' AS currency,
+       CAST(NULL AS VARCHAR) AS counterparty, CAST(NULL AS VARCHAR) AS counterparty_type, description,
+       CAST(NULL AS VARCHAR) AS notes, TRUE AS is_forecast, FALSE AS is_recurring, CAST(NULL AS VARCHAR) AS recurring_id,
+       scenario AS scenario_id, CAST(NULL AS VARCHAR[]) AS tags, 'forecast_engine' AS created_by FROM lines""")
 register("cash_forecast_rollup",
          lambda t: forecast.cash_forecast_rollup(planned_lines(t), START_BALANCE, AS_OF,
                                                  loc_balance=100000.0, loc_available=400000.0), """

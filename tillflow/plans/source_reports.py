@@ -25,9 +25,20 @@ def warehouse(t: TestTables) -> Warehouse:
         "invoices": t.invoices, "item": t.item})
 
 
-SALES_KEYS = ["platform", "date_time", "settlement_id", "order_id", "sku", "quantity", "total"]
-SALES_OUT = ("SELECT platform, date_time, settlement_id, order_id, sku, quantity, "
-             "CAST(total AS DOUBLE) AS total FROM {table}")
+# Whole rows of the sales tables; the source's constant columns as the test data has them.
+IN_RANGE = f"WHERE CAST(date_time AS DATE) {RANGE}"
+SALES_MONEY = ["product_sales", "shipping_credits", "gift_wrap_credits", "promotional_rebates", "selling_fees",
+               "fba_fees", "other_transaction_fees", "total"]
+SALES_TAXES = ["product_sales_tax", "shipping_credits_tax", "gift_wrap_credits_tax", "promotional_rebate_tax",
+               "marketplace_tax"]
+SALES_OUT = ("SELECT platform, date_time, settlement_id, 'Order' AS type, order_id, sku, 'Sale' AS description, quantity, "
+             "'web' AS marketplace, 'Merchant' AS fulfillment, "
+             + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in SALES_MONEY) + ", "
+             + ", ".join(f"CAST(0 AS DOUBLE) AS {c}" for c in SALES_TAXES)
+             + ", customer_id, order_line_id, return_flag FROM {table} " + IN_RANGE)
+ORDERS_OUT = ("SELECT platform, date_time, settlement_id, order_id, sku, quantity, 'Merchant' AS fulfillment, "
+              + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in SALES_MONEY if c != "gift_wrap_credits")
+              + ", customer_id, order_line_id FROM sales_lines " + IN_RANGE)
 
 
 # ---- readers ----------------------------------------------------------------
@@ -55,23 +66,19 @@ register("sql_template",
                                          deposits=t.deposits),
          """SELECT platform, CAST(date_time AS DATE) AS date, COUNT(*) AS line_count,
                    CAST(SUM(quantity) AS BIGINT) AS units
-            FROM deposits GROUP BY ALL""")
-
-register("read_deposits", lambda t: warehouse(t).deposits(START, END).select(*SALES_KEYS),
-         SALES_OUT.format(table="deposits"))
-register("read_orders",
-         lambda t: warehouse(t).orders(START, END).select(*SALES_KEYS, "customer_id", "order_line_id"),
-         SALES_OUT.format(table="sales_lines").replace(" FROM", ", customer_id, order_line_id FROM"))
-register("read_fees", lambda t: warehouse(t).fees(START, END).select(*SALES_KEYS),
-         SALES_OUT.format(table="fees"))
-register("read_refunds", lambda t: warehouse(t).refunds(START, END, "TikTok").select(*SALES_KEYS),
-         SALES_OUT.format(table="refunds") + " WHERE platform = 'TikTok'")
+            FROM deposits """ + IN_RANGE + " GROUP BY ALL")
+
+register("read_deposits", lambda t: warehouse(t).deposits(START, END), SALES_OUT.replace("{table}", "deposits"))
+register("read_orders", lambda t: warehouse(t).orders(START, END), ORDERS_OUT)
+register("read_fees", lambda t: warehouse(t).fees(START, END), SALES_OUT.replace("{table}", "fees"))
+register("read_refunds", lambda t: warehouse(t).refunds(START, END, "TikTok"),
+         SALES_OUT.replace("{table}", "refunds") + " AND platform = 'TikTok'")
 register("read_sku_forecast", lambda t: warehouse(t).sku_forecast(START, END),
-         """SELECT month, sku, platform, forecast_units,
-                   CAST(forecast_revenue AS DOUBLE) AS forecast_revenue FROM sku_forecast""")
+         f"""SELECT month, sku, platform, forecast_units,
+                   CAST(forecast_revenue AS DOUBLE) AS forecast_revenue FROM sku_forecast WHERE month {RANGE}""")
 register("read_vendors", lambda t: warehouse(t).vendors(), "SELECT * FROM vendors")
 register("read_purchase_orders", lambda t: warehouse(t).purchase_orders("Open", START, END),
-         "SELECT * FROM po_line_item WHERE status = 'Open'")
+         f"SELECT * FROM po_line_item WHERE status = 'Open' AND order_date {RANGE}")
 register("read_invoices", lambda t: warehouse(t).invoices(START, END),
          f"""SELECT * EXCLUDE (subtotal, sales_tax, total), CAST(subtotal AS DOUBLE) AS subtotal,
                    CAST(sales_tax AS DOUBLE) AS sales_tax, CAST(total AS DOUBLE) AS total
@@ -86,9 +93,13 @@ register("payout_csv_scan",
          lambda t: files.parse_payout_report(t.payout_csv_lines()).select(
              F.to_utc_timestamp("transaction_time", F.current_timezone())
               .cast("timestamp_ntz").alias("transaction_time"),
-             "order", "payout_id", "payout_date", "amount", "fee", "net", "currency"),
+             "type", "order", "card_brand", "card_source", "payout_status", "payout_date", "payout_id", "available_on",
+             "amount", "fee", "net", "checkout", "payment_method_name", "presentment_amount",
+             "presentment_currency", "currency"),
          """SELECT date_trunc('second', transaction_time) + INTERVAL 6 HOUR AS transaction_time,
-                   '#' || event_id AS "order", payout_id, payout_date,
+                   'charge' AS type, '#' || event_id AS "order", 'visa' AS card_brand, 'online' AS card_source,
+                   'paid' AS payout_status, payout_id, payout_date, payout_date AS available_on, '#1' AS checkout,
+                   'card' AS payment_method_name, value AS presentment_amount, 'USD' AS presentment_currency,
                    CAST(value_amount AS DOUBLE) AS amount, CAST(fee_amount AS DOUBLE) AS fee,
                    CAST(net_amount AS DOUBLE) AS net, 'USD' AS currency FROM payouts""")
 register("loan_table", lambda t: files.parse_loan_configs(t.loan_config_lines()),
@@ -240,7 +251,7 @@ def _settled_out(columns: str) -> str:
 COMPARED = ["created_at", "updated_at"]
 
 register("settle_deposits", lambda t: etl.settle_deposits(t.deposits, START, END),
-         _settled_out("settled_deposits"))
+         _settled_out("settled_in_range"))
 register("deposits_to_ledger",
          lambda t: etl.deposits_to_ledger(etl.settle_deposits(t.deposits), ids="hash").drop(*COMPARED),
          f"SELECT {LEDGER_OUT} FROM deposit_rows")
@@ -252,7 +263,7 @@ register("invoices_to_ledger",
          f"SELECT {LEDGER_OUT} FROM invoice_rows")
 register("deposits_preview",
          lambda t: etl.deposits_preview(t.deposits, START, END, ids="hash").drop(*COMPARED),
-         f"SELECT {LEDGER_OUT} FROM deposit_rows")
+         f"SELECT {LEDGER_OUT} FROM deposit_rows_in_range")
 register("deposits_preview_summary",
          lambda t: etl.preview_by_counterparty(etl.deposits_preview(t.deposits)),
          """SELECT counterparty, COUNT(amount) AS transaction_count,

@@ -75,7 +75,7 @@ SELECT sha256(concat_ws('|', '{source}', platform, CAST(settlement_id AS VARCHAR
 FROM {settled}"""
 
 
-def _settled(table: str) -> str:
+def _settled(table: str, where: str = "") -> str:
     return f"""
 SELECT platform, settlement_id, MIN(CAST(date_time AS DATE)) AS settlement_start,
        MAX(CAST(date_time AS DATE)) AS settlement_end,
@@ -86,7 +86,7 @@ SELECT platform, settlement_id, MIN(CAST(date_time AS DATE)) AS settlement_start
        SUM(selling_fees) AS platform_fees, SUM(fba_fees) AS fulfillment_fees,
        SUM(other_transaction_fees) AS other_fees, SUM(total) AS net_cash_received,
        COUNT(DISTINCT order_id) AS order_count, SUM(quantity) AS units_sold
-FROM {table} GROUP BY platform, settlement_id HAVING SUM(total) <> 0"""
+FROM {table} {where} GROUP BY platform, settlement_id HAVING SUM(total) <> 0"""
 
 
 VIEWS: dict[str, str] = {
@@ -115,7 +115,7 @@ FROM (SELECT {PLATFORM.format(other='Whiskey')} AS platform,
 SELECT platform, date_time, settlement_id, order_id, sku, quantity,
        -product_sales AS product_sales, -shipping_credits AS shipping_credits,
        -gift_wrap_credits AS gift_wrap_credits, -promotional_rebates AS promotional_rebates,
-       -selling_fees AS selling_fees, -fba_fees AS fba_fees,
+       -selling_fees AS selling_fees, -fba_fees AS fba_fees, customer_id, order_line_id, return_flag,
        -other_transaction_fees AS other_transaction_fees, -total AS total
 FROM sales_lines WHERE return_flag = 'R'""",
     "fees": "SELECT * FROM sales_lines",
@@ -395,7 +395,7 @@ SELECT unit AS period_type, CAST(CASE unit WHEN 'Monthly' THEN date_trunc('month
 FROM actuals, (VALUES ('Monthly'), ('Quarterly'), ('Annual')) u(unit) GROUP BY ALL""",
     "payouts": """
 SELECT *, 'payout-' || payout_date AS payout_id, value_amount - fee_amount AS net_amount
-FROM (SELECT ts AS transaction_time, event_id,
+FROM (SELECT ts AS transaction_time, event_id, value,
              CASE dayofweek(CAST(ts AS DATE) + 2) WHEN 6 THEN CAST(ts AS DATE) + 4
                   WHEN 0 THEN CAST(ts AS DATE) + 3 ELSE CAST(ts AS DATE) + 2 END AS payout_date,
              CAST(value AS DECIMAL(18,4)) AS value_amount,
@@ -403,6 +403,9 @@ FROM (SELECT ts AS transaction_time, event_id,
       FROM events WHERE event_type = 'purchase')""",
     "settled_deposits": _settled("deposits"),
     "settled_refunds": _settled("refunds"),
+    "settled_in_range": _settled("deposits", "WHERE CAST(date_time AS DATE) BETWEEN DATE '{START}' AND DATE '{END}'"),
+    "deposit_rows_in_range": _settlement_rows("settled_in_range", "deposits", "'Revenue - ' || platform",
+                                              "Ecommerce Revenue", "Settlement", "'ecommerce', 'revenue'"),
     "deposit_rows": _settlement_rows("settled_deposits", "deposits", "'Revenue - ' || platform",
                                      "Ecommerce Revenue", "Settlement", "'ecommerce', 'revenue'"),
     "refund_rows": _settlement_rows("settled_refunds", "refunds", "'Revenue - Refunds'",
@@ -442,6 +445,15 @@ SELECT 'plan-' || o_orderkey AS transaction_id, CAST(o_orderdate AS DATE) + 90 A
        CASE o_orderkey % 3 WHEN 0 THEN 'base' WHEN 1 THEN 'best' ELSE 'worst' END AS scenario_id,
        CAST(NULL AS VARCHAR) AS bank_account_id
 FROM orders WHERE o_orderstatus = 'O'""",
+    "planned_full": """
+SELECT transaction_id, cash_date AS transaction_date, cash_date, CAST(NULL AS DATE) AS value_date, 'forecast' AS source_system,
+       CAST(NULL AS VARCHAR) AS source_id, CAST(NULL AS VARCHAR) AS source_table, bank_account_id,
+       CAST(NULL AS VARCHAR) AS bank_account_name, cash_flow_section, cash_flow_category, cash_flow_subcategory, amount,
+       'USD' AS currency, counterparty, CAST(NULL AS VARCHAR) AS counterparty_type, description, CAST(NULL AS VARCHAR) AS notes,
+       is_forecast, FALSE AS is_recurring, CAST(NULL AS VARCHAR) AS recurring_id, scenario_id, CAST(NULL AS VARCHAR[]) AS tags,
+       'system' AS created_by FROM planned""",
+    "ledger_full": """
+SELECT * FROM deposit_rows UNION ALL BY NAME SELECT * FROM invoice_rows UNION ALL BY NAME SELECT * FROM planned_full""",
     "ledger": "SELECT * FROM actuals UNION ALL SELECT * FROM planned",
     "chosen_rows": """
 SELECT * FROM ledger WHERE cash_date >= DATE '{AS_OF}' - 91 AND (NOT is_forecast OR scenario_id = 'base')""",
@@ -506,7 +518,7 @@ SELECT scenario, week_number, week_start, week_end, SUM(exact) AS net FROM exact
 SELECT *, 250000 + SUM(net) OVER (PARTITION BY scenario ORDER BY week_number) AS balance FROM week_nets""",
 }
 
-PARAMETERS = {"{AS_OF}": "1998-07-01", "{START}": "1990-01-01", "{END}": "2030-12-31"}
+PARAMETERS = {"{AS_OF}": "1998-07-01", "{START}": "1995-02-10", "{END}": "2001-05-20"}
 
 
 def _needed(sql: str, seen: list[str]) -> None:
