@@ -1,3 +1,4 @@
+import pyarrow as pa
 import zlib
 
 import numpy as np
@@ -75,6 +76,9 @@ def test_encoder_equals_the_library(rng):
     texts += ["".join(rng.choice(letters) for _ in range(rng.randrange(60))) for _ in range(300)]
     for text in texts:
         assert encoder.encode(text) == encoder.whole(text), text
+    texts += [t + t for t in texts] + ["first", "first again", "again first", "a", "", "x\u3000y z", "é é\u2003 é"]
+    assert encoder.encode_all(pa.array(texts)) == [encoder.whole(text) for text in texts]
+    assert encoder.encode_all(pa.array(["", ""])) == [b"", b""] and encoder.encode_all(pa.array([], pa.string())) == []
 
 
 def stored(spark, frame, tmp_path, **kw):
