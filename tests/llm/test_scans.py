@@ -41,18 +41,31 @@ def test_leaks_with_substitutions(spark, documents, rng, block):
 
 def test_leak_rules(spark, documents, odd_rows):
     item = "the quick brown fox jumps over the lazy dog and runs far away from here now"
-    items = spark.createDataFrame([(1, item), (2, item.upper()), (3, None), (4, ""), (5, "one two"),
-                                   (None, "an item without any id is never named by a result row at all")], ITEMS)
+    nameless = "an item without any id is named by a result row like all others are"
+    items = spark.createDataFrame([(1, item), (2, item.upper()), (3, None), (4, ""), (5, "one two"), (None, nameless),
+                                   (1, "brown fox jumps"), (6, item[:40]), (6, nameless), (None, item)], ITEMS)
     rows = odd_rows + [(40, "x " + item, "a"), (41, item[10:], "a"), (41, item[10:], "a"), (None, item, "a"),
-                       (42, "the quick brown fox jumps", "a"), (43, " ".join(item.split()[::-1]), "a")]
+                       (42, "the quick fox jumps", "a"), (43, " ".join(item.split()[::-1]), "a"),
+                       (44, "so " + nameless, "a"), (45, "a Brown FOX jumps.", "a"), (46, "a brown fox jumps", "a")]
     frame = documents(rows)
-    assert leaks(frame, items) == {(40, 1), (41, 1), (None, 1)}
+    found = {(r.doc_id, r.item_id, r.item_words) for r in decontaminate.find_leaks(frame, items).collect()}
+    whole = {(i, 16) for i in (1, 2, None)} | {(1, 3), (6, 8)}
+    assert found == ({(d, *x) for d in (40, None) for x in whole} | {(41, i, 16) for i in (1, 2, None)}
+                     | {(41, 1, 3), (41, 6, 8), (44, None, 15), (44, 6, 15), (46, 1, 3), (7, 5, 2)})
     kept = decontaminate.without_leaks(frame, items)
     assert kept.columns == frame.columns
-    assert Counter(r.doc_id for r in kept.collect()) == Counter(r[0] for r in odd_rows) + Counter([42, 43])
+    assert Counter(r.doc_id for r in kept.collect()) == Counter(r[0] for r in odd_rows) + Counter([42, 43, 45])
     assert leaks(documents([]), items) == set() == leaks(frame, items.limit(0))
 
 
+def test_a_short_item_stands_as_it_is(spark, documents):
+    items = spark.createDataFrame([(1, "a b c"), (2, "q"), (3, "one two three four five")], ITEMS)
+    rows = [(1, "a b c", "x"), (2, "z a b c z", "x"), (3, "a b x c", "x"), (4, "b c", "x"), (5, "z q", "x"),
+            (6, "one two three four five", "x"), (7, "one two x four five", "x")]
+    assert leaks(documents(rows), items) == {(1, 1), (2, 1), (5, 2), (6, 3)}
+    assert leaks(documents(rows), items, least_words=4) == {(6, 3)}
+
+
 def test_leaks_of_the_table_hold_whole_passages(spark):
     docs, items = (spark.read.parquet(f"{FOLDER}/{t}.parquet") for t in ("documents", "benchmark"))
     plain = lambda t: " " + " ".join(t.lower().split()) + " "

@@ -147,40 +147,44 @@ FROM cut LEFT JOIN found USING (doc_id)"""
 
 
 def _leak_sql() -> str:
-    def windows(place: str, words: str) -> str:
+    shortest = min(map(len, decontaminate.MASKS))
+
+    def windows(place: str, words: str, short: str) -> str:
+        """Windows by mask; those of items shorter than any mask where ``short`` allows their length."""
         forms = []
-        for number, mask in enumerate(decontaminate.MASKS):
+        for mask in [*decontaminate.MASKS, *["1" * n for n in range(1, shortest)]]:
             cared = " || ' ' || ".join(f"{words}[{place} + {i + 1}]" for i, c in enumerate(mask) if c == "1")
-            forms.append(f"CASE WHEN {place} + {len(mask)} <= len({words}) THEN '{number} ' || {cared} END")
+            asked = "" if len(mask) >= shortest else f" AND {short.format(n=len(mask))}"
+            forms.append(f"CASE WHEN {place} + {len(mask)} <= len({words}){asked} THEN '{mask} ' || {cared} END")
         return f"unnest([{', '.join(forms)}])"
 
-    least = min(map(len, decontaminate.MASKS))
     return f"""
-WITH items AS (
-  SELECT min(item_id) AS item_id, iw
-  FROM (SELECT item_id, {WORDS_SQL.format(LOWER_SQL)} AS iw FROM benchmark) GROUP BY iw),
-docs AS (SELECT doc_id, {WORDS_SQL.format(LOWER_SQL)} AS dw FROM documents),
+WITH named AS (SELECT DISTINCT item_id, {WORDS_SQL.format(LOWER_SQL)} AS iw FROM benchmark),
+items AS (SELECT row_number() OVER () AS item_key, iw FROM (SELECT DISTINCT iw FROM named WHERE len(iw) > 0)),
+lengths AS (SELECT coalesce(list(DISTINCT len(iw)), []) AS short FROM items),
+docs AS (SELECT doc_id, row_number() OVER () AS row, dw FROM (SELECT DISTINCT doc_id, {WORDS_SQL.format(LOWER_SQL)} AS dw, text FROM documents)),
 seeds AS (
-  SELECT DISTINCT item_id, k, {windows('k', 'iw')} AS seed
-  FROM (SELECT *, unnest(generate_series(0, len(iw) - {least})) AS k FROM items)),
+  SELECT DISTINCT item_key, k, {windows('k', 'iw', 'len(iw) = {n}')} AS seed
+  FROM (SELECT *, unnest(generate_series(0, len(iw) - 1)) AS k FROM items)),
 looked AS (
-  SELECT doc_id, spot, {windows("spot", "dw")} AS seed
-  FROM (SELECT *, unnest(generate_series(0, len(dw) - {least})) AS spot FROM docs)),
-hits AS (SELECT DISTINCT doc_id, item_id, spot - k AS diagonal FROM looked JOIN seeds USING (seed)),
+  SELECT row, spot, {windows("spot", "dw", "list_contains(short, {n})")} AS seed
+  FROM (SELECT *, unnest(generate_series(0, len(dw) - 1)) AS spot FROM docs), lengths),
+hits AS (SELECT DISTINCT row, item_key, spot - k AS diagonal FROM looked JOIN seeds USING (seed)),
 cells AS (
-  SELECT doc_id, item_id, diagonal, len(iw) AS item_words, j, CASE WHEN dw[diagonal + j + 1] = iw[j + 1] THEN 1 ELSE -1 END AS s
+  SELECT row, item_key, diagonal, len(iw) AS item_words, j, CASE WHEN dw[diagonal + j + 1] = iw[j + 1] THEN 1 ELSE -1 END AS s
   FROM (SELECT *, unnest(generate_series(greatest(0, -diagonal), least(len(iw), len(dw) - diagonal) - 1)) AS j
-        FROM hits JOIN docs USING (doc_id) JOIN items USING (item_id))),
-sums AS (SELECT *, sum(s) OVER (PARTITION BY doc_id, item_id, diagonal ORDER BY j) AS p FROM cells),
+        FROM hits JOIN docs USING (row) JOIN items USING (item_key))),
+sums AS (SELECT *, sum(s) OVER (PARTITION BY row, item_key, diagonal ORDER BY j) AS p FROM cells),
 runs AS (
-  SELECT *, p - least(0, coalesce(min(p) OVER (PARTITION BY doc_id, item_id, diagonal ORDER BY j
+  SELECT *, p - least(0, coalesce(min(p) OVER (PARTITION BY row, item_key, diagonal ORDER BY j
                                                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS run
   FROM sums),
 scored AS (
-  SELECT doc_id, item_id, item_words, diagonal, max(run) AS points FROM runs GROUP BY ALL)
+  SELECT row, item_key, item_words, diagonal, max(run) AS points FROM runs GROUP BY ALL)
 SELECT doc_id, item_id, item_words::INTEGER AS item_words, points::INTEGER AS points, diagonal::INTEGER AS first_word
-FROM scored WHERE points >= least({decontaminate.ENOUGH}, (item_words * 3 + 4) // 5)
-QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY points DESC, diagonal) = 1"""
+FROM (SELECT * FROM scored WHERE points >= least({decontaminate.ENOUGH}, (item_words * 3 + 4) // 5)
+      QUALIFY row_number() OVER (PARTITION BY row, item_key ORDER BY points DESC, diagonal) = 1)
+JOIN docs USING (row) JOIN items USING (item_key) JOIN named USING (iw)"""
 
 
 PLAIN_WORDS_SQL = f"regexp_extract_all({LOWER_SQL}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
