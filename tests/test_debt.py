@@ -146,15 +146,20 @@ def test_revolver_without_level_months_and_up_to_maturity(frame):
 
 def test_whole_tables_are_registered(spark):
     from conftest import FOLDER
+    from tillflow.operators import metrics
     from tillflow.plans import registry
+    from tillflow.plans.registry import AS_OF
     from tillflow.sources.adapters import TestTables
 
     queries, tables = registry.load(), TestTables(spark, FOLDER)
     rows = queries["schedule_revolver_all_loans"].run(spark, FOLDER)
     assert rows.select("loan_id").distinct().count() == tables.loans.count()
     weeks = {r.week_start: r.outflows for r in queries["cash_buffer_flags_ledger"].run(spark, FOLDER).collect()}
-    planned = {r.week_start: r.outflows for r in queries["cash_buffer_flags"].run(spark, FOLDER).collect()}
+    assert weeks == {r.week_start: r.outflows for r in queries["cash_buffer_flags"].run(spark, FOLDER).collect()}
+    planned = {r.week_start: r.outflows for r in metrics.weekly_in_out(tables.planned_ledger, AS_OF).collect()}
     assert set(planned) <= set(weeks) and sum(weeks.values()) > sum(planned.values())
+    rows = queries["schedule_revolver"].run(spark, FOLDER)
+    assert rows.select("loan_id").distinct().count() == tables.loans.count()
 
 
 def test_a_large_loan_keeps_its_small_last_payment(spark):

@@ -302,8 +302,15 @@ def occurrences(items: DataFrame, as_of: DateLike, weeks: int) -> DataFrame:
 
 
 def forecast_recurring_lines(active: DataFrame, as_of: DateLike, weeks: int = 13,
-                             scenarios: Sequence[str] = ("base",), stored: DataFrame | None = None) -> DataFrame:
-    """Each active item on its dates within the forecast span, see ``occurrences``."""
+                             scenarios: Sequence[str] = ("base",), stored: DataFrame | None = None,
+                             by_frequency: bool = False) -> DataFrame:
+    """Each active item on its dates within the forecast span, see ``occurrences``.
+
+    Without ``by_frequency`` every item counts as monthly, whatever its frequency and
+    interval say: the plain forecast's rule.
+    """
+    if not by_frequency:
+        active = active.withColumns({"frequency": F.lit("Monthly"), "recurrence_interval": F.lit(1)})
     dated = occurrences(active, as_of, weeks).withColumn("week_number", _week_of(as_of))
     rows = per_scenario(with_week_span(dated, as_of), scenarios, stored)
     return _lines(rows.select(
@@ -338,17 +345,18 @@ def weekly_forecast(ledger: DataFrame, recurring: DataFrame, debt: DataFrame, as
                     weeks: int = 13, scenarios: Sequence[str] = ("base",),
                     weekly_revenue: float | DataFrame = 0.0, lookback_weeks: int = 12,
                     stored_scenarios: DataFrame | None = None, seasonal: bool = False,
-                    inflation: float = 0.0) -> DataFrame:
+                    inflation: float = 0.0, by_frequency: bool = False) -> DataFrame:
     """All forecast lines of all requested scenarios.
 
     A loan that is both a recurring item and in the schedule counts twice.
     ``weekly_revenue`` is a number or a one-row table such as ``seasonal_baseline``;
-    ``stored_scenarios`` is the scenarios table, whose factors come before the defaults.
+    ``stored_scenarios`` is the scenarios table, whose factors come before the defaults;
+    ``by_frequency`` lets recurring items follow their own frequency.
     """
     pattern = expense_pattern(historical_actuals(ledger, as_of, lookback_weeks))
     span, stored = (as_of, weeks, scenarios), stored_scenarios
     lines = (forecast_opex_lines(pattern, *span, stored, inflation)
-             .unionByName(forecast_recurring_lines(active_recurring(recurring, as_of), *span, stored))
+             .unionByName(forecast_recurring_lines(active_recurring(recurring, as_of), *span, stored, by_frequency))
              .unionByName(forecast_debt_lines(upcoming_debt(debt, as_of, weeks), *span, stored)))
     if isinstance(weekly_revenue, DataFrame):
         planned = weekly_revenue.select("weekly_revenue")

@@ -68,7 +68,7 @@ register("forecast_recurring_lines",
 # Items of all five frequencies, intervals 1 to 3, some that end inside the span.
 register("forecast_recurring_frequencies",
          lambda t: forecast.forecast_recurring_lines(
-             forecast.active_recurring(t.recurring_items, AS_OF), *SPAN), """
+             forecast.active_recurring(t.recurring_items, AS_OF), *SPAN, by_frequency=True), """
 SELECT week_number, week_start, week_end, transaction_date,
        CASE WHEN contains(cash_flow_category, 'Debt') OR contains(cash_flow_category, 'Loan')
             THEN 'Financing' ELSE 'Operating' END AS cash_flow_section,
@@ -118,7 +118,8 @@ LEFT JOIN stored_factors s ON s.scenario = r.scenario LEFT JOIN factors f ON f.s
 register("weekly_forecast_stored_scenarios",
          lambda t: forecast.weekly_forecast(
              t.actual_ledger, t.recurring_items, t.debt_schedule(AS_OF), AS_OF, WEEKS, PLANS,
-             forecast.seasonal_baseline(t.actual_ledger, AS_OF), stored_scenarios=t.scenarios, seasonal=True), f"""
+             forecast.seasonal_baseline(t.actual_ledger, AS_OF), stored_scenarios=t.scenarios, seasonal=True,
+             by_frequency=True), f"""
 SELECT week_number, week_start, week_end, week_end AS transaction_date, 'Operating' AS cash_flow_section,
        'Operating Expenses' AS cash_flow_category, 'Week ' || week_number || ' - OpEx (forecast)' AS description,
        0.0 - weekly_avg * expense_factor AS amount, scenario
