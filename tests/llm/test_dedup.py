@@ -200,7 +200,9 @@ def test_runs_do_not_depend_on_their_surroundings(rng):
     chosen = []
     for before, after in ((0, 0), (40, 40), (7, 90)):
         text = words(rng, before) + passage + words(rng, after)
-        starts, until, nodes, _ = next(paragraph_dedup.groups(pa.array([" ".join(text)]), runs=True))
+        units = paragraph_dedup.Units(pa.array([" ".join(text)]))
+        starts, until = units.runs()
+        nodes = units.nodes(starts, until)
         inner = {(int(s) - before, int(n)) for s, u, n in zip(starts, until, nodes)
                  if u - s == paragraph_dedup.LENGTH and before <= s and u <= before + 120}
         chosen.append({x for x in inner if 24 <= x[0] <= 120 - 53})
@@ -208,13 +210,7 @@ def test_runs_do_not_depend_on_their_surroundings(rng):
 
 
 def test_near_copies_that_share_a_frequent_sentence(documents, rng):
-    import pyarrow as pa
-
-    from tillflow.llm.word_hashes import U, Words
-
     pool = list(dict.fromkeys(words(rng, 2_000, 4)))
-    open_ = Words(pa.array([" ".join(pool)])).hashes % U(paragraph_dedup.RUN) != 0
-    pool = [w for w, o in zip(pool, open_) if o]
     shared, own, rows = pool[:20], iter(pool[20:]), []
     for k in range(80):
         mine = shared + [next(own) for _ in range(5)]
