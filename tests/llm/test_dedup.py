@@ -235,6 +235,96 @@ def test_one_occurrence_stays_of_a_passage_repeated_within_a_document(documents,
     assert {r.doc_id for r in got} == {1, 2, 3}
 
 
+def brute_passages(rows, short=False):
+    """All columns of ``repeated_passages`` by loops: every paragraph compared with every other."""
+    import pyarrow as pa
+
+    from tillflow.llm.word_hashes import Words
+
+    cut, least = paragraph_dedup.CUT, paragraph_dedup.LEAST
+    units, runs = [], []  # (doc_id, place, words), in document order
+    for doc_id, text in rows:
+        place = 0
+        if len(text.split()) >= 5:
+            grams = [int(g) for g in Words(pa.array([text])).grams(5)]
+        for line in text.split("\n"):
+            own = line.split()
+            if not own:
+                continue
+            keys = [(w[-1] not in ".!?", grams[place + i - 4] >> 1) if place + i >= 4 else (True, 0)
+                    for i, w in enumerate(own)]
+            begin = 0
+            for i in range(cut, len(own) - cut):
+                if keys[i] < min(keys[i - cut:i]) and keys[i] <= min(keys[i + 1:i + cut + 1]):
+                    units.append((doc_id, place + begin, own[begin:i + 1]))
+                    begin = i + 1
+            units.append((doc_id, place + begin, own[begin:]))
+            place += len(own)
+        every, size = text.split(), paragraph_dedup.WINDOW
+        if len(every) >= 5:
+            starts = {k for i in range(len(grams) - size + 1) for k in range(i, i + size)
+                      if grams[k] == min(grams[i:i + size])}
+            runs += [(doc_id, k, every[k:k + paragraph_dedup.LENGTH]) for k in sorted(starts)
+                     if k + paragraph_dedup.LENGTH <= len(every)]
+    units = [u for u in units if short or len(u[2]) >= least]
+    sets = [{tuple(u[2][i:i + 5]) for i in range(len(u[2]) - 4)} if len(u[2]) >= least else None for u in units]
+    every = units + runs
+    parent = list(range(len(every)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    by_words = {}
+    for i, u in enumerate(every):
+        parent[root(i)] = root(by_words.setdefault(tuple(u[2]), i))
+    for i in range(len(units)):
+        for j in range(i):
+            if sets[i] and sets[j]:
+                common = len(sets[i] & sets[j])
+                if 100 * common >= 75 * (len(sets[i]) + len(sets[j]) - common):
+                    parent[root(i)] = root(j)
+    groups = defaultdict(set)
+    for i, (doc_id, place, own) in enumerate(every):
+        groups[root(i)].add((doc_id, place, len(own)))
+    out = set()
+    for spots in groups.values():
+        doc_id, place, size = min(spots)
+        last = max(s[:2] for s in spots)
+        if last[0] != doc_id or last[1] >= place + size:
+            out |= {(d, p, n, doc_id, d == doc_id and p < place + size) for d, p, n in spots}
+    return out
+
+
+@pytest.mark.parametrize("short", [False, True])
+def test_whole_output_of_passages_equals_brute_force(documents, rng, short):
+    pool = [" ".join(words(rng, 60)) + "." for _ in range(8)]
+    long_ = [prose(rng, 260) for _ in range(3)]
+    small = ["all rights reserved", "page one of two", "home"]
+    rows = []
+    for i in range(36):
+        line = pool[i % 8].split()
+        if i % 3 == 0:  # far above the threshold, where bands find every pair
+            line[i % 2] = f"edit{i}"
+        if i % 5 == 4:  # below it
+            line[15] = line[30] = line[45] = f"far{i}"
+        parts = [prose(rng, rng.randrange(10, 150)), " ".join(line), small[i % 3]]
+        if i % 4 == 0:
+            changed = long_[i % 3].split()
+            changed[0] = changed[-1] = f"other{i}"
+            parts.append(" ".join(changed))
+        if i % 6 == 1:
+            parts += [" ".join(line), prose(rng, 20) + " " + pool[(i + 3) % 8] + " " + prose(rng, 25)]
+        rows.append((i + 1, "\n".join(parts)))
+    rows.append((40, "one " * 300))
+    got = paragraph_dedup.repeated_passages(
+        documents([(i, t, "a") for i, t in rows]), short=short).collect()
+    want = brute_passages(rows, short)
+    assert len(got) == len(want) > 100
+    assert set(map(tuple, got)) == want
+
+
 def test_passages_of_odd_rows(documents, odd_rows):
     got = paragraph_dedup.repeated_passages(documents(odd_rows)).collect()
     assert {r.doc_id for r in got} == {5, 6} and all(r.kept == (r.doc_id == 5) for r in got)
