@@ -119,6 +119,45 @@ def test_license_notices(documents, rng):
     assert license_scan.scan(documents([])).collect() == []
 
 
+def brute_notices(text, notices):
+    """Best share of a notice's k-grams on one diagonal, where no word is added or left out."""
+    found, best = "".join(c.lower() if c.isascii() and c.isalnum() else c if ord(c) > 127 else " "
+                          for c in text or "").split(), {}
+    for notice, label in notices:
+        want = (notice or "").lower().split()
+        k = min(3, len(want))
+        if label is None or k < 2:
+            continue
+        for shift in range(-len(want), len(found)):
+            hits = sum(shift + p >= 0 and found[shift + p:shift + p + k] == want[p:p + k]
+                       for p in range(len(want) - k + 1))
+            share = hits / (len(want) - k + 1)
+            if share >= license_scan.COVER:
+                best[label] = max(best.get(label, 0), share)
+    return ",".join(sorted(best)), max(best.values(), default=0.0)
+
+
+@pytest.mark.parametrize("most", [license_scan.MOST, 0])
+def test_notices_of_a_table(spark, documents, odd_rows, rng, monkeypatch, most):
+    monkeypatch.setattr(license_scan, "MOST", most)
+    table = [(" ".join(words(rng, n)), f"own-{n % 4}") for n in (2, 3, 9, 14, 25, 40)]
+    table += [table[2], (table[3][0].upper(), "shouted"), (None, "none"), ("", "none"), ("single", "none"),
+              (table[4][0], None)]
+    rows = [(200 + i, prose(rng, 12) + " " + " ".join((t or "").split()[:99 if i % 2 else -3]) + " " + prose(rng, 9),
+             "a") for i, (t, _) in enumerate(table)]
+    rows += odd_rows + [(300, "mit license " + table[3][0], "a"), (301, license_scan.NOTICES[3][0], "a")]
+    frame = spark.createDataFrame([(t, label, 1) for t, label in table], "text string, label string, gram int")
+    got = {(r.doc_id, r.labels, round(r.score, 9))
+           for r in license_scan.scan(documents(rows, extra=["label"]), frame).collect() if r.doc_id != 300}
+    assert got == {(i, labels, round(score, 9)) for i, t, _ in rows if i != 300
+                   for labels, score in [brute_notices(t, [(x and x.lower(), y) for x, y in table])]}
+    assert {"own-1", "own-2"} <= {label for _, labels, _ in got for label in labels.split(",")}
+    mixed = license_scan.scan(documents(rows[-2:-1]), frame).first()
+    assert (mixed.base_labels, mixed.labels, mixed.score) == ("mit", "mit,own-2,shouted", 1.0)
+    empty = license_scan.scan(documents(rows[-1:]), frame.where("false")).first()
+    assert (empty.labels, empty.score) == ("", 0.0)
+
+
 # ------------------------------------------------------------ mixing
 
 def water_fill(sizes, share=1.5, most=2.0, weights=(3.0, 1.0, 2.0)):

@@ -10,8 +10,8 @@ its k-grams on one diagonal, a notice ``COVER`` of its k-grams within a span
 not much longer than itself.
 
 Phrases are the base set; notices are added by this method.  The templates are
-a short list in this module, a few hundred k-grams, which is broadcast, and the scan
-runs in one code-generated stage from which only matches leave.
+a short list in this module or a table; up to ``MOST`` k-grams are broadcast, so that the scan
+runs in one code-generated stage from which only matches leave, and more are joined by shuffle.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ _SEPARATOR_CHARS = "".join(map(chr, [*range(0x30), *range(0x3A, 0x61), *range(0x
 PHRASE_K, NOTICE_K = 2, 3
 SLACK = 2
 COVER = 0.6
+MOST = 200_000
 
 # Base phrases and their labels.
 PHRASES = (
@@ -55,10 +56,10 @@ NOTICES = (
 )
 
 
-def grams(spark: SparkSession) -> DataFrame:
+def grams(spark: SparkSession, templates=PHRASES + NOTICES) -> DataFrame:
     """(template, label, phrase, size, place, gram words, hash of the first two)."""
     rows = []
-    for number, (text, label) in enumerate(PHRASES + NOTICES):
+    for number, (text, label) in enumerate(templates):
         words, phrase = text.split(), number < len(PHRASES)
         k = PHRASE_K if phrase else NOTICE_K
         for place in range(len(words) - k + 1):
@@ -70,9 +71,44 @@ def grams(spark: SparkSession) -> DataFrame:
     return frame.withColumn("gram", F.xxhash64("one", "two"))
 
 
-def scan(docs: DataFrame) -> DataFrame:
+def table_grams(notices: DataFrame) -> DataFrame:
+    """The columns of ``grams`` for a table (text, label) of notices.
+
+    Words are taken as those of documents.  Equal notices of one label count once; a notice
+    of two words is one 2-gram; fewer words, a null text or a null label match nothing.
+    """
+    words = words_of(ascii_lower(F.col("text")), SEPARATORS, _SEPARATOR_CHARS)
+    rows = notices.select(F.col("label").cast("string").alias("label"), words.alias("words"))
+    rows = rows.where("label is not null and size(words) >= 2").distinct()
+    k = F.least(F.size("words"), F.lit(NOTICE_K))
+    rows = rows.select("label", "words", k.alias("k"), F.xxhash64("label", "words").alias("template"),
+                       (F.size("words") - k + 1).alias("grams"))
+    rows = rows.withColumn("place", F.explode(F.sequence(F.lit(0), F.col("grams") - 1)))
+    word = lambda i: F.get("words", F.col("place") + i)
+    return rows.select(
+        "template", "label", F.lit(False).alias("phrase"), "grams", "place", word(0).alias("one"),
+        word(1).alias("two"), F.when(F.col("k") == NOTICE_K, word(2)).alias("three"),
+        F.xxhash64(word(0), word(1)).alias("gram"))
+
+
+def _joined(windows: DataFrame, word, notices: DataFrame | None) -> DataFrame:
+    """``windows`` with the template k-grams of their hash; ``w0`` to ``w2`` are its words."""
+    spark, named = windows.sparkSession, {f"w{i}": word(i) for i in range(NOTICE_K)}
+    if notices is None:  # a hint, as Spark has no size for rows made on the driver
+        return windows.join(F.broadcast(grams(spark)), "gram").withColumns(named)
+    own = table_grams(notices)
+    every = grams(spark, PHRASES).withColumn("template", F.col("template").cast("long")).unionByName(own)
+    if own.limit(MOST + 1).count() <= MOST:
+        return windows.join(F.broadcast(every), "gram").withColumns(named)
+    # Shuffled: each window leaves its text behind and takes its words along.
+    return windows.withColumns(named).drop("words").join(every.hint("merge"), "gram")
+
+
+def scan(docs: DataFrame, notices: DataFrame | None = None) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
+    ``notices``, a table (text, label), takes the place of ``NOTICES``; base phrases stay.
+
     One row per input row.  A null or empty text has 0 words, no places, null
     first_word and last_word, empty labels and score 0.  ``score`` is 1 with a base
     phrase, else the best share of a notice's k-grams found, if that is ``COVER`` or more.
@@ -88,10 +124,8 @@ def scan(docs: DataFrame) -> DataFrame:
     windows = texts.select("doc_id", "text_hash", "words",
                            word_places("words", PHRASE_K).alias("at"))
     windows = windows.withColumn("gram", F.xxhash64(word(0), word(1)))
-    # A hint, as Spark has no size for rows made on the driver: the module's list above.
-    found = windows.join(F.broadcast(grams(docs.sparkSession)), "gram").where(
-        (word(0) == F.col("one")) & (word(1) == F.col("two"))
-        & (F.col("three").isNull() | (word(2) == F.col("three"))))
+    found = _joined(windows, word, notices).where(
+        "w0 = one and w1 = two and (three is null or w2 = three)")
     votes = found.groupBy("doc_id", "text_hash", "template", "label", "phrase", "grams",
                           (F.col("at") - F.col("place")).alias("diagonal")).agg(
         F.collect_set("place").alias("places"))
