@@ -35,3 +35,9 @@ def test_repeated_accounts_still_repeat_their_days(frame):
                                                            ("None", {"03": 0.0, "04": 0.0, "05": 2.0}))
          for d, move in moves.items() for opening in (100.0, 7.0)]
         + [(s, "None", d, 0.0) for s in ("base", "None") for d in ("03", "04", "05")])
+
+
+def test_config_lines_are_dealt_before_they_are_sorted(spark):
+    lines = spark.createDataFrame([("f", "loan_id: x")], "file string, value string")
+    plan = plan_of(files.parse_loan_configs(lines))
+    assert "SortAggregate" not in plan[plan.rindex("Exchange hashpartitioning(file"):]
