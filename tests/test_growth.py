@@ -41,3 +41,8 @@ def test_config_lines_are_dealt_before_they_are_sorted(spark):
     lines = spark.createDataFrame([("f", "loan_id: x")], "file string, value string")
     plan = plan_of(files.parse_loan_configs(lines))
     assert "SortAggregate" not in plan[plan.rindex("Exchange hashpartitioning(file"):]
+
+
+def test_pieces_of_a_credit_line_are_dealt_by_month(spark):
+    plan = plan_of(registry.load()["schedule_variable_revolver"].run(spark, FOLDER))
+    assert re.search(r"Exchange hashpartitioning\(loan_id#\d+, month#\d+", plan)
