@@ -46,3 +46,10 @@ def test_config_lines_are_dealt_before_they_are_sorted(spark):
 def test_pieces_of_a_credit_line_are_dealt_by_month(spark):
     plan = plan_of(registry.load()["schedule_variable_revolver"].run(spark, FOLDER))
     assert re.search(r"Exchange hashpartitioning\(loan_id#\d+, month#\d+", plan)
+
+
+def test_loans_are_dealt_before_their_payments(tables):
+    plan = plan_of(debt.loan_schedule(tables.loans, "1998-07-01"))
+    branches = re.split(r"Generate explode", plan)[1:]
+    assert len(branches) == 4
+    assert all("Exchange hashpartitioning(loan_id" in b for b in branches)
