@@ -4,6 +4,7 @@ import zlib
 import numpy as np
 import pytest
 
+from llm_helpers import words
 from tillflow.llm import token_counts, token_store
 from tillflow.llm.queries import tokenizer_path
 from tillflow.llm.token_store import EliasFano, Encoder, ef_encode
@@ -81,6 +82,65 @@ def test_encoder_equals_the_library(rng):
     assert encoder.encode_all(pa.array(["", ""])) == [b"", b""] and encoder.encode_all(pa.array([], pa.string())) == []
 
 
+class Counting:
+    """A tokenizer that notes the texts the library is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.texts = tokenizer, []
+
+    def encode(self, text, **kw):
+        self.texts.append(text)
+        return self.tokenizer.encode(text, **kw)
+
+    def encode_batch_fast(self, texts, **kw):
+        self.texts += texts
+        return self.tokenizer.encode_batch_fast(texts, **kw)
+
+
+def test_distinct_words_reach_the_library_in_few_calls(rng):
+    encoder = Encoder(tokenizer_path("byte_bpe_50k.json"))
+    vocabulary = words(rng, 3_000) + ["Über", "x.\ny", "z$$$", "½", "(a).", "..."]
+    texts = [" ".join(rng.choice(vocabulary) + rng.choice(["", "", ",", ".", "!?"]) for _ in range(400))
+             for _ in range(30)]
+    want = [encoder.whole(text) for text in texts]
+    counting = encoder.tokenizer = Counting(encoder.tokenizer)
+    assert encoder.encode_all(pa.array(texts)) == want
+    # the first pieces, the closing marks and the joined others
+    assert len(counting.texts) <= len(texts) + 5 + 4
+    counting.texts.clear()
+    assert encoder.encode_all(pa.array(texts[::-1])) == want[::-1]
+    assert len(counting.texts) <= len(texts) + 5
+
+
+@pytest.mark.parametrize("known,joined", [(0, 1), (700, 40), (20_000, 300)])
+def test_encoder_forgets_and_stays_right(rng, monkeypatch, known, joined):
+    monkeypatch.setattr(token_store, "KNOWN_BYTES", known)
+    monkeypatch.setattr(token_store, "JOINED_BYTES", joined)
+    encoder = Encoder(tokenizer_path("byte_bpe_50k.json"))
+    vocabulary = words(rng, 400) + ["é,", "日本。", "a\nb.", "y" * 900, "don't", "²³", "x\x1c"]
+    for _ in range(12):
+        texts = [rng.choice(["", " ", "  "]).join(["", *(f"{rng.choice(vocabulary)} " for _ in range(rng.randrange(9)))])
+                 + rng.choice(["", "<|endoftext|>", "end."]) for _ in range(9)]
+        assert encoder.encode_all(pa.array(texts)) == [encoder.whole(text) for text in texts]
+        assert encoder.known.nbytes + encoder.known_ids.nbytes <= known + 64
+        assert len(encoder.known) == len(encoder.known_ids) == len(encoder.last_use)
+
+
+def test_block_of_ids_with_closing_ids():
+    encoder = Encoder(tokenizer_path("byte_bpe_50k.json"))
+    texts = ["one two, two", "", "a  b ", "x <|endoftext|> y", "one"]
+    runs = [encoder.whole(text) + b"\x02\x00" for text in texts]
+    ids, ends = encoder.encode_block(pa.array(["dropped", *texts]).slice(1), b"\x02\x00")
+    assert ids.to_pybytes() == b"".join(runs) and ends.tolist() == np.cumsum(list(map(len, runs))).tolist()
+
+
+def test_a_vocabulary_without_some_byte_goes_by_whole_pieces():
+    encoder = Encoder(tokenizer_path("byte_bpe_50k.json"))
+    encoder.id_bytes = encoder.id_bytes - 1
+    texts = ["one two, two", "a b c"]
+    assert encoder.encode_all(pa.array(texts)) == [encoder.whole(text) for text in texts]
+
+
 def stored(spark, frame, tmp_path, **kw):
     root = token_store.write_store(frame, tokenizer_path("byte_bpe_50k.json"), root=f"file://{tmp_path}/s", **kw)
     return [tuple(r) for r in token_store.read_store(spark, root).collect()]

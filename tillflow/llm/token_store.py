@@ -43,7 +43,8 @@ BLOCK = 512
 HEADER = "<8sBBxxxxxxqQQ"  # magic, id bytes, null ids flag, least id, documents, nulls
 MAGIC = b"TOKSEF01"
 READ_BYTES = 8 << 20
-MEMO_ENTRIES = 200_000
+KNOWN_BYTES = 32 << 20
+JOINED_BYTES = 1 << 16
 
 MANIFEST = ("first_id long, last_id long, documents long, tokens long, ids_file string, "
             "index_file string")
@@ -106,52 +107,22 @@ class EliasFano:
 
 # ------------------------------------------------------------------ encoding
 
-class _Memo(dict):
-    """A dict that makes missing values and forgets what was not used lately.
-
-    It holds two generations of at most MEMO_ENTRIES: when the younger is full it
-    becomes the older, whose entries return on their next use.
-    """
-
-    def __init__(self, make) -> None:
-        self.make, self.old = make, {}
-
-    def __missing__(self, key: str) -> bytes:
-        value = self.old.get(key)
-        if value is None:
-            value = self.make(key)
-        if len(self) >= MEMO_ENTRIES:
-            self.old = dict(self)
-            self.clear()
-        self[key] = value
-        return value
-
-
-def byte_characters() -> dict[int, str]:
-    """The character by which byte-level vocabularies write each byte: itself where it
-    is printable in Latin-1, else the next free one from U+0100."""
-    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    hidden = (b for b in range(256) if b not in shown)
-    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
-
-
 class Encoder:
     """Whole-text ids of a file of the tokenizers library.
 
     The pre-tokenizer of a byte-level BPE never joins characters across the point
-    before a space that a non-space follows, nor a run of letters with a mark or
-    with one line feed before another letter.
-    Texts are cut there, and the library's model runs once per word, while the
-    word is remembered.  Other pieces, texts that hold a special token and tokenizers
-    of another kind go to the library as they are.
+    before a space that a non-space follows.  Texts are cut there.  The pieces of a
+    block of texts that are not known yet are joined again, each once, and go to the
+    library as a few texts; as every id stands for a fixed number of bytes, sums of these
+    tell where a piece ends.  First pieces, texts that hold a special token
+    and tokenizers of another kind go to the library as they are.
     """
 
     # A space before another blank is no place to cut; such texts take the slower cut.
     BLANKS = re.findall(r"\s", "".join(map(chr, range(0x3001))))
     CUT = re.compile(r" (?=\S)")
-    # One run of letters and at most one mark after it.
-    WORD = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)\Z")
-    PARSED = r"^(?P<word>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<mark>[.,;:!?]?)$"
+    # A single mark that closes a piece is never joined to the letter before it.
+    MARKED = r"[A-Za-zÀ-ÖØ-öø-ÿ][.,;:!?]\z"
 
     def __init__(self, path: str):
         import json
@@ -170,105 +141,133 @@ class Encoder:
         self.local = (spec["normalizer"] is None and pre.get("type") == "ByteLevel"
                       and pre.get("use_regex", True) and not pre.get("add_prefix_space", True)
                       and not any(re.search(r"\s", t) for t in self.special))
-        self.all_blanks = [" " + b for b in self.BLANKS]
-        self.ascii_blanks = [b for b in self.all_blanks if b.isascii()]
         self.slow_cut = f" [{''.join(self.BLANKS)}]| \\z"
-        self.shown = byte_characters()
-        self.model = self.tokenizer.model
-        self.words = _Memo(self._word)
-
-    def _cut(self, text: str) -> list[str]:
-        after = self.ascii_blanks if text.isascii() else self.all_blanks
-        if text.endswith(" ") or any(b in text for b in after):
-            return self.CUT.split(text)
-        return text.split(" ")
+        # A byte-level vocabulary writes each byte as one character.
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.id_bytes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        self.id_bytes[list(vocabulary.values())] = [len(token) for token in vocabulary]
+        self.known = pa.array([], pa.large_string())
+        self.known_ids = pa.array([], pa.large_binary())
+        self.last_use, self.blocks = np.zeros(0, np.int64), 0
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return array(self.code, ids).tobytes()
 
-    def _word(self, word: str) -> bytes:
-        written = word.encode().decode("latin-1").translate(self.shown)
-        return array(self.code, [t.id for t in self.model.tokenize(written)]).tobytes()
-
-    def _piece(self, piece: str) -> bytes:
-        lines = [self.WORD.match(line) for line in piece.split("\n")]
-        if not all(lines):
-            return self.whole(piece)
-        words = self.words
-        return words["\n"].join(words[word] + words[mark] if mark else words[word]
-                                for word, mark in (m.groups() for m in lines))
-
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian bytes of ``self.code``."""
-        if not text:
-            return b""
-        if not self.local or any(s in text for s in self.special):
-            return self.whole(text)
-        first, *rest = self._cut(text)
-        return (self._piece(first) if first else b"") + b"".join(self._piece(" " + piece) for piece in rest)
-
+        return self.encode_all(pa.array([text]))[0]
 
     def encode_all(self, texts: pa.Array) -> list[bytes]:
-        """``encode`` of each text of a column without nulls, all pieces handled as arrays.
-
-        The texts are cut, and their pieces numbered and parsed, in C; each distinct word is
-        encoded once, and the runs of ids are gathered by the numbers.  Texts that take the slower cut
-        or hold a special token go one by one.
+        """``encode`` of each text of a column without nulls."""
+        ids, ends = self.encode_block(texts)
+        ids, ends = ids.to_pybytes(), ends.tolist()
+        return [ids[begin:end] for begin, end in zip([0, *ends[:-1]], ends)]
+
+    def encode_block(self, texts: pa.Array, closing: bytes = b"") -> tuple[pa.Buffer, np.ndarray]:
+        """The ids of all texts of a column without nulls, ``closing`` after each, and the
+        places where the texts end, both in bytes.
         """
+        if not len(texts):
+            return pa.py_buffer(b""), np.zeros(0, np.int64)
         texts = texts.cast(pa.large_string())
-        plain = np.zeros(len(texts), bool)
-        if self.local:
-            plain = ~pc.match_substring_regex(texts, self.slow_cut).to_numpy(zero_copy_only=False)
-            for token in self.special:
-                plain &= ~pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
-        out = [b""] * len(texts)
-        for row in np.flatnonzero(~plain).tolist():
-            out[row] = self.encode(texts[row].as_py())
-        rows = np.flatnonzero(plain)
-        if len(rows):
-            for row, ids in zip(rows.tolist(), self._gathered(texts.take(pa.array(rows)))):
-                out[row] = ids
-        return out
-
-    def _gathered(self, texts: pa.Array) -> Iterator[bytes]:
-        lists = pc.split_pattern(texts, " ")
+        apart = np.full(len(texts), not self.local)
+        for token in self.special:
+            apart |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        others = [self.whole(text) for text in texts.filter(pa.array(apart)).to_pylist()]
+        lists = self._cut(pc.if_else(pa.array(apart), pa.scalar("", pa.large_string()), texts))
         begin = lists.offsets.to_numpy()
-        coded = lists.flatten().dictionary_encode()
-        number, pieces = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
-        parsed = pc.extract_regex(pieces, self.PARSED)
-        simple = parsed.is_valid()
-        words = parsed.field("word").filter(simple).dictionary_encode()
-        marks = parsed.field("mark").filter(simple).dictionary_encode()
-        rest = pieces.filter(pc.invert(simple))
-        # the first piece of a text has no space before it
-        first, which = np.unique(number[begin[:-1]], return_inverse=True)
-        runs = [self.words[f" {word}"] for word in words.dictionary.to_pylist()]
-        mark_at = len(runs)
-        runs += [self.words[mark] if mark else b"" for mark in marks.dictionary.to_pylist()]
-        rest_at = len(runs)
-        runs += [self._piece(f" {piece}") for piece in rest.to_pylist()]
-        first_at = len(runs)
-        runs += [self._piece(piece) if piece else b"" for piece in pieces.take(pa.array(first)).to_pylist()]
-        runs.append(b"")
-        # two runs a piece: a word and its mark, or the whole piece and none
-        simple = simple.to_numpy(zero_copy_only=False)
-        pairs = np.full((len(pieces), 2), len(runs) - 1)
-        pairs[simple, 0] = words.indices.to_numpy(zero_copy_only=False)
-        pairs[simple, 1] = marks.indices.to_numpy(zero_copy_only=False) + mark_at
-        pairs[~simple, 0] = np.arange(rest_at, first_at)
-        chosen = pairs[number]
-        chosen[begin[:-1], 0], chosen[begin[:-1], 1] = first_at + which, len(runs) - 1
-        chosen = chosen.ravel()
-        pool = np.frombuffer(b"".join(runs), self.code)
-        sizes = np.fromiter(map(len, runs), np.int64, len(runs)) // pool.itemsize
-        starts = np.cumsum(sizes) - sizes
-        taken = sizes[chosen]
-        ends = np.cumsum(taken)
-        ids = pool[np.arange(ends[-1]) + np.repeat(starts[chosen] - (ends - taken), taken)]
-        stops = ends[2 * begin[1:] - 1].tolist()
-        for low, high in zip([0, *stops[:-1]], stops):
-            yield ids[low:high].tobytes()
+        begin, pieces = begin - begin[0], lists.flatten()
+        later = np.ones(len(pieces), bool)
+        later[begin[:-1]] = False
+        coded = pieces.filter(pa.array(later)).dictionary_encode()
+        firsts = pieces.take(pa.array(begin[:-1])).dictionary_encode()
+        # One run of ids a piece; a text that stays whole is one empty first piece by now.
+        heads = [self.whole(piece) if piece else b"" for piece in firsts.dictionary.to_pylist()]
+        runs = pa.concat_arrays([self._ids_of(coded.dictionary),
+                                 pa.array([*heads, *others, closing], pa.large_binary())])
+        head_at = len(coded.dictionary)
+        chosen = np.empty(len(pieces), np.int64)
+        chosen[later] = coded.indices.to_numpy()
+        first = firsts.indices.to_numpy() + head_at
+        first[apart] = np.arange(len(others)) + head_at + len(heads)
+        chosen[~later] = first
+        if closing:
+            chosen = np.insert(chosen, begin[1:], len(runs) - 1)
+            begin = begin + np.arange(len(begin))
+        taken = runs.take(pa.array(chosen))
+        ends = np.frombuffer(taken.buffers()[1], np.int64)[begin[1:] + taken.offset]
+        return taken.buffers()[2].slice(0, int(ends[-1])), ends
+
+    def _cut(self, texts: pa.Array) -> pa.Array:
+        """Lists of the pieces of each text, without the spaces between them; none is empty
+        but the first."""
+        slow = pc.match_substring_regex(texts, self.slow_cut)
+        lists = pc.split_pattern(texts.filter(pc.invert(slow)), " ")
+        if not pc.any(slow).as_py():
+            return lists
+        cut = [self.CUT.split(text) for text in texts.filter(slow).to_pylist()]
+        order = np.argsort(np.argsort(slow.to_numpy(zero_copy_only=False), kind="stable"))
+        return pa.concat_arrays([lists, pa.array(cut, lists.type)]).take(pa.array(order))
+
+    def _ids_of(self, pieces: pa.Array) -> pa.Array:
+        """The ids of each of these distinct pieces after a space, made of those of its
+        stem and of its closing mark."""
+        marked = pc.match_substring_regex(pieces, self.MARKED)
+        none = pa.scalar("", pa.large_string())
+        stems = pc.if_else(marked, pc.utf8_slice_codeunits(pieces, 0, -1), pieces).dictionary_encode()
+        marks = pc.if_else(marked, pc.utf8_slice_codeunits(pieces, -1), none).dictionary_encode()
+        ends = [self.whole(mark) if mark else b"" for mark in marks.dictionary.to_pylist()]
+        return pc.binary_join_element_wise(self._ids_of_stems(stems.dictionary).take(stems.indices),
+                                           pa.array(ends, pa.large_binary()).take(marks.indices),
+                                           pa.scalar(b"", pa.large_binary()))
+
+    def _ids_of_stems(self, pieces: pa.Array) -> pa.Array:
+        """The ids of each of these distinct strings after a space.
+
+        Known ones are looked up.  When they pass KNOWN_BYTES, those used last stay, up
+        to half of it.
+        """
+        found = pc.index_in(pieces, value_set=self.known)
+        missing = found.is_null()
+        new = pieces.filter(missing)
+        at = found.fill_null(0).to_numpy().astype(np.int64)
+        at[missing.to_numpy(zero_copy_only=False)] = np.arange(len(new)) + len(self.known)
+        if len(new):
+            self.known = pa.concat_arrays([self.known, new])
+            self.known_ids = pa.concat_arrays([self.known_ids, self._joined(new)])
+            self.last_use = np.append(self.last_use, np.zeros(len(new), np.int64))
+        self.blocks += 1
+        self.last_use[at] = self.blocks
+        ids = self.known_ids.take(pa.array(at))
+        if self.known.nbytes + self.known_ids.nbytes > KNOWN_BYTES:
+            sizes = pc.add(pc.binary_length(self.known), pc.binary_length(self.known_ids)).to_numpy() + 16
+            order = np.lexsort((sizes, -self.last_use))
+            keep = np.sort(order[np.cumsum(sizes[order]) <= KNOWN_BYTES // 2])
+            self.known, self.known_ids = self.known.take(pa.array(keep)), self.known_ids.take(pa.array(keep))
+            self.last_use = self.last_use[keep]
+        return ids
+
+    def _joined(self, pieces: pa.Array) -> pa.Array:
+        """The same from the library, for texts of about JOINED_BYTES of pieces."""
+        sizes = pc.binary_length(pieces).to_numpy() + 1
+        part = np.cumsum(sizes) // JOINED_BYTES
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(pieces)]
+        runs = []
+        for begin, end in zip(cuts, cuts[1:]):
+            texts = pieces[begin:end].to_pylist()
+            joined = self.tokenizer.encode_batch_fast([" " + " ".join(texts)], add_special_tokens=False)
+            ids = np.array(joined[0].ids, self.code)
+            id_ends = np.cumsum(self.id_bytes[ids])
+            ends = np.cumsum(sizes[begin:end])
+            last = np.searchsorted(id_ends, ends)
+            if len(ids) and id_ends[-1] == ends[-1] and (id_ends[last] == ends).all():
+                offsets = np.append(0, last + 1) * ids.itemsize
+                runs.append(pa.LargeBinaryArray.from_buffers(
+                    pa.large_binary(), len(texts), [None, pa.py_buffer(offsets), pa.py_buffer(ids)]))
+            else:  # a vocabulary without some byte
+                runs.append(pa.array([self.whole(" " + text) for text in texts], pa.large_binary()))
+        return pa.concat_arrays(runs)
 
 
 @functools.lru_cache(maxsize=1)
@@ -292,15 +291,14 @@ def _shard_writer(root: str, tokenizer: str, end_id: int | None):
                 closing = b"" if end_id is None else array(encoder.code, [end_id]).tobytes()
                 width = array(encoder.code).itemsize
                 sink = files.open_output_stream(ids_file)
+            keys = batch.column(0)
             texts = batch.column(batch.schema.get_field_index("text")).fill_null("")
-            for key, ids in zip(batch.column(0).to_pylist(), encoder.encode_all(texts)):
-                sink.write(ids + closing)
-                total += (len(ids) + len(closing)) // width
-                ends.append(total)
-                if key is None:
-                    nulls += 1
-                else:
-                    doc_ids.append(key)
+            ids, stops = encoder.encode_block(texts, closing)
+            sink.write(ids)
+            ends.frombytes((stops // width + total).astype(np.uint64).tobytes())
+            total = ends[-1]
+            nulls += keys.null_count
+            doc_ids.frombytes(keys.drop_null().to_numpy().tobytes())
         if sink is None:
             return
         sink.close()
